@@ -167,7 +167,8 @@ def contains_word(c: Column, keywords) -> Column:
 
 
 def word_pattern(keywords) -> str:
-    return "\\b(?:" + "|".join(escape(k) for k in keywords) + ")\\b"
+    """Alternation between word boundaries, spelled out because Java releases differ on ``\\b``."""
+    return f"(?<![{fv.WORD}])(?:" + "|".join(escape(k) for k in keywords) + f")(?![{fv.WORD}])"
 
 
 def escape(keyword: str) -> str:

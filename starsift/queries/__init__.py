@@ -4,7 +4,7 @@ import importlib
 
 from starsift.queries.registry import REGISTRY
 
-MODULES = ["sources", "cleaning", "features", "rollups", "explore"]
+MODULES = ["sources", "cleaning", "features", "rollups", "explore", "corpus"]
 
 
 def load():
