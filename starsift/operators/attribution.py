@@ -67,7 +67,7 @@ def explain_rows(attr: DataFrame, key: str, n: int = 15, feature: str = "feature
         ranked.filter(F.col("rank") > n)
         .groupBy(key)
         .agg(F.sum(value).alias(value))
-        .filter(F.col(value) != 0)
+        .filter(F.abs(value) > 1e-12)
         .select(key, F.lit(n + 1).alias("rank"), F.lit("other").alias(feature), value)
     )
     return running_sum(top.unionByName(other), [key], [F.asc("rank")], value)

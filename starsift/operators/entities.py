@@ -210,9 +210,8 @@ def entity_frequencies(df: DataFrame, entities: Column) -> DataFrame:
 
 def brand_frequencies(df: DataFrame, brands: Column, n: int = 15) -> DataFrame:
     """Reviews mentioning each brand (title case), top ``n``."""
-    counts = df.select(F.initcap(F.explode(F.array_distinct(brands))).alias("brand")).groupBy("brand").agg(
-        F.count("*").alias("n")
-    )
+    named = F.transform(F.array_distinct(brands), lambda b: F.initcap(b))
+    counts = df.select(F.explode(named).alias("brand")).groupBy("brand").agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), "brand").limit(n)
 
 

@@ -198,8 +198,8 @@ def psi(base: DataFrame, current: DataFrame, col: str, bins: int = 10, alert: fl
     ).scalar()
 
     def shares(df: DataFrame, name: str) -> DataFrame:
-        b = F.size(F.filter(cuts, lambda q: q < F.col(col)))
-        counted = df.filter(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
+        b = F.size(F.filter("_cuts", lambda q: q < F.col(col)))
+        counted = df.filter(F.col(col).isNotNull()).withColumn("_cuts", cuts).groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
         return share_of(counted, [], "n", 1.0, name).select("bin", name)
 
     floor = F.lit(1e-6)

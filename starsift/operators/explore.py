@@ -167,22 +167,23 @@ def product_comparison(df: DataFrame, n: int = 8) -> DataFrame:
     )
 
 
-def iqr_bounds(df: DataFrame, cols: list[str], k: float = 1.5) -> dict[str, tuple[Column, Column]]:
+def _with_bounds(df: DataFrame, cols: list[str], k: float) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
+    """Rows with the quartiles attached once as ``_q``, and the fences of each column."""
     quarters = F.array(F.lit(0.25), F.lit(0.75))
     stats = df.agg(F.struct(*[F.percentile(F.col(c).cast("double"), quarters).alias(c) for c in cols]).alias("q")).scalar()
     out = {}
     for c in cols:
-        q1, q3 = stats.getField(c)[0], stats.getField(c)[1]
+        q1, q3 = F.col(f"_q.{c}")[0], F.col(f"_q.{c}")[1]
         out[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-    return out
+    return df.withColumn("_q", stats), out
 
 
 def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
     """Rows outside the fences of any column, with one flag per column."""
-    bounds = iqr_bounds(df, cols, k)
-    flagged = df.withColumns(
+    rows, bounds = _with_bounds(df, cols, k)
+    flagged = rows.withColumns(
         {f"{c}_outlier": F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False)) for c, (lo, hi) in bounds.items()}
-    )
+    ).drop("_q")
     any_of = F.lit(False)
     for c in cols:
         any_of = any_of | F.col(f"{c}_outlier")
@@ -190,10 +191,13 @@ def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
 
 
 def iqr_report(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
-    bounds = iqr_bounds(df, cols, k)
-    agg = df.agg(*[F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(c) for c, (lo, hi) in bounds.items()])
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("outliers"), lo.alias("low"), hi.alias("high"))
-             for c, (lo, hi) in bounds.items()]
+    rows, bounds = _with_bounds(df, cols, k)
+    agg = rows.agg(
+        *[F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(c) for c, (lo, hi) in bounds.items()],
+        *[F.first(b).alias(f"{side}_{c}") for c, pair in bounds.items() for side, b in zip(("lo", "hi"), pair)],
+    )
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("outliers"), F.col(f"lo_{c}").alias("low"),
+                      F.col(f"hi_{c}").alias("high")) for c in bounds]
     return agg.select(F.inline(F.array(*cells)))
 
 

@@ -157,9 +157,9 @@ def scale_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     ).scalar()
     out = {}
     for c in cols:
-        mean, std = stats.getField(f"mean_{c}"), stats.getField(f"std_{c}")
+        mean, std = F.col(f"_stats.mean_{c}"), F.col(f"_stats.std_{c}")
         out[f"{c}_scaled"] = (value(c) - mean) / F.when(std == 0, 1.0).otherwise(std)
-    return df.withColumns(out)
+    return df.withColumn("_stats", stats).withColumns(out).drop("_stats")
 
 
 def pos_features(df: DataFrame, tags: DataFrame, key: str, text: str = "clean_text") -> DataFrame:

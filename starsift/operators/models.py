@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -23,6 +23,7 @@ from starsift.functions import features as ft
 from starsift.functions import text as tx
 from starsift.operators import corpus, evaluate, features, sentiment, topics
 from starsift.operators.windows import top_n_by
+from starsift.sources import durable
 
 CLASSES = ["negative", "neutral", "positive"]
 
@@ -34,11 +35,14 @@ def text_vectors(df: DataFrame, key: str, text: str, max_features: int = 5000, m
                  max_df: float = 0.95, extra: list[str] = (), name: str = "features") -> tuple[DataFrame, DataFrame]:
     """Sublinear TF-IDF vectors, optionally joined by numeric columns: (rows, vocabulary)."""
     counts, vocab = topics.fit_vocabulary(df, key, text, max_features, max_n, min_df, max_df)
-    rows = corpus.tfidf_vectors(df, counts, vocab, key, max_features, name="_tfidf" if extra else name)
+    column = "_tfidf" if extra else name
+    rows = corpus.tfidf_vectors(df, counts, vocab, key, max_features, name=column)
+    rows = VectorSizeHint(inputCol=column, size=max_features, handleInvalid="optimistic").transform(rows)
     if extra:
         rows = VectorAssembler(inputCols=["_tfidf", *extra], outputCol=name, handleInvalid="keep").transform(rows)
         rows = rows.drop("_tfidf")
-    return rows, vocab
+    # fits and searches read the rows many times: compute them once
+    return durable.materialise(rows), durable.materialise(vocab)
 
 
 def lsa(df: DataFrame, vectors: str, k: int, size: int, name: str = "lsa"):

@@ -50,38 +50,42 @@ def aspects_from_entities(entities: Column, entity_labels=("FEATURE", "PRODUCT")
     return F.transform(F.filter(entities, lambda e: e["label"].isin(*entity_labels)), lambda e: e["text"])
 
 
+def aspect_scores(sentences: Column, scores: Column, aspects: Column) -> Column:
+    """Aspect, label, confidence and mean score from the sentences that mention each aspect."""
+    scored = F.zip_with(sentences, scores, lambda t, x: F.struct(F.lower(t).alias("t"), x.alias("x")))
+
+    def one(aspect: Column) -> Column:
+        hits = F.transform(F.filter(scored, lambda p: F.contains(p["t"], F.lower(aspect))), lambda p: p["x"])
+        total = F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + x)
+        return F.struct(aspect.alias("aspect"), F.try_divide(total, F.size(hits)).alias("m"))
+
+    def rated(e: Column) -> Column:
+        m = e["m"]
+        confidence = (
+            F.when(m.isNull(), 0.5).when((m >= 0.05) | (m <= -0.05), F.least(F.lit(0.95), 0.5 + F.abs(m))).otherwise(0.6)
+        )
+        return F.struct(
+            e["aspect"].alias("aspect"),
+            F.coalesce(labels.compound_label(m), F.lit("neutral")).alias("sentiment_label"),
+            confidence.alias("confidence"),
+            F.coalesce(m, F.lit(0.0)).alias("score"),
+        )
+
+    return F.transform(F.transform(aspects, one), rated)
+
+
 def aspect_sentiment(
     df: DataFrame,
     key: str,
     text: str,
     aspects: Column,
-    scorer: Callable[[Column], Column] | None = None,
+    scorer: Callable[[Column], Column] = fs.sentence_scores,
 ) -> DataFrame:
-    """Label and confidence per review and aspect from the sentences that mention it.
-
-    Each sentence is scored once, then matched to the review's aspects inside the
-    row; the grouping key holds one review's sentences only.
-    """
-    scorer = scorer or (lambda c: fs.lexicon_sentiment(c)["compound"])
-    reviews = df.select(key, F.col(text).alias("_t"), F.array_distinct(aspects).alias("_a"))
-    sentences = (
-        reviews.select(key, "_a", F.posexplode_outer(tx.sentences(F.col("_t"))).alias("_i", "_s"))
-        .withColumn("_score", scorer(F.col("_s")))
-        .withColumn("_low", F.lower("_s"))
-    )
-    pairs = sentences.select(key, F.explode("_a").alias("aspect"), "_low", "_score")
-    hit = F.contains("_low", F.lower("aspect"))
-    mean = F.avg(F.when(hit, F.col("_score")))
-    scored = pairs.groupBy(key, "aspect").agg(mean.alias("_m"))
-    m = F.col("_m")
-    strong = F.least(F.lit(0.95), 0.5 + F.abs(m))
-    return scored.select(
-        key,
-        "aspect",
-        F.coalesce(labels.compound_label(m), F.lit("neutral")).alias("sentiment_label"),
-        F.when(m.isNull(), 0.5).when((m >= 0.05) | (m <= -0.05), strong).otherwise(0.6).alias("confidence"),
-        F.coalesce(m, F.lit(0.0)).alias("score"),
-    )
+    """One row per review and aspect. Sentences, scores and aspects stay arrays of their
+    review, so nothing is shuffled; ``scorer`` maps a sentence array to a score array."""
+    rows = df.select(key, tx.sentences(F.col(text)).alias("_s"), F.array_distinct(aspects).alias("_a"))
+    rows = rows.withColumn("_x", scorer(F.col("_s")))
+    return rows.select(key, F.inline(aspect_scores(F.col("_s"), F.col("_x"), F.col("_a"))))
 
 
 def ensemble(model: Column, compound: Column, weight: float = 0.4, mode: str = "ternary") -> Column:

@@ -15,9 +15,11 @@ def semantic_search(
 ) -> DataFrame:
     """Exact scan: rows whose cosine with the query reaches the threshold, best ``n``."""
     rows = df if where is None else df.filter(where)
-    sim = F.round(vx.cosine(F.col(vector), query), 6)
+    sim = F.round(vx.cosine(F.col(vector), F.col("_q")), 6)
     return (
-        rows.withColumn("similarity", sim)
+        rows.withColumn("_q", query)
+        .withColumn("similarity", sim)
+        .drop("_q")
         .filter(F.col("similarity") >= threshold)
         .orderBy(F.desc("similarity"), key)
         .limit(n)

@@ -11,6 +11,7 @@ from starsift.functions import text as tx
 from starsift.operators import corpus
 from starsift.operators.sentiment import argmax
 from starsift.operators.windows import month_edges
+from starsift.sources import durable
 
 
 def lda_fit(df: DataFrame, text: str, k: int = 5, features: int = 500, min_df: float = 3, max_df: float = 0.9,
@@ -19,7 +20,7 @@ def lda_fit(df: DataFrame, text: str, k: int = 5, features: int = 500, min_df: f
     tokens = tx.words(tx.prep_lda(F.col(text)))
     grams = df.withColumn("_g", F.concat(tokens, tx.ngrams(tokens, 2)))
     cv = CountVectorizer(inputCol="_g", outputCol="_v", vocabSize=features, minDF=min_df, maxDF=max_df).fit(grams)
-    counted = cv.transform(grams)
+    counted = durable.materialise(cv.transform(grams))
     lda = LDA(k=k, maxIter=iterations, seed=seed, featuresCol="_v", topicDistributionCol="_d").fit(counted)
     out = lda.transform(counted).withColumn("topic_distribution", vector_to_array("_d")).drop("_g", "_v", "_d")
     return cv, lda, out
@@ -113,9 +114,9 @@ def topic_names(keywords: DataFrame, topic: str = "topic_id") -> DataFrame:
 
 def topic_model(df: DataFrame, key: str, text: str, k: int = 10, dim: int = 512, components: int = 5):
     """Embed, reduce, cluster, then name the clusters: (assigned rows, topic table)."""
-    embedded = embed_tfidf(df, key, text, dim)
+    embedded = durable.materialise(embed_tfidf(df, key, text, dim))
     _, _, reduced = reduce_pca(embedded, F.col("embedding"), components)
     _, assigned = cluster_topics(reduced, k=k)
-    assigned = assigned.drop("embedding", "reduced")
+    assigned = durable.materialise(assigned.drop("embedding", "reduced"))
     names = topic_names(corpus.topic_keywords(assigned, "topic_id", text))
     return assigned, names

@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starsift import schemas
-from starsift.sources import files
+from starsift.plans import summaries
+from starsift.plans.annotate import annotate
 
 
 def nest_aspects(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def fan_out(analysed: DataFrame, id_col: str = "review_id") -> dict[str, DataFra
     out = {}
     key = F.col(id_col).alias("review_id")
     if "review_text" in analysed.columns:
-        renamed = analysed.withColumnRenamed(id_col, "id").withColumnsRenamed({"star_rating": "score"})
+        renamed = analysed.withColumnsRenamed({id_col: "id", "star_rating": "score"})
         out["reviews"] = schemas.conform(renamed, "reviews")
     if "embedding" in analysed.columns:
         out["review_embeddings"] = schemas.conform(analysed.select(key, "embedding"), "review_embeddings")
@@ -39,17 +40,29 @@ def fan_out(analysed: DataFrame, id_col: str = "review_id") -> dict[str, DataFra
     return out
 
 
-def write_analysis(analysed: DataFrame, folder: str, mode: str = "append") -> None:
-    """Write every fan-out table. Store the analysed rows first and read them back, so the
-    annotation runs once and a lost executor re-reads files instead of recomputing."""
-    staged = f"{folder}/_analysed"
+def write_analysis(analysed: DataFrame, folder: str, part: str = "all") -> None:
+    """Write every fan-out table under ``<table>/part=<part>``, replacing that part only.
+
+    The analysed rows are stored first and read back, so the annotation runs once and
+    a lost executor re-reads files. Re-running a part (a retried batch) repeats nothing.
+    """
+    staged = f"{folder}/_analysed/part={part}"
     analysed.write.mode("overwrite").parquet(staged)
     stored = analysed.sparkSession.read.schema(analysed.schema).parquet(staged)
     for name, rows in fan_out(stored).items():
-        rows.write.mode(mode).parquet(f"{folder}/{name}")
+        rows.write.mode("overwrite").parquet(f"{folder}/{name}/part={part}")
 
 
-def rebuild_summaries(folder: str, tables: dict[str, DataFrame]) -> None:
-    """Replace each stored summary table (each table on its own, not all at once)."""
-    for name, df in tables.items():
-        files.rebuild(df, f"{folder}/{name}")
+def ingest(reviews: DataFrame, topics: DataFrame, folder: str, part: str = "all", **annotate_args) -> None:
+    """Annotate, store the four detail tables, rebuild the four summaries from all parts."""
+    spark = reviews.sparkSession
+    helped = F.when(
+        F.col("helpfulness_denominator") > 0, F.col("helpfulness_numerator") / F.col("helpfulness_denominator")
+    ).otherwise(0.0)
+    analysed = annotate(reviews, **annotate_args).withColumn("helpfulness_score", helped)
+    write_analysis(analysed, folder, part)
+    stored = spark.read.schema(schemas.TABLES["reviews"]).parquet(f"{folder}/reviews").withColumnsRenamed(
+        {"id": "review_id", "score": "star_rating"}
+    )
+    aspects = spark.read.schema(schemas.TABLES["aspect_sentiments"]).parquet(f"{folder}/aspect_sentiments")
+    summaries.write_all(summaries.rebuild_all(stored, aspects, topics), folder)

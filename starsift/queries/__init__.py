@@ -4,7 +4,7 @@ import importlib
 
 from starsift.queries.registry import REGISTRY
 
-MODULES = ["sources", "cleaning", "features", "rollups", "explore", "corpus", "entities", "vectors", "modelling"]
+MODULES = ["sources", "cleaning", "features", "rollups", "explore", "corpus", "entities", "vectors", "modelling", "runs"]
 
 
 def load():

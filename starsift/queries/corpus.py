@@ -532,7 +532,8 @@ ASPECT_SQL = f""", t AS (SELECT review_id, review_text AS text, [a FOR a IN {sql
 )
 def aspect_sentiment(s, d):
     return sentiment.aspect_sentiment(
-        ad.reviews(s, d), "review_id", "review_text", sentiment.aspect_candidates(F.col("review_text")), word_balance
+        ad.reviews(s, d), "review_id", "review_text", sentiment.aspect_candidates(F.col("review_text")),
+        lambda sentences: F.transform(sentences, word_balance),
     )
 
 

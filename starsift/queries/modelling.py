@@ -9,6 +9,7 @@ from starsift.operators import cleaning, evaluate, models, resample, sentiment
 from starsift.queries.oracle import over, words
 from starsift.queries.registry import query
 from starsift.sources import adapters as ad
+from starsift.sources import durable
 
 
 def _scores(s, d):
@@ -149,13 +150,6 @@ def class_report(s, d):
     return evaluate.class_report(_scores(s, d), "label", "prediction", [0, 1])
 
 
-def _auc_sql(y: str, x: str, src: str) -> str:
-    return f"""(SELECT sum(p.w) / (any_value(p.np) * any_value(p.nn)) FROM (
-      SELECT a.{x} AS s, (SELECT count(*) FROM {src} WHERE {y} AND true) AS np, (SELECT count(*) FROM {src} WHERE NOT ({y})) AS nn,
-             (SELECT count(*) FROM {src} b WHERE NOT ({y}) AND b.{x} < a.{x}) + 0.5 * (SELECT count(*) FROM {src} b WHERE NOT ({y}) AND b.{x} = a.{x}) AS w
-      FROM {src} a WHERE {y}) p)"""
-
-
 @query(
     "roc_auc",
     "L-20",
@@ -398,6 +392,7 @@ def _helpfulness_model(s, d):
     rows = models.helpfulness_features(r).withColumn(
         "target", ft.helpfulness_ratio(F.col("helpfulness_numerator"), F.col("helpfulness_denominator"))
     )
+    rows = durable.materialise(rows)
     train = cleaning.filter_exposure_adaptive(rows, votes="helpfulness_denominator")
     return models.fit_helpfulness(train, trees=20), rows
 

@@ -43,8 +43,12 @@ def _pick(values: list[str], index: str) -> Column:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One review per order."""
-    return table(spark, sf_dir, "orders").select(
+    return reviews_from(table(spark, sf_dir, "orders"))
+
+
+def reviews_from(orders: DataFrame) -> DataFrame:
+    """One review per order (the orders may be a stream)."""
+    return orders.select(
         F.col("o_orderkey").alias("review_id"),
         F.expr("concat('P', lpad(cast(o_custkey % 40 as string), 3, '0'))").alias("product_id"),
         F.expr("concat('U', cast(o_custkey as string))").alias("user_id"),
@@ -89,8 +93,12 @@ def topics(spark: SparkSession) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_reviews_from(table(spark, sf_dir, "orders"))
+
+
+def raw_reviews_from(orders: DataFrame) -> DataFrame:
     """The public review-CSV layout, with nulls, symbols and non-Latin text."""
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         F.col("o_orderkey").alias("Id"),
         F.expr("concat('P', lpad(cast(o_custkey % 40 as string), 3, '0'))").alias("ProductId"),
         F.expr("concat('U', cast(o_custkey as string))").alias("UserId"),
