@@ -202,7 +202,7 @@ def fan_out(s, d):
     )
 
 
-_NEW_PRODUCTS = """, known AS (SELECT DISTINCT product_id AS id FROM reviews WHERE star_rating = 5 AND topic_id = 0),
+_NEW_PRODUCTS = """, known AS (SELECT DISTINCT product_id AS id FROM reviews WHERE product_id < 'P020'),
   missing AS (SELECT DISTINCT product_id AS id FROM reviews WHERE product_id NOT IN (SELECT id FROM known))"""
 
 
@@ -213,7 +213,7 @@ _NEW_PRODUCTS = """, known AS (SELECT DISTINCT product_id AS id FROM reviews WHE
 )
 def new_products(s, d):
     r = ad.reviews(s, d)
-    known = r.filter((F.col("star_rating") == 5) & (F.col("topic_id") == 0)).select(F.col("product_id").alias("id"))
+    known = r.filter(F.col("product_id") < "P020").select(F.col("product_id").alias("id"))
     return joins.new_products(r, known.distinct())
 
 
@@ -230,7 +230,7 @@ def new_products(s, d):
 def merged_products(s, d):
     r = ad.reviews(s, d)
     known = (
-        r.filter((F.col("star_rating") == 5) & (F.col("topic_id") == 0))
+        r.filter(F.col("product_id") < "P020")
         .select(F.col("product_id").alias("id"), F.lit("Known").alias("brand"), F.lit("Stored").alias("category"))
         .distinct()
     )
