@@ -30,12 +30,12 @@ def count_of(c: Column, pattern: str) -> Column:
     return F.regexp_count(filled(c), F.lit(pattern))
 
 
-def is_upper(w: Column) -> Column:
-    return (w == F.upper(w)) & (w != F.lower(w))
+# a token of two or more characters with an upper-case and no lower-case letter
+CAPS_WORD = f"(?<![^{fv.SPACE}])(?=[^{fv.SPACE}]*\\p{{Lu}})[^{fv.SPACE}\\p{{Ll}}]{{2,}}(?![^{fv.SPACE}])"
 
 
 def caps_word_count(c: Column) -> Column:
-    return F.size(F.filter(tx.words(c), lambda w: is_upper(w) & (F.length(w) > 1)))
+    return count_of(c, CAPS_WORD)
 
 
 def has_number(c: Column) -> Column:
@@ -61,9 +61,8 @@ def caps_letter_ratio(c: Column) -> Column:
 
 def caps_entity_density(c: Column) -> Column:
     """Words after the first that start with a capital, over all words."""
-    w = tx.words(c)
-    n = F.size(w)
-    caps = F.size(F.filter(w, lambda x, i: (i > 0) & F.substring(x, 1, 1).rlike(r"^\p{Lu}")))
+    n = tx.word_count(c)
+    caps = F.regexp_count(tx.strip(filled(c)), F.lit(f"(?<=[{fv.SPACE}])\\p{{Lu}}"))
     return F.when(n > 1, caps / n).otherwise(0.0)
 
 
@@ -83,14 +82,14 @@ def helpfulness_ratio(num: Column, den: Column) -> Column:
 
 def linguistic_features(c: Column) -> dict[str, Column]:
     """Ten writing-quality signals; the sentence count keeps blank trailing pieces."""
-    w, low = tx.words(c), F.lower(filled(c))
-    n = F.size(w)
+    low = F.lower(filled(c))
+    n = tx.word_count(c)
     return {
         "ling_word_count": n,
         "ling_sentence_count": F.size(F.split(filled(c), "[.!?]+")),
         "ling_avg_word_len": avg_word_len(c),
         "ling_char_count": char_count(c),
-        "ling_vocab_richness": F.size(F.array_distinct(F.transform(w, F.lower))) / F.greatest(n, F.lit(1)),
+        "ling_vocab_richness": F.size(F.array_distinct(tx.words(low))) / F.greatest(n, F.lit(1)),
         "ling_exclamation_count": count_of(c, "!"),
         "ling_question_count": count_of(c, r"\?"),
         "ling_caps_word_count": caps_word_count(c),

@@ -142,11 +142,21 @@ def filter_tokens(tokens: Column, stop_words, min_len: int = 2, max_len: int = 4
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """Space-joined n-grams of a token array (empty when the array is shorter than n)."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+    """Space-joined n-grams of a token array (empty when the array is shorter than n).
+
+    Shifted copies of the array are zipped, so the array expression is evaluated
+    n times per row and never once per n-gram.
+    """
+    length = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    grams = F.slice(tokens, 1, length)
+    for shift in range(1, n):
+        grams = F.zip_with(grams, F.slice(tokens, shift + 1, length), lambda a, b: F.concat_ws(" ", a, b))
+    return grams
+
+
+def let(value: Column, body) -> Column:
+    """``body(v)`` with ``value`` evaluated once per row, however often ``v`` occurs in it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def job_tokens(c: Column) -> Column:
@@ -166,6 +176,26 @@ def contains_word(c: Column, keywords) -> Column:
     return F.coalesce(c.rlike(word_pattern(keywords)), F.lit(False))
 
 
+def spaced(c: Column) -> Column:
+    """Text with every run of non-word characters as one space and a space at both ends, so
+    that a whole word can be found as the plain substring `` word ``."""
+    return F.concat(F.lit(" "), F.regexp_replace(c, f"[^{fv.WORD}]+", " "), F.lit(" "))
+
+
+def words_present(c: Column, keywords) -> Column:
+    """The keywords occurring on word boundaries (pass lower-cased text), in the given order."""
+
+    def found(original: Column, padded: Column, k: str) -> Column:
+        if k.replace("_", "").isalnum():
+            return F.contains(padded, F.lit(f" {k} "))
+        return contains_word(original, [k])
+
+    pair = F.struct(c.alias("o"), spaced(c).alias("p"))
+    return let(
+        pair, lambda v: F.array_compact(F.array(*[F.when(found(v["o"], v["p"], k), F.lit(k)) for k in keywords]))
+    )
+
+
 def word_pattern(keywords) -> str:
     """Alternation between word boundaries, spelled out because Java releases differ on ``\\b``."""
     return f"(?<![{fv.WORD}])(?:" + "|".join(escape(k) for k in keywords) + f")(?![{fv.WORD}])"

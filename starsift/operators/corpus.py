@@ -222,13 +222,14 @@ def noun_phrases(tokens: Column, tags: Column) -> Column:
         F.split(code, chunk),
         lambda m, gap: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(m), F.lit(0)).alias("len")),
     )
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
+    # the tokens ride in the fold's state so that they are evaluated once per document
+    start = F.struct(F.lit(0).alias("pos"), tokens.alias("toks"), F.array().cast("array<string>").alias("out"))
 
     def step(acc, p):
         first = acc["pos"] + p["gap"]
-        phrase = F.array_join(F.slice(tokens, first + 1, p["len"]), " ")
+        phrase = F.array_join(F.slice(acc["toks"], first + 1, p["len"]), " ")
         found = F.when(p["len"] >= 2, F.concat(acc["out"], F.array(phrase))).otherwise(acc["out"])
-        return F.struct((first + p["len"]).alias("pos"), found.alias("out"))
+        return F.struct((first + p["len"]).alias("pos"), acc["toks"].alias("toks"), found.alias("out"))
 
     return F.array_distinct(F.aggregate(pieces, start, step, lambda acc: acc["out"]))
 

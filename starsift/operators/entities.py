@@ -1,7 +1,7 @@
 """Brand, feature and model mentions with offsets; entity tables.
 
 Everything works on one review's text or its entity array, so no operator here
-shuffles except the final counts.
+shuffles except the final counts. Offsets come from one Arrow-batched matcher.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -9,66 +9,30 @@ from pyspark.sql import functions as F
 
 from starsift import fixed_values as fv
 from starsift.functions import text as tx
+from starsift.functions.matching import ENTITY, MODEL_PATTERN, find_spans
 from starsift.operators.windows import top_n_by
 
-SPAN = "array<struct<text:string,start:int,end:int>>"
-ENTITY = "array<struct<text:string,label:string,start:int,end:int,confidence:double>>"
-
 
 def spans(text: Column, pattern: str) -> Column:
-    """Matches of a pattern with 0-based start and end offsets.
-
-    Offsets follow from the lengths of the matches and of the pieces between them.
-    """
-    text = F.coalesce(text, F.lit(""))
-    pieces = F.zip_with(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        F.split(text, pattern),
-        lambda m, gap: F.struct(F.length(gap).alias("gap"), m.alias("m")),
-    )
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(SPAN).alias("out"))
-
-    def step(acc, p):
-        first = acc["pos"] + p["gap"]
-        last = first + F.coalesce(F.length(p["m"]), F.lit(0))
-        span = F.struct(p["m"].alias("text"), first.alias("start"), last.alias("end"))
-        out = F.when(p["m"].isNotNull(), F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
-        return F.struct(last.alias("pos"), out.alias("out"))
-
-    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
-
-
-def labelled(found: Column, label: str, confidence: float) -> Column:
-    return F.transform(
-        found,
-        lambda s: F.struct(
-            s["text"].alias("text"),
-            F.lit(label).alias("label"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            F.lit(confidence).alias("confidence"),
-        ),
-    )
+    """Matches of a pattern with 0-based start and end offsets."""
+    return F.transform(find_spans(text, [("", pattern, 0.0)]), _bare)
 
 
-def dictionary_pattern(terms) -> str:
-    """Case-insensitive whole-word alternation, longer terms first."""
-    ordered = sorted({t.lower() for t in terms}, key=lambda t: (-len(t), t))
-    return "(?i)" + tx.word_pattern(ordered)
+def _bare(e: Column) -> Column:
+    return F.struct(e["text"].alias("text"), e["start"].alias("start"), e["end"].alias("end"))
 
 
 def brand_entities(text: Column, brands=tuple(fv.BRANDS)) -> Column:
-    return labelled(spans(text, dictionary_pattern(brands)), "BRAND", fv.BRAND_CONFIDENCE)
+    return find_spans(text, [("BRAND", brands, fv.BRAND_CONFIDENCE)])
 
 
 def feature_entities(text: Column, features=tuple(fv.PRODUCT_FEATURES)) -> Column:
-    return labelled(spans(text, dictionary_pattern(features)), "FEATURE", fv.FEATURE_CONFIDENCE)
+    return find_spans(text, [("FEATURE", features, fv.FEATURE_CONFIDENCE)])
 
 
 def model_entities(text: Column) -> Column:
     """Letters plus digits, or letters-hyphen-digits."""
-    either = "|".join(reversed(fv.MODEL_PATTERNS_SHORT))
-    return labelled(spans(text, either), "PRODUCT_MODEL", fv.MODEL_CONFIDENCE)
+    return find_spans(text, [("PRODUCT_MODEL", MODEL_PATTERN, fv.MODEL_CONFIDENCE)])
 
 
 def brand_mentions(df: DataFrame, key: str, text: str, brands: DataFrame) -> DataFrame:
@@ -79,10 +43,10 @@ def brand_mentions(df: DataFrame, key: str, text: str, brands: DataFrame) -> Dat
     return counts.join(named, "_t").select(key, "brand", "mentions")
 
 
-def _greedy(sorted_spans: Column, kind: str, keep_text_once: bool) -> Column:
+def _greedy(sorted_spans: Column, keep_text_once: bool) -> Column:
     """Walk spans in order, dropping any that start before the last kept end."""
     start = F.struct(
-        F.lit(-1).alias("last"), F.array().cast("array<string>").alias("seen"), F.array().cast(kind).alias("out")
+        F.lit(-1).alias("last"), F.array().cast("array<string>").alias("seen"), F.array().cast(ENTITY).alias("out")
     )
 
     def step(acc, e):
@@ -102,67 +66,69 @@ def _greedy(sorted_spans: Column, kind: str, keep_text_once: bool) -> Column:
 
 def model_numbers(text: Column, patterns=tuple(fv.MODEL_PATTERNS_FULL)) -> Column:
     """Model-number spans of several patterns, overlaps removed left to right."""
-    found = F.concat(
-        *[
-            F.transform(
-                spans(text, p),
-                lambda s, i=i: F.struct(
-                    s["start"].alias("start"), F.lit(i).alias("layer"), s["end"].alias("end"), s["text"].alias("text")
-                ),
-            )
-            for i, p in enumerate(patterns)
-        ]
-    )
-    ordered = F.transform(
-        F.sort_array(found),
-        lambda s: F.struct(s["text"].alias("text"), s["start"].alias("start"), s["end"].alias("end")),
-    )
-    return _greedy(ordered, SPAN, False)
+    found = find_spans(text, [(str(i), p, 0.0) for i, p in enumerate(patterns)], once=False)
+    return F.transform(_greedy(found, False), _bare)
+
+
+def _place(e: Column, rank: Column) -> Column:
+    """Sort key first, so that plain struct ordering sorts by start, then rank, then end."""
+    return F.struct(e["start"].alias("start"), rank.alias("rank"), e["end"].alias("end"), e.alias("e"))
 
 
 def merge_layers(*layers: Column) -> Column:
     """Entities of all layers, earlier layers winning a repeated span, sorted by start."""
-    every = F.concat(*layers)
-    places = F.transform(every, lambda e: F.concat_ws(":", e["start"].cast("string"), e["end"].cast("string")))
-    kept = F.filter(
-        every,
-        lambda e, i: F.array_position(places, F.concat_ws(":", e["start"].cast("string"), e["end"].cast("string")))
-        == i + 1,
-    )
-    return F.array_sort(
-        kept,
-        lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1)
-        .when(a["end"] < b["end"], -1).when(a["end"] > b["end"], 1).otherwise(0),
-    )
+    def place(layer: Column, i: int) -> Column:
+        return F.transform(
+            layer,
+            lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), F.lit(i).alias("layer"), e.alias("e")),
+        )
 
+    placed = F.concat(*[place(layer, i) for i, layer in enumerate(layers)])
+    start = F.struct(F.lit(-1).alias("s"), F.lit(-1).alias("t"), F.array().cast(ENTITY).alias("out"))
 
-def extract_entities(text: Column) -> Column:
-    return merge_layers(brand_entities(text), feature_entities(text), model_entities(text))
+    def step(acc, p):
+        repeated = (acc["s"] == p["start"]) & (acc["t"] == p["end"])
+        return F.struct(
+            p["start"].alias("s"),
+            p["end"].alias("t"),
+            F.when(repeated, acc["out"]).otherwise(F.concat(acc["out"], F.array(p["e"]))).alias("out"),
+        )
+
+    return F.aggregate(F.sort_array(placed), start, step, lambda acc: acc["out"])
+
+
+def extract_entities(text: Column, brands=tuple(fv.BRANDS), features=tuple(fv.PRODUCT_FEATURES)) -> Column:
+    """Brand, feature and model layers in one pass, repeated spans kept once, sorted by start."""
+    return find_spans(
+        text,
+        [
+            ("BRAND", brands, fv.BRAND_CONFIDENCE),
+            ("FEATURE", features, fv.FEATURE_CONFIDENCE),
+            ("PRODUCT_MODEL", MODEL_PATTERN, fv.MODEL_CONFIDENCE),
+        ],
+    )
 
 
 def resolve_overlaps(entities: Column) -> Column:
     """By start then confidence: drop overlaps and repeats of the same text."""
-    ordered = F.array_sort(
-        entities,
-        lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1)
-        .when(a["confidence"] > b["confidence"], -1).when(a["confidence"] < b["confidence"], 1).otherwise(0),
-    )
-    return _greedy(ordered, ENTITY, True)
+    placed = F.sort_array(F.transform(entities, lambda e: _place(e, -e["confidence"])))
+    return _greedy(F.transform(placed, lambda p: p["e"]), True)
 
 
 def aspect_map(text: Column, aspects=fv.ENTITY_ASPECTS) -> Column:
     """Map aspect -> keywords found on word boundaries."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("key"),
-                F.array_compact(F.array(*[F.when(tx.contains_word(low, [k]), F.lit(k)) for k in keys])).alias("value"),
-            )
-            for a, keys in aspects.items()
-        ]
-    )
-    return F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]) > 0))
+    every = [k for keys in aspects.values() for k in keys]
+    present = tx.words_present(F.lower(F.coalesce(text, F.lit(""))), list(dict.fromkeys(every)))
+
+    def matched(found: Column, keys: list[str]) -> Column:
+        return F.filter(found, lambda k: k.isin(*keys))
+
+    def entries(found: Column) -> Column:
+        return F.array(
+            *[F.struct(F.lit(a).alias("key"), matched(found, keys).alias("value")) for a, keys in aspects.items()]
+        )
+
+    return F.map_from_entries(F.filter(tx.let(present, entries), lambda e: F.size(e["value"]) > 0))
 
 
 def entity_columns(df: DataFrame, entities: str, aspects: str | None = None) -> DataFrame:
@@ -190,14 +156,16 @@ def entity_columns(df: DataFrame, entities: str, aspects: str | None = None) ->
 def brand_pairs(df: DataFrame, brands: Column, n: int = 10) -> DataFrame:
     """Most frequent pairs of brands in one review (a review holds at most the dictionary's brands)."""
     listed = F.array_sort(F.array_distinct(F.filter(F.transform(brands, lambda b: F.trim(b)), lambda b: b != "")))
-    pairs = F.flatten(
-        F.transform(
-            listed,
-            lambda a, i: F.transform(
-                F.slice(listed, i + 2, F.size(listed)), lambda b: F.struct(a.alias("brand_1"), b.alias("brand_2"))
-            ),
+    kind = "array<struct<brand_1:string,brand_2:string>>"
+    start = F.struct(F.array().cast("array<string>").alias("before"), F.array().cast(kind).alias("out"))
+
+    def step(acc, b):
+        new = F.transform(acc["before"], lambda a: F.struct(a.alias("brand_1"), b.alias("brand_2")))
+        return F.struct(
+            F.concat(acc["before"], F.array(b)).alias("before"), F.concat(acc["out"], new).alias("out")
         )
-    )
+
+    pairs = F.aggregate(listed, start, step, lambda acc: acc["out"])
     counts = df.select(F.inline(pairs)).groupBy("brand_1", "brand_2").agg(F.count("*").alias("co_mentions"))
     return counts.orderBy(F.desc("co_mentions"), "brand_1", "brand_2").limit(n)
 

@@ -53,11 +53,17 @@ def aspects_from_entities(entities: Column, entity_labels=("FEATURE", "PRODUCT")
 def aspect_scores(sentences: Column, scores: Column, aspects: Column) -> Column:
     """Aspect, label, confidence and mean score from the sentences that mention each aspect."""
     scored = F.zip_with(sentences, scores, lambda t, x: F.struct(F.lower(t).alias("t"), x.alias("x")))
-
-    def one(aspect: Column) -> Column:
-        hits = F.transform(F.filter(scored, lambda p: F.contains(p["t"], F.lower(aspect))), lambda p: p["x"])
-        total = F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + x)
-        return F.struct(aspect.alias("aspect"), F.try_divide(total, F.size(hits)).alias("m"))
+    means = "array<struct<aspect:string,m:double>>"
+    # the scored sentences ride in the fold's state: evaluated once, not once per aspect
+    start = F.struct(scored.alias("p"), F.array().cast(means).alias("out"))
+
+    def one(acc, aspect):
+        hits = F.transform(F.filter(acc["p"], lambda p: F.contains(p["t"], F.lower(aspect))), lambda p: p["x"])
+        mean = tx.let(
+            hits, lambda h: F.try_divide(F.aggregate(h, F.lit(0.0), lambda total, x: total + x), F.size(h))
+        )
+        found = F.array(F.struct(aspect.alias("aspect"), mean.alias("m")))
+        return F.struct(acc["p"].alias("p"), F.concat(acc["out"], found).alias("out"))
 
     def rated(e: Column) -> Column:
         m = e["m"]
@@ -71,7 +77,7 @@ def aspect_scores(sentences: Column, scores: Column, aspects: Column) -> Column:
             F.coalesce(m, F.lit(0.0)).alias("score"),
         )
 
-    return F.transform(F.transform(aspects, one), rated)
+    return F.transform(F.aggregate(aspects, start, one, lambda acc: acc["out"]), rated)
 
 
 def aspect_sentiment(
