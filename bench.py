@@ -36,9 +36,6 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # the driver tables are single small files: split them so that every core scans
-        .config("spark.sql.files.maxPartitionBytes", "1m")
-        .config("spark.sql.files.openCostInBytes", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

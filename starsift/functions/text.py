@@ -4,6 +4,8 @@
 defaults are ASCII-only and would strip accented letters.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -167,8 +169,17 @@ def job_tokens(c: Column) -> Column:
 
 
 def contains_any(c: Column, keywords) -> Column:
-    """Any keyword occurs as a substring (case-sensitive; pass lower-cased text)."""
-    return F.coalesce(c.rlike("|".join(escape(k) for k in keywords)), F.lit(False))
+    """Any keyword occurs as a substring (case-sensitive; pass a lower-cased column).
+
+    Byte searches are several times cheaper than one alternation pattern.
+    """
+    hit = reduce(lambda a, b: a | b, (F.contains(c, F.lit(k)) for k in keywords))
+    return F.coalesce(hit, F.lit(False))
+
+
+def contains_word_in(padded: Column, keywords) -> Column:
+    """Any single-word keyword occurs in text padded by :func:`spaced`."""
+    return contains_any(padded, [f" {k} " for k in keywords])
 
 
 def contains_word(c: Column, keywords) -> Column:

@@ -203,14 +203,31 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def clean_stage(raw: DataFrame) -> DataFrame:
-    """Null filter, text cleaning, merge, blank and language filters (no shuffle)."""
-    merged = (
-        drop_null_essentials(raw)
-        .withColumn("clean_summary", tx.clean_review_text(F.col("Summary")))
-        .withColumn("clean_text", tx.clean_review_text(F.col("Text")))
-        .withColumn("clean_review_text", tx.merge_summary_text(F.col("clean_summary"), F.col("clean_text")))
+    """Null filter, text cleaning, merge, blank and language filters (no shuffle).
+
+    The cleaned values are built and tested inside one array value that is then
+    inlined. A plain ``filter`` on them would be pushed below the projection, which
+    repeats the whole cleaning chain for every mention of a cleaned column.
+    """
+    cleaned = F.array(
+        F.struct(
+            tx.clean_review_text(F.col("Summary")).alias("clean_summary"),
+            tx.clean_review_text(F.col("Text")).alias("clean_text"),
+        )
+    )
+    merged = F.transform(
+        cleaned,
+        lambda v: F.struct(
+            v["clean_summary"].alias("clean_summary"),
+            v["clean_text"].alias("clean_text"),
+            tx.merge_summary_text(v["clean_summary"], v["clean_text"]).alias("clean_review_text"),
+        ),
+    )
+    kept = F.filter(
+        merged,
+        lambda v: (F.trim(v["clean_review_text"]) != "") & tx.is_likely_english(v["clean_review_text"]),
     )
-    return drop_blank(merged).filter(tx.is_likely_english(F.col("clean_review_text")))
+    return drop_null_essentials(raw).select("*", F.inline(kept))
 
 
 def ingest_stats(raw: DataFrame) -> DataFrame:

@@ -194,9 +194,11 @@ def taxonomy_terms(c: Column, terms) -> Column:
 
 def match_taxonomy(df: DataFrame, text: str, taxonomy=fv.SKILLS, name: str = "found") -> DataFrame:
     """Map category -> matched terms, categories without a match left out."""
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    entries = F.array(*[F.struct(F.lit(c).alias("key"), taxonomy_terms(low, t).alias("value")) for c, t in taxonomy.items()])
-    return df.withColumn(name, F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]) > 0)))
+    low = df.withColumn("_low", F.lower(F.coalesce(F.col(text), F.lit(""))))
+    entries = F.array(
+        *[F.struct(F.lit(c).alias("key"), taxonomy_terms(F.col("_low"), t).alias("value")) for c, t in taxonomy.items()]
+    )
+    return low.withColumn(name, F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]) > 0))).drop("_low")
 
 
 def tag_tokens(df: DataFrame, key: str, tokens: Column, tags: DataFrame, default: str = "NN") -> DataFrame:

@@ -19,9 +19,11 @@ def _rows(df: DataFrame, names: list[str], fields: dict[str, str], key: str, kee
     return df.select(*keep, F.inline(F.array(*structs)))
 
 
-def _flags(text: Column, groups: dict[str, list[str]], match) -> list[Column]:
-    low = F.lower(text)
-    return [match(low, words) for words in groups.values()]
+def _flagged(df: DataFrame, text: str, groups: dict[str, list[str]], keep: list[str]) -> DataFrame:
+    """``keep`` columns plus one boolean ``h_<i>`` per keyword group. The lower-cased text is
+    projected first, so it is computed once per row and not once per keyword."""
+    low = df.select(*keep, F.lower(F.col(text)).alias("_low"))
+    return low.select(*keep, *[tx.contains_any(F.col("_low"), w).alias(f"h_{i}") for i, w in enumerate(groups.values())])
 
 
 def analyse_complaints(
@@ -30,11 +32,12 @@ def analyse_complaints(
     """Complaint groups over reviews of at most three stars, ranked by severity (one pass)."""
     low_star = F.col("star_rating") <= 3
     aggs = [F.count("*").alias("n_all"), F.count_if(low_star).alias("n_neg")]
-    for i, hit in enumerate(_flags(F.col(text), groups, tx.contains_any)):
-        aggs.append(F.count_if(hit & low_star).alias(f"c_{i}"))
-        aggs.append(F.avg(F.when(hit & low_star, F.col("star_rating"))).alias(f"s_{i}"))
+    for i in range(len(groups)):
+        hit = F.col(f"h_{i}") & low_star
+        aggs.append(F.count_if(hit).alias(f"c_{i}"))
+        aggs.append(F.avg(F.when(hit, F.col("star_rating"))).alias(f"s_{i}"))
     names = list(groups)
-    rows = _rows(df.agg(*aggs), names, {"mention_count": "c", "avg_star_rating": "s"}, "complaint", ["n_all", "n_neg"])
+    rows = _rows(_flagged(df, text, groups, ["star_rating"]).agg(*aggs), names, {"mention_count": "c", "avg_star_rating": "s"}, "complaint", ["n_all", "n_neg"])
     weight = F.element_at(F.create_map(*[F.lit(x) for n in names for x in (n, float(weights.get(n, 1.0)))]),
                           F.col("complaint"))
     n = F.col("mention_count")
@@ -57,10 +60,10 @@ def defect_rates(
     df: DataFrame, text: str = "review_text", words=tuple(fv.DEFECT_KEYWORDS), warn: float = 5.0, crit: float = 10.0
 ) -> DataFrame:
     """Defect mention rate per product and month with its alert level."""
-    hit = tx.contains_any(F.lower(F.col(text)), words)
     keyed = df.filter(F.col("product_id").isNotNull() & F.col("month").isNotNull())
-    per = keyed.groupBy("product_id", "month").agg(
-        F.count(text).alias("total_reviews"), F.count_if(hit).alias("defect_mentions")
+    flagged = _flagged(keyed.withColumn("_has", F.col(text).isNotNull()), text, {"defect": words}, ["product_id", "month", "_has"])
+    per = flagged.groupBy("product_id", "month").agg(
+        F.count_if("_has").alias("total_reviews"), F.count_if("h_0").alias("defect_mentions")
     )
     rate = F.coalesce(F.try_divide(F.col("defect_mentions") * 100.0, F.col("total_reviews")), F.lit(0.0))
     return per.withColumn("defect_rate_pct", rate).withColumn(
@@ -71,10 +74,12 @@ def defect_rates(
 def aspect_keyword_sentiment(df: DataFrame, text: str = "review_text", aspects=fv.ASPECT_KEYWORDS) -> DataFrame:
     """Mentions and polarity hits per aspect. A text may count as both positive and
     negative, so ``neutral`` can be below zero, as in the surveyed behaviour."""
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    pos, neg = tx.contains_any(low, fv.ASPECT_POSITIVE), tx.contains_any(low, fv.ASPECT_NEGATIVE)
-    marked = df.select(
-        pos.alias("pos"), neg.alias("neg"), *[tx.contains_word(low, w).alias(f"a_{i}") for i, w in enumerate(aspects.values())]
+    low = df.select(F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_low"))
+    padded = low.select("_low", tx.spaced(F.col("_low")).alias("_pad"))
+    marked = padded.select(
+        tx.contains_any(F.col("_low"), fv.ASPECT_POSITIVE).alias("pos"),
+        tx.contains_any(F.col("_low"), fv.ASPECT_NEGATIVE).alias("neg"),
+        *[tx.contains_word_in(F.col("_pad"), w).alias(f"a_{i}") for i, w in enumerate(aspects.values())],
     )
     aggs = [F.count("*").alias("n_all")]
     for i in range(len(aspects)):
@@ -186,10 +191,9 @@ def monthly_volume(df: DataFrame) -> DataFrame:
 
 def complaint_matrix(df: DataFrame, text: str = "review_text", groups=fv.COMPLAINT_KEYWORDS) -> DataFrame:
     """Share of each product's reviews of at most three stars that mention each complaint."""
-    low = df.filter(F.col("star_rating") <= 3)
-    hits = _flags(F.col(text), groups, tx.contains_any)
+    low = _flagged(df.filter(F.col("star_rating") <= 3), text, groups, ["product_id"])
     agg = low.groupBy("product_id").agg(
-        F.count("*").alias("n_neg"), *[F.count_if(h).alias(f"c_{i}") for i, h in enumerate(hits)]
+        F.count("*").alias("n_neg"), *[F.count_if(f"h_{i}").alias(f"c_{i}") for i in range(len(groups))]
     )
     rows = _rows(agg, list(groups), {"mentions": "c"}, "complaint", ["product_id", "n_neg"])
     return rows.select("product_id", "complaint", (F.col("mentions") * 100.0 / F.col("n_neg")).alias("pct"))
@@ -198,24 +202,24 @@ def complaint_matrix(df: DataFrame, text: str = "review_text", groups=fv.COMPLAI
 def complaint_by_star(df: DataFrame, text: str = "review_text", groups=fv.COMPLAINT_KEYWORDS, first: int = 5) -> DataFrame:
     """Complaint share at one, two and three stars for the first complaint groups."""
     names = list(groups)[:first]
-    hits = _flags(F.col(text), {n: groups[n] for n in names}, tx.contains_any)
+    flagged = _flagged(df, text, {n: groups[n] for n in names}, ["star_rating"])
     aggs = []
-    for i, h in enumerate(hits):
+    for i in range(len(names)):
         for star in (1, 2, 3):
             at = F.col("star_rating") == star
-            share = F.try_divide(F.count_if(h & at) * 100.0, F.count_if(at))
+            share = F.try_divide(F.count_if(F.col(f"h_{i}") & at) * 100.0, F.count_if(at))
             aggs.append(F.coalesce(share, F.lit(0.0)).alias(f"s{star}_{i}"))
     fields = {f"pct_{k}star": f"s{k}" for k in (1, 2, 3)}
-    return _rows(df.agg(*aggs), names, fields, "complaint", [])
+    return _rows(flagged.agg(*aggs), names, fields, "complaint", [])
 
 
 def complaint_trend(df: DataFrame, name: str, text: str = "review_text", groups=fv.COMPLAINT_KEYWORDS) -> DataFrame:
     """Monthly rate of one complaint group over all reviews."""
-    hit = tx.contains_any(F.lower(F.col(text)), groups[name])
+    dated = df.filter(F.col("month").isNotNull()).withColumn("_has", F.col(text).isNotNull())
     return (
-        df.filter(F.col("month").isNotNull())
+        _flagged(dated, text, {name: groups[name]}, ["month", "_has"])
         .groupBy("month")
-        .agg(F.count(text).alias("total"), F.count_if(hit).alias("complaint"))
+        .agg(F.count_if("_has").alias("total"), F.count_if("h_0").alias("complaint"))
         .withColumn("rate", F.try_divide(F.col("complaint") * 100.0, F.col("total")))
     )
 

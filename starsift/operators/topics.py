@@ -17,8 +17,8 @@ from starsift.sources import durable
 def lda_fit(df: DataFrame, text: str, k: int = 5, features: int = 500, min_df: float = 3, max_df: float = 0.9,
             iterations: int = 20, seed: int = 42):
     """(vocabulary model, LDA model, rows with a ``topic_distribution`` array)."""
-    tokens = tx.words(tx.prep_lda(F.col(text)))
-    grams = df.withColumn("_g", F.concat(tokens, tx.ngrams(tokens, 2)))
+    tokens = df.withColumn("_t", tx.words(tx.prep_lda(F.col(text))))
+    grams = tokens.withColumn("_g", F.concat("_t", tx.ngrams(F.col("_t"), 2))).drop("_t")
     cv = CountVectorizer(inputCol="_g", outputCol="_v", vocabSize=features, minDF=min_df, maxDF=max_df).fit(grams)
     counted = durable.materialise(cv.transform(grams))
     lda = LDA(k=k, maxIter=iterations, seed=seed, featuresCol="_v", topicDistributionCol="_d").fit(counted)

@@ -12,7 +12,7 @@ from starsift.sources import adapters as ad
 
 
 def _docs(s, d):
-    return ad.table(s, d, "documents")
+    return ad.documents(s, d)
 
 
 @query(

@@ -15,7 +15,7 @@ JOB_STOP = sorted(set(fv.GENERAL_STOP_WORDS) | set(fv.JOB_STOP_WORDS))
 
 
 def _docs(s, d):
-    return ad.table(s, d, "documents")
+    return ad.documents(s, d)
 
 
 VT = f"regexp_extract_all(lower(text), '[{WD}]{{2,}}')"
@@ -87,7 +87,7 @@ def doc_keywords(s, d):
 def top_words_by_class(s, d):
     stars = F.col("star_rating")
     cls = F.when(stars >= 4, "positive").when(stars <= 2, "negative")
-    return corpus.top_words(ad.reviews(s, d), cls, "review_text", 20)
+    return corpus.top_words(ad.text_reviews(s, d), cls, "review_text", 20)
 
 
 _RAKE = "[ \\t\\n\\f\\r\\x0B\\-–,.;:!?()\\[\\]{{}}\"'']+".replace("{{}}", "{}")
@@ -399,7 +399,7 @@ def conversation_points(s, d):
 )
 def cohort_rows(s, d):
     label = labels.compound_label(F.col("compound"))
-    picked = ad.reviews(s, d).filter(label != "neutral")
+    picked = ad.text_reviews(s, d).filter(label != "neutral")
     return summaries.cohorts(picked, label, [F.asc("review_id")], 10).select("cohort", "position", "review_id")
 
 
@@ -414,14 +414,14 @@ def cohort_rows(s, d):
     ),
 )
 def product_cohort_rows(s, d):
-    return summaries.cohorts(ad.reviews(s, d), F.col("product_id"), [F.asc("review_id")], 30).select(
+    return summaries.cohorts(ad.text_reviews(s, d), F.col("product_id"), [F.asc("review_id")], 30).select(
         "cohort", "position", "review_id"
     )
 
 
 @query("lda_topics", "F-21 F-22")
 def lda_topics(s, d):
-    r = ad.reviews(s, d).select("review_id", "month", "review_text")
+    r = ad.text_reviews(s, d).select("review_id", "month", "review_text")
     cv, lda, rows = topics.lda_fit(r, "review_text", 5, iterations=10)
     named = topics.lda_labels(cv, lda)
     return topics.dominant_topic(rows).groupBy("topic").agg(F.count("*").alias("n")).join(named, "topic")
@@ -445,7 +445,7 @@ def dominant_dimension(s, d):
     ),
 )
 def topic_month(s, d):
-    r = ad.reviews(s, d).withColumn("t", F.concat(F.lit("t"), F.col("topic_id").cast("string")))
+    r = ad.text_reviews(s, d).withColumn("t", F.concat(F.lit("t"), F.col("topic_id").cast("string")))
     return topics.topic_month(r, "t", [f"t{i}" for i in range(6)])
 
 
@@ -460,17 +460,17 @@ TREND = """, c AS (SELECT topic_id, month, count(*) AS n FROM reviews GROUP BY A
 
 @query("topic_trend", "F-24 G-09", over("reviews", TREND + " SELECT * FROM trend"))
 def topic_trend(s, d):
-    return topics.topic_trend(ad.reviews(s, d), "topic_id")
+    return topics.topic_trend(ad.text_reviews(s, d), "topic_id")
 
 
 @query("trending_topic", "F-24", over("reviews", TREND + " SELECT * FROM trend ORDER BY trend_pct DESC, topic_id LIMIT 1"))
 def trending_topic(s, d):
-    return topics.trending_topic(topics.topic_trend(ad.reviews(s, d), "topic_id"), "topic_id")
+    return topics.trending_topic(topics.topic_trend(ad.text_reviews(s, d), "topic_id"), "topic_id")
 
 
 @query("lexicon_sentiment", "F-25 C-30")
 def lexicon_sentiment(s, d):
-    return sentiment.sentiment_features(ad.reviews(s, d), "review_text", stars="star_rating").select(
+    return sentiment.sentiment_features(ad.text_reviews(s, d), "review_text", stars="star_rating").select(
         "review_id", "vader_compound", "vader_positive", "vader_negative", "vader_neutral", "vader_label",
         "sentiment_star_agree",
     )
@@ -489,7 +489,7 @@ def lexicon_sentiment(s, d):
 )
 def overall_sentiment(s, d):
     c = F.col("compound")
-    r = ad.reviews(s, d).select(
+    r = ad.text_reviews(s, d).select(
         "review_id", "compound", F.greatest(c, F.lit(0.0)).alias("pos"), F.greatest(-c, F.lit(0.0)).alias("neg"),
         (1 - F.abs(c)).alias("neu"),
     )
@@ -532,7 +532,7 @@ ASPECT_SQL = f""", t AS (SELECT review_id, review_text AS text, [a FOR a IN {sql
 )
 def aspect_sentiment(s, d):
     return sentiment.aspect_sentiment(
-        ad.reviews(s, d), "review_id", "review_text", sentiment.aspect_candidates(F.col("review_text")),
+        ad.text_reviews(s, d), "review_id", "review_text", sentiment.aspect_candidates(F.col("review_text")),
         lambda sentences: F.transform(sentences, word_balance),
     )
 
@@ -543,6 +543,6 @@ def aspect_sentiment(s, d):
     over("reviews", f"SELECT review_id, array_to_string([a FOR a IN {sql_list(fv.DEFAULT_ASPECTS)} IF contains(lower(review_text), a)], ',') AS aspects FROM reviews"),
 )
 def aspect_candidates(s, d):
-    return ad.reviews(s, d).select(
+    return ad.text_reviews(s, d).select(
         "review_id", F.array_join(sentiment.aspect_candidates(F.col("review_text")), ",").alias("aspects")
     )

@@ -10,11 +10,12 @@ from starsift.queries.oracle import over, sql_in, words
 from starsift.queries.registry import query
 from starsift.sources import adapters as ad
 
-T = F.col("review_text")
+def _text():
+    return F.col("review_text")
 
 
 def _with_entities(s, d):
-    return ad.numbered_reviews(s, d).withColumn("entities", en.extract_entities(T))
+    return ad.numbered_reviews(s, d).withColumn("entities", en.extract_entities(_text()))
 
 
 def _alt(terms) -> str:
@@ -36,7 +37,7 @@ MODEL_RE = "[A-Za-z]+-[0-9]{1,4}\\b|\\b[A-Za-z]+[0-9]{1,4}[A-Za-z]?\\b"
     ),
 )
 def brand_entities(s, d):
-    rows = ad.reviews(s, d).select("review_id", F.inline(en.brand_entities(T)))
+    rows = ad.text_reviews(s, d).select("review_id", F.inline(en.brand_entities(_text())))
     return rows.select("review_id", "text", "label", "confidence", "start", "end")
 
 
@@ -50,7 +51,7 @@ def brand_entities(s, d):
     ),
 )
 def feature_mentions(s, d):
-    rows = ad.reviews(s, d).select("review_id", F.inline(en.feature_entities(T)))
+    rows = ad.text_reviews(s, d).select("review_id", F.inline(en.feature_entities(_text())))
     return rows.groupBy("review_id", F.lower("text").alias("text")).agg(F.count("*").alias("n"))
 
 
@@ -61,7 +62,7 @@ def feature_mentions(s, d):
 )
 def spans_match_text(s, d):
     """Every span's offsets cut exactly its text out of the document."""
-    found = ad.table(s, d, "documents").withColumn("sp", en.spans(F.col("text"), "[A-Z][a-z]+"))
+    found = ad.documents(s, d).withColumn("sp", en.spans(F.col("text"), "[A-Z][a-z]+"))
     ok = F.filter("sp", lambda e: F.substr("text", e["start"] + 1, e["end"] - e["start"]) == e["text"])
     return found.select("doc_id", F.size("sp").alias("spans"), F.size(ok).alias("in_place"))
 
@@ -119,7 +120,7 @@ def merged_layers(s, d):
     ),
 )
 def resolved_overlaps(s, d):
-    r = ad.reviews(s, d).withColumn("e", en.resolve_overlaps(F.concat(en.feature_entities(T), en.brand_entities(T))))
+    r = ad.text_reviews(s, d).withColumn("e", en.resolve_overlaps(F.concat(en.feature_entities(_text()), en.brand_entities(_text()))))
     return r.filter(F.size("e") > 0).select("review_id", F.size("e").cast("bigint").alias("n"))
 
 
@@ -134,7 +135,7 @@ def _aspect_sql(a: str) -> str:
     over("reviews", f", t AS (SELECT review_id, lower(review_text) AS low FROM reviews) SELECT review_id, {', '.join(_aspect_sql(a) for a in fv.ENTITY_ASPECTS)} FROM t"),
 )
 def aspect_map(s, d):
-    m = ad.reviews(s, d).select("review_id", en.aspect_map(T).alias("m"))
+    m = ad.text_reviews(s, d).select("review_id", en.aspect_map(_text()).alias("m"))
     return m.select(
         "review_id",
         *[F.coalesce(F.array_join(F.try_element_at("m", F.lit(a)), ","), F.lit("")).alias(a) for a in fv.ENTITY_ASPECTS],
@@ -155,7 +156,7 @@ def aspect_map(s, d):
     ),
 )
 def entity_columns(s, d):
-    r = ad.reviews(s, d).select("review_id", en.extract_entities(T).alias("entities"), en.aspect_map(T).alias("a"))
+    r = ad.text_reviews(s, d).select("review_id", en.extract_entities(_text()).alias("entities"), en.aspect_map(_text()).alias("a"))
     return en.entity_columns(r, "entities", "a").select(
         "review_id", "brands", "brand_count", "has_brand", "top_brand", "entity_count"
     )
@@ -173,9 +174,9 @@ def entity_columns(s, d):
     ),
 )
 def brand_pairs(s, d):
-    found = F.transform(en.brand_entities(T), lambda e: e["text"])
+    found = F.transform(en.brand_entities(_text()), lambda e: e["text"])
     listed = F.concat(found, F.when(F.col("verified"), F.array(F.lit("Anker"))).otherwise(F.array().cast("array<string>")))
-    return en.brand_pairs(ad.reviews(s, d), listed, 10)
+    return en.brand_pairs(ad.text_reviews(s, d), listed, 10)
 
 
 @query(
@@ -188,7 +189,7 @@ def brand_pairs(s, d):
     ),
 )
 def brand_frequencies(s, d):
-    return en.brand_frequencies(ad.reviews(s, d), F.transform(en.brand_entities(T), lambda e: e["text"]))
+    return en.brand_frequencies(ad.text_reviews(s, d), F.transform(en.brand_entities(_text()), lambda e: e["text"]))
 
 
 @query(
@@ -205,7 +206,7 @@ def brand_frequencies(s, d):
     ),
 )
 def aspect_frequencies(s, d):
-    return en.aspect_frequencies(ad.reviews(s, d), en.aspect_map(T))
+    return en.aspect_frequencies(ad.text_reviews(s, d), en.aspect_map(_text()))
 
 
 @query(
@@ -244,6 +245,6 @@ def mapped_entity_labels(s, d):
 )
 def densities(s, d):
     entities = F.col("entities")
-    r = ad.reviews(s, d).withColumn("entities", en.extract_entities(T))
-    cols = en.densities(T, entities, sentiment.aspects_from_entities(entities))
+    r = ad.text_reviews(s, d).withColumn("entities", en.extract_entities(_text()))
+    cols = en.densities(_text(), entities, sentiment.aspects_from_entities(entities))
     return r.select("review_id", *[c.alias(n) for n, c in cols.items()])

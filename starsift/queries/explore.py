@@ -16,7 +16,7 @@ def _reviews(s, d):
 
 
 def _docs(s, d):
-    return ad.table(s, d, "documents").withColumn("word_count", tx.word_count(F.col("text")))
+    return ad.documents(s, d).withColumn("word_count", tx.word_count(F.col("text")))
 
 
 R = f", r AS (SELECT *, len({words('review_text')}) AS word_count FROM reviews)"

@@ -14,7 +14,7 @@ from starsift.sources import adapters as ad
 
 
 def _docs(s, d):
-    return ad.table(s, d, "documents")
+    return ad.documents(s, d)
 
 
 W = words("text")
@@ -147,7 +147,7 @@ _TOK = "list_distinct(string_split(lower(regexp_replace(review_text, '[^A-Za-z0-
 )
 def lexicon_features(s, d):
     tokens = tx.words(F.lower(F.regexp_replace("review_text", "[^A-Za-z0-9 ]", " ")))
-    return op.lexicon_features(ad.reviews(s, d), tokens, tx.word_count(F.col("review_text"))).select(
+    return op.lexicon_features(ad.text_reviews(s, d), tokens, tx.word_count(F.col("review_text"))).select(
         "review_id", "positive_word_count", "negative_word_count", "feature_word_count", "positive_word_ratio",
         "negative_word_ratio", "lexicon_net_score",
     )
@@ -207,7 +207,7 @@ def linguistic_features(s, d):
 )
 def rating_and_helpfulness(s, d):
     ratio = ft.helpfulness_ratio(F.col("helpfulness_numerator"), F.col("helpfulness_denominator"))
-    return ad.reviews(s, d).select(
+    return ad.text_reviews(s, d).select(
         "review_id", (F.col("star_rating") / 5.0).alias("rating_normalized"), ratio.alias("helpfulness")
     )
 
@@ -222,7 +222,7 @@ def rating_and_helpfulness(s, d):
     ),
 )
 def time_delta_days(s, d):
-    return op.time_delta_days(ad.reviews(s, d).select("review_id", "review_time"), "review_time").drop("review_time")
+    return op.time_delta_days(ad.text_reviews(s, d).select("review_id", "review_time"), "review_time").drop("review_time")
 
 
 @query(
@@ -242,7 +242,7 @@ def time_delta_days(s, d):
 )
 def text_densities(s, d):
     c = F.col("review_text")
-    return ad.reviews(s, d).select(
+    return ad.text_reviews(s, d).select(
         "review_id",
         ft.caps_entity_density(c).alias("entity_density"),
         ft.aspect_density(c).alias("aspect_density"),
@@ -262,7 +262,7 @@ def text_densities(s, d):
 )
 def sentiment_star_agreement(s, d):
     same = labels.compound_label_bins(F.col("compound")) == labels.star_label(F.col("star_rating"))
-    return ad.reviews(s, d).select("review_id", F.coalesce(same, F.lit(False)).cast("int").alias("agree"))
+    return ad.text_reviews(s, d).select("review_id", F.coalesce(same, F.lit(False)).cast("int").alias("agree"))
 
 
 @query(

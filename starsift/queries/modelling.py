@@ -22,7 +22,7 @@ def _scores(s, d):
     over("reviews", "SELECT review_id, (review_id * 7919) % 10000 < 2000 AS is_test FROM reviews"),
 )
 def train_test_split(s, d):
-    r = ad.reviews(s, d).select("review_id")
+    r = ad.text_reviews(s, d).select("review_id")
     return evaluate.split(r, "review_id", 0.2, bucket=(F.col("review_id") * 7919) % 10000)
 
 
@@ -33,14 +33,14 @@ def train_test_split(s, d):
 )
 def hash_split_shares(s, d):
     """The hashed split stays near the wanted share in every class."""
-    r = evaluate.stratified_split(ad.reviews(s, d).select("review_id", "star_rating"), "review_id", "star_rating", 0.2)
+    r = evaluate.stratified_split(ad.text_reviews(s, d).select("review_id", "star_rating"), "review_id", "star_rating", 0.2)
     share = F.count_if("is_test") / F.count("*")
     return r.groupBy("star_rating").agg((F.abs(share - 0.2) < 0.02).alias("within_two_points"))
 
 
 @query("fold_assignment", "L-07", over("reviews", "SELECT review_id, cast(review_id % 5 AS int) AS fold FROM reviews"))
 def fold_assignment(s, d):
-    return evaluate.folds(ad.reviews(s, d).select("review_id"), "review_id", 5, bucket=F.col("review_id") % 5)
+    return evaluate.folds(ad.text_reviews(s, d).select("review_id"), "review_id", 5, bucket=F.col("review_id") % 5)
 
 
 @query(
@@ -80,7 +80,7 @@ def ensemble_labels(s, d):
     a = F.col("star_rating") / 15.0
     b = (5 - F.col("star_rating")) / 15.0 + 1.0 / 3
     p = F.transform(sentiment.ensemble(F.array(b, 1 - a - b, a), F.col("compound")), lambda x: F.round(x, 6))
-    return ad.reviews(s, d).select("review_id", p.alias("p")).select(
+    return ad.text_reviews(s, d).select("review_id", p.alias("p")).select(
         "review_id", F.col("p")[0].alias("p_neg"), F.col("p")[1].alias("p_neu"), F.col("p")[2].alias("p_pos"),
         sentiment.argmax(F.col("p")).alias("cls"),
     )
@@ -97,7 +97,7 @@ def ensemble_labels(s, d):
 def ensemble_binary(s, d):
     a = F.col("star_rating") / 5.0
     p = sentiment.ensemble(F.array(1 - a, a), F.col("compound"), mode="binary")
-    return ad.reviews(s, d).select("review_id", p[1].alias("p_pos"))
+    return ad.text_reviews(s, d).select("review_id", p[1].alias("p_pos"))
 
 
 @query(
@@ -202,7 +202,7 @@ def regression_report(s, d):
     from starsift.functions import features as ft
 
     a = ft.helpfulness_ratio(F.col("helpfulness_numerator"), F.col("helpfulness_denominator"))
-    r = ad.reviews(s, d).select(a.alias("a"), F.coalesce("predicted_helpfulness", F.lit(0.5)).alias("p"))
+    r = ad.text_reviews(s, d).select(a.alias("a"), F.coalesce("predicted_helpfulness", F.lit(0.5)).alias("p"))
     return evaluate.regression_report(r, "a", "p")
 
 
@@ -354,7 +354,7 @@ def explained_rows(s, d):
     ),
 )
 def token_contributions(s, d):
-    r = ad.reviews(s, d)
+    r = ad.text_reviews(s, d)
     cells = F.array(
         *[F.struct(F.lit(w).alias("feature"), v.alias("attribution"))
           for w, v in (("battery", F.col("compound")), ("price", F.col("star_rating") / 5.0), ("camera", F.lit(0.5)))]
@@ -367,7 +367,7 @@ def token_contributions(s, d):
 
 
 def _labelled(s, d):
-    r = ad.reviews(s, d)
+    r = ad.text_reviews(s, d)
     return models.indexed(
         r.select("review_id", "compound", labels.star_label(F.col("star_rating")).alias("label"),
                  tx.preprocess_text(F.col("review_text"), 3, digits="drop").alias("text")),
@@ -381,14 +381,14 @@ def _vectors(s, d, max_features=2000, max_n=2):
 
 @query("helpfulness_feature_rows", "L-01")
 def helpfulness_feature_rows(s, d):
-    r = ad.reviews(s, d).withColumnsRenamed({"review_text": "clean_review_text", "star_rating": "Score"})
+    r = ad.text_reviews(s, d).withColumnsRenamed({"review_text": "clean_review_text", "star_rating": "Score"})
     return models.helpfulness_features(r).select("review_id", *models.fv.HELPFULNESS_COLUMNS)
 
 
 def _helpfulness_model(s, d):
     from starsift.functions import features as ft
 
-    r = ad.reviews(s, d).withColumnsRenamed({"review_text": "clean_review_text", "star_rating": "Score"})
+    r = ad.text_reviews(s, d).withColumnsRenamed({"review_text": "clean_review_text", "star_rating": "Score"})
     rows = models.helpfulness_features(r).withColumn(
         "target", ft.helpfulness_ratio(F.col("helpfulness_numerator"), F.col("helpfulness_denominator"))
     )
@@ -484,7 +484,7 @@ def linear_attributions(s, d):
 
 @query("lsa_components", "F-15")
 def lsa_components(s, d):
-    docs = ad.table(s, d, "documents").select("doc_id", "text")
+    docs = ad.documents(s, d).select("doc_id", "text")
     rows, _ = models.text_vectors(docs, "doc_id", "text", 300, 1, name="v")
     _, reduced = models.lsa(rows, "v", 10, 300)
     from pyspark.ml.functions import vector_to_array
@@ -496,7 +496,7 @@ def lsa_components(s, d):
 def text_feature_block(s, d):
     from pyspark.ml.functions import vector_to_array
 
-    docs = ad.table(s, d, "documents").select("doc_id", "text")
+    docs = ad.documents(s, d).select("doc_id", "text")
     return models.text_feature_block(docs, "doc_id", "text", 128, 16).select(
         "doc_id", F.size(vector_to_array("text_features")).alias("width")
     )

@@ -182,7 +182,7 @@ def _complaint_sql() -> str:
 
 @query("complaint_taxonomy", "E-06 M-09", over("reviews", _complaint_sql()))
 def complaint_taxonomy(s, d):
-    return insights.analyse_complaints(ad.reviews(s, d))
+    return insights.analyse_complaints(ad.text_reviews(s, d))
 
 
 DEFECT = any_of("lower(review_text)", fv.DEFECT_KEYWORDS)
@@ -195,7 +195,7 @@ DEFECTS_SQL = f""", g AS (SELECT product_id, month, count(*) AS total_reviews, c
 
 @query("defect_rates", "E-07 M-09", over("reviews", DEFECTS_SQL + " SELECT * FROM defects"))
 def defect_rates(s, d):
-    return insights.defect_rates(ad.reviews(s, d))
+    return insights.defect_rates(ad.text_reviews(s, d))
 
 
 @query(
@@ -205,7 +205,7 @@ def defect_rates(s, d):
 )
 def worst_defect(s, d):
     return windows.worst_row(
-        insights.defect_rates(ad.reviews(s, d)),
+        insights.defect_rates(ad.text_reviews(s, d)),
         F.col("alert") == "CRITICAL",
         [F.desc(F.round("defect_rate_pct", 6)), F.asc("product_id"), F.asc("month")],
     )
@@ -230,7 +230,7 @@ def _aspect_sql() -> str:
 
 @query("aspect_keyword_sentiment", "E-08 M-09", over("reviews", _aspect_sql()))
 def aspect_keyword_sentiment(s, d):
-    return insights.aspect_keyword_sentiment(ad.reviews(s, d))
+    return insights.aspect_keyword_sentiment(ad.text_reviews(s, d))
 
 
 @query(
@@ -240,7 +240,7 @@ def aspect_keyword_sentiment(s, d):
 )
 def worst_aspect(s, d):
     return windows.worst_row(
-        insights.aspect_keyword_sentiment(ad.reviews(s, d)),
+        insights.aspect_keyword_sentiment(ad.text_reviews(s, d)),
         F.col("net_sentiment") < 0,
         [F.desc("mentions"), F.asc("aspect")],
     ).select("aspect", "mentions")
@@ -430,7 +430,7 @@ def monthly_volume(s, d):
     ),
 )
 def complaint_matrix(s, d):
-    return insights.complaint_matrix(ad.reviews(s, d))
+    return insights.complaint_matrix(ad.text_reviews(s, d))
 
 
 @query(
@@ -452,7 +452,7 @@ def complaint_matrix(s, d):
     ),
 )
 def complaint_by_star(s, d):
-    return insights.complaint_by_star(ad.reviews(s, d))
+    return insights.complaint_by_star(ad.text_reviews(s, d))
 
 
 _TOP = any_of("lower(review_text)", fv.COMPLAINT_KEYWORDS["Defective Unit"])
@@ -468,7 +468,7 @@ _TOP = any_of("lower(review_text)", fv.COMPLAINT_KEYWORDS["Defective Unit"])
     ),
 )
 def complaint_trend(s, d):
-    return insights.complaint_trend(ad.reviews(s, d), "Defective Unit")
+    return insights.complaint_trend(ad.text_reviews(s, d), "Defective Unit")
 
 
 BATCH = """, s AS (SELECT CASE WHEN compound >= 0.05 THEN 'positive' WHEN compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS name

@@ -52,7 +52,7 @@ def preprocessed(s, d):
     SELECT doc_id, t AS clean_review_text FROM k WHERE rn = 1""",
 )
 def preprocessed_documents(s, d):
-    docs = ad.table(s, d, "documents").select(
+    docs = ad.documents(s, d).select(
         F.col("doc_id").alias("Id"), F.col("source").alias("ProductId"), F.col("lang").alias("UserId"),
         F.lit(3).alias("Score"), F.lit("").alias("Summary"), F.col("text").alias("Text"),
     )
@@ -62,7 +62,7 @@ def preprocessed_documents(s, d):
 @query("annotated_reviews", "M-02 F-26 F-27 J-08")
 def annotated_reviews(s, d):
     topics = ad.topics(s).withColumnRenamed("name", "topic_name")
-    a = an.annotate(ad.reviews(s, d), topics=topics)
+    a = an.annotate(ad.text_reviews(s, d), topics=topics)
     return a.select(
         "review_id", "overall_sentiment", "sentiment_confidence", "topic_name", F.size("entities").alias("entities"),
         F.size("aspect_sentiments").alias("aspects"), "flesch_reading_ease", "predicted_helpfulness",
@@ -85,13 +85,13 @@ def annotation_rejects(s, d):
 )
 def ingested_summary(s, d):
     folder = _folder(s)
-    ingest.ingest(ad.reviews(s, d), ad.topics(s), folder)
+    ingest.ingest(ad.text_reviews(s, d), ad.topics(s), folder)
     return files.load_summaries(s, folder)["product_summary"].drop("last_updated")
 
 
 @query("feature_table", "M-04 M-05")
 def feature_table_rows(s, d):
-    out = feature_table.build_features(ad.reviews(s, d))
+    out = feature_table.build_features(ad.text_reviews(s, d))
     groups = features.feature_groups(out.columns)
     return out.select("review_id", *[c for g in ("text", "lexicon", "rating", "scaled") for c in groups[g]])
 

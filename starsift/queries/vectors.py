@@ -67,7 +67,7 @@ def near_neighbours(s, d):
 
 @query("tfidf_embedding", "K-01")
 def tfidf_embedding(s, d):
-    e = topics.embed_tfidf(ad.table(s, d, "documents").select("doc_id", "text"), "doc_id", "text")
+    e = topics.embed_tfidf(ad.documents(s, d).select("doc_id", "text"), "doc_id", "text")
     return e.select("doc_id", F.size("embedding").alias("width"), vx.norm(F.col("embedding")).alias("norm"))
 
 
@@ -88,7 +88,7 @@ def clustered_topics(s, d):
 
 @query("topic_table", "K-04 M-07")
 def topic_table(s, d):
-    docs = ad.table(s, d, "documents").select("doc_id", "text")
+    docs = ad.documents(s, d).select("doc_id", "text")
     assigned, names = topics.topic_model(docs, "doc_id", "text", k=10, dim=128)
     counted = assigned.groupBy("topic_id").agg(F.count("*").alias("n"))
     return counted.join(names.select("topic_id", "topic_name"), "topic_id", "left")

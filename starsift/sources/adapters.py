@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starsift.sources import files
+
 # --- Fixed values: phrases from which review texts are composed -----------------
 OPEN = [
     "Battery drain is awful and the battery life is short.",
@@ -38,6 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews laid out for text work."""
+    return reviews_from(files.spread(table(spark, sf_dir, "orders"), "o_orderkey"))
+
+
 def _pick(values: list[str], index: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.expr(f"cast(1 + {index} as int)"))
 
@@ -73,7 +84,7 @@ def reviews_from(orders: DataFrame) -> DataFrame:
 def numbered_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews where only a third of the texts stay repeated (the rest end in their id)."""
     tag = F.when(F.col("review_id") % 3 != 0, F.concat(F.lit(" #"), F.col("review_id"))).otherwise("")
-    return reviews(spark, sf_dir).withColumn("review_text", F.concat("review_text", tag))
+    return text_reviews(spark, sf_dir).withColumn("review_text", F.concat("review_text", tag))
 
 
 def aspects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +104,7 @@ def topics(spark: SparkSession) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_reviews_from(table(spark, sf_dir, "orders"))
+    return raw_reviews_from(files.spread(table(spark, sf_dir, "orders"), "o_orderkey"))
 
 
 def raw_reviews_from(orders: DataFrame) -> DataFrame:

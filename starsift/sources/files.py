@@ -46,6 +46,17 @@ def write_clean(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash the rows over all cores when the scan has fewer partitions than cores.
+
+    A table stored as one row group is one task however it is split. Meant for
+    CPU-heavy text work on such tables; a large table has more scan partitions
+    than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
