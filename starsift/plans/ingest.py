@@ -8,14 +8,6 @@ from starsift.plans import summaries
 from starsift.plans.annotate import annotate
 
 
-def nest_aspects(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
-    """Reviews with their aspect rows as one array per review (a review's aspects are few)."""
-    nested = aspects.groupBy("review_id").agg(
-        F.collect_list(F.struct("aspect_term", "sentiment_label", "confidence")).alias("aspect_sentiments")
-    )
-    return reviews.join(nested, "review_id", "left")
-
-
 def fan_out(analysed: DataFrame, id_col: str = "review_id") -> dict[str, DataFrame]:
     """One analysed row to rows of the reviews, embeddings, entities and aspect tables."""
     out = {}

@@ -220,10 +220,39 @@ def lemmatized_tokens(s, d):
     return out.select("doc_id", F.array_join("tokens", " ").alias("lemmas"))
 
 
-@query("document_table", "F-09 F-08")
+def _job_sql():
+    from starsift.queries.cleaning import _JOB
+
+    return _JOB
+
+
+_RENAMED = [("languages", "skills_languages"), ("ml_ai", "skills_ml_ai"), ("frameworks", "skills_frameworks"),
+            ("data", "skills_data"), ("cloud_devops", "skills_cloud"), ("soft_skills", "soft_skills")]
+
+
+@query(
+    "document_table",
+    "F-09",
+    f"""WITH j AS (SELECT doc_id, {_job_sql()} AS text FROM documents),
+    t AS (SELECT doc_id, text, text AS low, {FT} AS w FROM j),
+    u AS (SELECT doc_id, unnest(w) AS term FROM t), c AS (SELECT doc_id, term, count(*) AS tf FROM u GROUP BY ALL),
+    k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tf DESC, term) AS rank FROM c),
+    top AS (SELECT doc_id, string_agg(term, ', ' ORDER BY rank) AS top_keywords FROM k WHERE rank <= 10 GROUP BY 1),
+    s AS (SELECT doc_id, {', '.join(_skill_sql(c) for c in _SKILLS)} FROM t)
+    SELECT t.doc_id, array_to_string(w, ' ') AS processed_text, coalesce(top_keywords, '') AS top_keywords,
+           {', '.join(f's.{a} AS {b}' for a, b in _RENAMED)}, len(w) AS token_count, len({SENTENCES}) AS sentence_count,
+           {' + '.join(f"CASE WHEN s.{c} = '' THEN 0 ELSE len(string_split(s.{c}, ', ')) END" for c in _SKILLS)} AS skill_count,
+           greatest(len(w) - 1, 0) AS bigram_count, '' AS noun_phrases
+    FROM t JOIN s USING (doc_id) LEFT JOIN top USING (doc_id)""",
+)
 def document_table(s, d):
+    return corpus.process_documents(_docs(s, d).select("doc_id", "text"), "doc_id", "text").drop("text")
+
+
+@query("document_noun_phrases", "F-09 F-08")
+def document_noun_phrases(s, d):
     docs = _docs(s, d).select("doc_id", "text")
-    return corpus.process_documents(docs, "doc_id", "text", tags=_tags(s, d)).drop("text")
+    return corpus.process_documents(docs, "doc_id", "text", tags=_tags(s, d)).select("doc_id", "noun_phrases")
 
 
 def _tfidf_sql(max_features: int, min_df: int, max_df: float) -> str:

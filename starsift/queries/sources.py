@@ -194,8 +194,9 @@ def page_links(s, d):
 def fan_out(s, d):
     from starsift.plans import ingest
 
-    nested = ingest.nest_aspects(ad.reviews(s, d), ad.aspects(s, d))
-    rows = ingest.fan_out(nested)["aspect_sentiments"]
+    one = F.array(F.struct("aspect_term", "sentiment_label", "confidence"))
+    analysed = ad.aspects(s, d).select("review_id", one.alias("aspect_sentiments"))
+    rows = ingest.fan_out(analysed)["aspect_sentiments"]
     joined = rows.join(ad.reviews(s, d).select("review_id", "product_id"), "review_id")
     return joined.groupBy("product_id").agg(
         F.countDistinct("review_id").alias("reviews"), F.count("*").alias("aspect_rows")

@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from starsift import fixed_values as fv
 from starsift.functions import vectors as vx
 from starsift.operators import similarity, topics
+from starsift.queries.oracle import WD, sql_in
 from starsift.queries.registry import query
 from starsift.sources import adapters as ad
 
@@ -65,10 +67,20 @@ def near_neighbours(s, d):
     return similarity.neighbours(_emb(s, d), "vec_id", "embedding", 64, 5)
 
 
-@query("tfidf_embedding", "K-01")
+_TERMS = f"[t FOR t IN regexp_extract_all(lower(text), '[{WD}]{{2,}}') IF t NOT IN {sql_in(fv.GENERAL_STOP_WORDS)}]"
+
+
+@query(
+    "tfidf_embedding",
+    "K-01",
+    f"""WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents), v AS (SELECT term FROM t GROUP BY 1 ORDER BY count(*) DESC, term LIMIT 384),
+    h AS (SELECT DISTINCT doc_id FROM t JOIN v USING (term))
+    SELECT doc_id, 384 AS width, CASE WHEN h.doc_id IS NULL THEN 0.0 ELSE 1.0 END AS norm FROM documents LEFT JOIN h USING (doc_id)""",
+)
 def tfidf_embedding(s, d):
     e = topics.embed_tfidf(ad.documents(s, d).select("doc_id", "text"), "doc_id", "text")
-    return e.select("doc_id", F.size("embedding").alias("width"), vx.norm(F.col("embedding")).alias("norm"))
+    # the vectors are single precision: compare their length to 4 places
+    return e.select("doc_id", F.size("embedding").alias("width"), F.round(vx.norm(F.col("embedding")), 4).alias("norm"))
 
 
 @query("reduced_vectors", "K-02")

@@ -201,6 +201,14 @@ def test_stored_tables_and_rebuild(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_saved_copies(spark, sf_dir, tmp_path):
+    r = ad.reviews(spark, sf_dir)
+    files.save_reviews(r, str(tmp_path / "copies"))
+    assert spark.read.parquet(str(tmp_path / "copies/parquet")).count() == r.count()
+    csv = spark.read.csv(str(tmp_path / "copies/csv"), header=True, escape='"')
+    assert csv.count() == r.count() and csv.columns == r.columns
+
+
 def test_sql_functions(spark):
     names = sql_functions.register(spark)
     row = spark.sql("SELECT clean_review_text('<b>a</b>  b 😀'), word_count(' a b '), alert_level(6), lexicon_compound('good')").first()
