@@ -134,8 +134,17 @@ def kpis(df: DataFrame) -> DataFrame:
 
 
 def _text_digest(col: str) -> Column:
-    """256-bit digest of the lower-cased, stripped text: shuffled instead of whole texts."""
-    return F.sha2(tx.strip(F.lower(F.col(col))), 256)
+    """256-bit digest of the lower-cased, stripped text: shuffled instead of whole texts.
+
+    Never null (a null text gets "", which no digest equals): a nullable join key would add a
+    pushed-down null check that computes the digest a second time.
+    """
+    return F.coalesce(F.sha2(tx.strip(F.lower(F.col(col))), 256), F.lit(""))
+
+
+def _repeated(keyed: DataFrame, more_than: int, name: str) -> DataFrame:
+    counted = keyed.groupBy("_h").agg(F.count("*").alias("_n"))
+    return counted.filter((F.col("_n") > more_than) & (F.col("_h") != "")).select(F.col("_h").alias(name))
 
 
 def duplicate_text(df: DataFrame, text: str = "review_text", more_than: int = 2) -> DataFrame:
@@ -146,16 +155,13 @@ def duplicate_text(df: DataFrame, text: str = "review_text", more_than: int = 2)
     digest on the small side and its rows spread by the skew-join split.
     """
     keyed = df.withColumn("_h", _text_digest(text))
-    repeated = keyed.groupBy("_h").agg(F.count("*").alias("_n")).filter(F.col("_n") > more_than).select("_h")
-    return keyed.join(repeated, "_h", "left_semi").drop("_h")
+    return keyed.join(_repeated(keyed, more_than, "_h"), "_h", "left_semi").drop("_h")
 
 
 def suspicious_reviews(df: DataFrame, text: str = "review_text") -> DataFrame:
     """Four authenticity signals, their reasons, and a flag at two points."""
     keyed = df.withColumn("_h", _text_digest(text))
-    repeated = (
-        keyed.groupBy("_h").agg(F.count("*").alias("_n")).filter(F.col("_n") > 2).select(F.col("_h").alias("_dup"))
-    )
+    repeated = _repeated(keyed, 2, "_dup")
     joined = keyed.join(repeated, F.col("_h") == F.col("_dup"), "left")
     five = F.col("star_rating") == 5
     signals = [
