@@ -387,8 +387,9 @@ SUMMARY = f"""WITH w AS (SELECT source, unnest({_DT}) AS word FROM documents),
     SUMMARY + " SELECT source, doc_id, rank, sentence, score FROM k WHERE rank <= 5",
 )
 def summary_sentences(s, d):
-    scored = summaries.score_sentences(_docs(s, d), "source", "doc_id", "text")
-    return summaries.summary_sentences(scored, "source", "doc_id", 5).select("source", "doc_id", "rank", "sentence", "score")
+    docs = _docs(s, d)
+    scored = summaries.score_sentences(docs, "source", "doc_id", "text")
+    return summaries.summary_sentences(scored, docs, "source", "doc_id", "text", 5).select("source", "doc_id", "rank", "sentence", "score")
 
 
 @query(
