@@ -72,3 +72,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return exact_top_k(rows.filter(F.col("id") % 20 == 0), rows, 20)
+
+
+@query("op9_near_duplicates")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starsift.llm.minhash import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), width=2)
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starsift.llm.quality import quality_rules
+
+    trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1").select("doc_id")
+    return quality_rules(documents(spark, sf_dir), trusted)
