@@ -87,3 +87,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1").select("doc_id")
     return quality_rules(documents(spark, sf_dir), trusted)
+
+
+@query("op5_repeats")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starsift.llm.repeats import drop_repeats
+
+    return drop_repeats(documents(spark, sf_dir), keep=False)
