@@ -94,3 +94,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starsift.llm.repeats import drop_repeats
 
     return drop_repeats(documents(spark, sf_dir), keep=False)
+
+
+@query("op3_lines")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from starsift.llm.lines import dedup_lines
+
+    kept = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
