@@ -1,27 +1,33 @@
 """Near-duplicate documents by an inverted join on MinHash signature coordinates, confirmed on full shingle sets.
 
-1. Equal sets are one node, whatever the number of their copies. A node's signature has ``coords`` coordinates.
-2. A node is posted under its (coordinate, value) pairs. Nodes that agree in at least ``least`` coordinates share one of
-   the ``coords - least + 1`` pairs that are rarest over all nodes, so only those are posted (prefix). Pairs that one node
-   has alone, and nodes with fewer than ``least`` shared pairs, are never merged (skip).
-3. Lists are merged in two passes. First each node of a list meets the list's hubs only; what is confirmed there joins
-   components, so a group of thousands of near copies costs a few checks a copy. Then blocks of a list are compared, and
-   node pairs of different components that agree in ``least`` coordinates are confirmed. Pairs within a component need no
-   check, so no link between components is lost and no pairs of a group are spelled out.
-
-At a similarity of 0.8, 12 or more of 32 coordinates agree but for one pair in ten million.
+1. Equal sets are one node, whatever the number of their copies. A node's signature has ``COORDS`` coordinates, and
+   ``CHECKS`` shorter ones that are compared but not posted.
+2. A node is posted under its (coordinate, value) pairs. Nodes that agree in at least ``LEAST`` coordinates share one of
+   the ``COORDS - LEAST + 1`` pairs that are rarest over all nodes, so only those are posted (prefix). Pairs that one node
+   has alone, and nodes with fewer than ``LEAST`` shared pairs, are never merged (skip).
+3. Lists are merged into clusters of nodes that match: first each node of a list meets the list's hubs, then, in lists
+   that still hold several clusters, blocks of nodes meet blocks. A block pair returns a spanning set of its matches.
+4. Links are confirmed on full sets within clusters. A cluster of one block is compared at once. In a larger one, nodes
+   meet a few hubs first; what they link needs no more comparing among itself, and all other block pairs are compared.
+   Each comparison returns links that span what it found. So no link between components is lost, no pairs of a group are
+   spelled out, and a group of thousands of near copies costs a few checks a copy and those of its outliers.
+
+At a similarity of 0.8, fewer than ``LEAST`` = 12 of 32 coordinates, or ``LEAST_CHECKS`` = 34 of 64 more, agree for about one
+pair in ten million.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.llm.components import components
 from starsift.llm.shared import mix, per_batch, runs, stored, word_hashes
 
 U = np.uint64
-COORDS, LEAST, HUBS, LIST_BLOCK = 32, 12, 2, 256
+COORDS, LEAST, CHECKS, LEAST_CHECKS = 32, 12, 64, 34
+#: Hubs of a list or cluster, and nodes in a block.
+HUBS, BLOCK = 4, 128
 #: Odd multipliers and offsets of the coordinates, from a fixed seed.
 _RNG = np.random.default_rng(2024)
 MULTIPLY = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -45,134 +51,233 @@ def _node(shingles: np.ndarray) -> bytes:
     return np.array([mix(shingles).sum(), mix(shingles ^ U(0x5851F42D4C957F2D)).sum()], U).tobytes()
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, coords: int) -> DataFrame:
-    """id_col, n_shingles, node (digest of the set, null if empty), sig."""
+def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """id_col, key (of the row), n_shingles, node (digest of the set, null if empty), sig, checks."""
 
     def work(batch: pa.RecordBatch):
-        texts = batch.column(1).to_pylist()
+        texts = batch.column(2).to_pylist()
         for a, z in runs(texts):
             sets = [shingle_set(t, width) for t in texts[a:z]]
             some = [s for s in sets if len(s)]
-            sig = np.zeros((coords, len(some)), np.uint32)
+            sig = np.zeros((COORDS + CHECKS, len(some)), np.uint32)
             if some:
                 every, at = np.concatenate(some), np.cumsum([0] + [len(s) for s in some[:-1]])
-                for c in range(coords):
+                for c in range(COORDS + CHECKS):
                     sig[c] = np.minimum.reduceat((every * MULTIPLY[c] + ADD[c]) >> U(32), at)
             rows, k = [], 0
             for s in sets:
-                rows.append((sig[:, k].view(np.int32), _node(s)) if len(s) else (None, None))
+                rows.append((sig[:COORDS, k].view(np.int32), _node(s), sig[COORDS:, k].astype(np.uint8).tobytes()) if len(s) else (None, None, None))
                 k += len(s) > 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, z - a), pa.array([len(s) for s in sets], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[0] for r in rows], pa.list_(pa.int32()))],
-                [id_col, "n_shingles", "node", "sig"],
+                [batch.column(0).slice(a, z - a), batch.column(1).slice(a, z - a), pa.array([len(s) for s in sets], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.binary())],
+                [id_col, "key", "n_shingles", "node", "sig", "checks"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return per_batch(docs.select(id_col, text_col), work, f"{id_col} {kind}, n_shingles long, node binary, sig array<int>")
+    rows = docs.select(id_col, F.xxhash64(id_col, text_col).alias("key"), text_col)
+    return per_batch(rows, work, f"{id_col} {kind}, key long, n_shingles long, node binary, sig array<int>, checks binary")
 
 
-def _agree(least: int) -> F.Column:
-    return F.aggregate(F.zip_with("sig", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) >= least
+def _lists(column: pa.Array) -> np.ndarray:
+    """Rows of a list column whose lists are equally long."""
+    at = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]].reshape(len(column), -1)
 
 
-def _near_sizes(percent: int) -> F.Column:
-    return (100 * F.least("n_shingles", "n_b") >= percent * F.greatest("n_shingles", "n_b"))
+def _bytes(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """The (a, b) node pairs whose full sets have 100 * intersection >= percent * union."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).dropDuplicates()
-    one = nodes.select("node", F.col("one").alias(id_col)).join(wanted, "node", "left_semi").select("node", id_col)
-    found = docs.select(id_col, text_col).join(one, id_col)
+def _spanning(n: int, p: np.ndarray, q: np.ndarray) -> list[tuple[int, int]]:
+    """Some of the links (p, q) that connect what all of them connect."""
+    parent, out = list(range(n)), []
 
-    def full(batch: pa.RecordBatch):
-        for node, text in zip(batch.column("node").to_pylist(), batch.column(text_col).to_pylist()):
-            shingles = shingle_set(text, width)
-            if len(shingles) and _node(shingles) == node:  # another row may have the same id
-                yield pa.RecordBatch.from_arrays([pa.array([node], pa.binary()), pa.array([shingles.astype("<u8").tobytes()], pa.binary())], ["node", "shingles"])
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in zip(p.tolist(), q.tolist()):
+        x, y = find(a), find(b)
+        if x != y:
+            parent[x] = y
+            out.append((a, b))
+    return out
+
+
+def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], ["a", "b"])
 
-    sets = stored(per_batch(found.select("node", text_col), full, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
 
-    def check(batch: pa.RecordBatch):
+EDGES = "a binary, b binary"
+SKETCH = ["n_shingles", "sig", "checks"]
+
+
+def _met_hubs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Matches of each list's nodes with its hubs."""
+    lowest = [F.min(F.struct(F.xxhash64("node", F.lit(h)).alias("h"), "node"))["node"].alias(f"hub{h}") for h in range(HUBS)]
+    hubs = lists.groupBy("pair").agg(*lowest, F.count("*").alias("size_")).filter("size_ > 1")
+    met = lists.join(hubs, "pair").select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array(*[f"hub{h}" for h in range(HUBS)]))).alias("b"))
+    met = met.filter(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).dropDuplicates()
+    side = [nodes.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in SKETCH)) for c in "ab"]
+
+    def match(batch: pa.RecordBatch):
+        (n1, g1, c1), (n2, g2, c2) = ((batch.column(f"n_shingles_{c}").to_numpy(), _lists(batch.column(f"sig_{c}")), _bytes(batch.column(f"checks_{c}"), CHECKS)) for c in "ab")
+        fine = (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & ((g1 == g2).sum(axis=1) >= LEAST) & ((c1 == c2).sum(axis=1) >= LEAST_CHECKS)
+        yield batch.select(["a", "b"]).filter(pa.array(fine))
+
+    return per_batch(met.join(side[0], "a").join(side[1], "b"), match, EDGES)
+
+
+def _met_blocks(lists: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Matches between different clusters within lists, block against block, as spanning sets."""
+    placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    size = placed.groupBy("pair").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("lo <> hi").select("pair", "blocks")
+    rest = placed.join(size, "pair").join(nodes.select("node", *SKETCH), "node")
+    dealt = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = stored(dealt.groupBy("pair", "block", "blocks").agg(F.collect_list(F.struct("node", "root", *SKETCH)).alias("rows")), "blocks")
+    left = blocks.select("pair", F.col("block").alias("i"), F.col("rows").alias("x"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
+    met = left.join(blocks.select("pair", F.col("block").alias("j"), F.col("rows").alias("y")), ["pair", "j"])
+
+    def part(rows: pa.ListScalar):
+        s = rows.values
+        root = np.array([int.from_bytes(r[:8], "little") for r in s.field("root").to_pylist()], U)
+        return s.field("node").to_pylist(), root, s.field("n_shingles").to_numpy(), _lists(s.field("sig")), _bytes(s.field("checks"), CHECKS)
+
+    def compare(batch: pa.RecordBatch):
+        for x, y, i, j in zip(*(batch.column(c) for c in "xyij")):
+            (n1, r1, s1, g1, c1), (n2, r2, s2, g2, c2) = part(x), part(y)
+            fine = (r1[:, None] != r2) & (100 * np.minimum(s1[:, None], s2) >= percent * np.maximum(s1[:, None], s2))
+            p, q = np.nonzero(np.triu(fine, 1) if i == j else fine)
+            agree = (g1[p] == g2[q]).sum(axis=1) >= LEAST
+            p, q = p[agree], q[agree]
+            agree = (c1[p] == c2[q]).sum(axis=1) >= LEAST_CHECKS
+            found = _spanning(len(n1) + len(n2), p[agree], q[agree] + len(n1))
+            yield _edges([(n1[a], n2[b - len(n1)]) for a, b in found])
+
+    return per_batch(met.select(*"xyij"), compare, EDGES)
+
+
+def _links(x: list[tuple[bytes, np.ndarray]], y: list[tuple[bytes, np.ndarray]] | None, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links within x, or between x and y, that span all of them; intersections are products of incidence matrices."""
+    rows = x + (y or [])
+    sizes = np.array([len(s) for _, s in rows])
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    _, column, count = np.unique(np.concatenate([s for _, s in rows]), return_inverse=True, return_counts=True)
+    shared = count > 1
+    rank = np.cumsum(shared) - 1
+    use = shared[column]
+    owner, column = owner[use], rank[column[use]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    n = len(x)
+    both = np.zeros((n, len(rows)) if y is None else (n, len(y)), np.float32)
+    width = int(shared.sum())
+    for s in range(0, width, 4096):
+        lo, hi = np.searchsorted(column, [s, s + 4096])
+        part = np.zeros((len(rows), min(4096, width - s)), np.float32)
+        part[owner[lo:hi], column[lo:hi] - s] = 1
+        both += part[:n] @ (part if y is None else part[n:]).T
+    shift = 0 if y is None else n
+    other = sizes[shift:] if y is not None else sizes
+    fine = 100 * both >= percent * (sizes[:n, None] + other - both)
+    p, q = np.nonzero(np.triu(fine, 1) if y is None else fine)
+    return [(rows[a][0], rows[b][0]) for a, b in _spanning(len(rows), p, q + shift)]
+
+
+def _rows(column: pa.ListScalar) -> list[tuple[bytes, np.ndarray]]:
+    s = column.values
+    return [(n, np.frombuffer(b, "<u8")) for n, b in zip(s.field("node").to_pylist(), s.field("shingles").to_pylist())]
+
+
+def _confirmed(sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the (node, cluster, shingles) rows, within clusters."""
+    sizes = stored(sets.groupBy("cluster").agg(F.count("*").alias("size")), "sizes")
+    entry = F.collect_list(F.struct("node", "shingles")).alias("x")
+
+    def within(batch: pa.RecordBatch):
+        for x in batch.column("x"):
+            yield _edges(_links(_rows(x), None, percent))
+
+    small = sets.join(sizes.filter(F.col("size") <= BLOCK), "cluster").groupBy("cluster").agg(entry)
+    links = stored(per_batch(small.select("x"), within, EDGES), "links")
+    wide = sizes.filter(F.col("size") > BLOCK)
+    if wide.isEmpty():
+        return links
+    large = stored(sets.join(wide, "cluster"), "large")
+    low = Window.partitionBy("cluster").orderBy(F.xxhash64("node"), "node")
+    hubs = large.select("cluster", "node", "shingles").withColumn("k", F.row_number().over(low)).filter(F.col("k") <= HUBS)
+    met = large.select("cluster", "node", "shingles").join(hubs.select("cluster", F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles")), "cluster").filter(F.col("node") != F.col("hub"))
+
+    def star(batch: pa.RecordBatch):
         keep = []
-        for s, t in zip(batch.column("s"), batch.column("t")):
+        for s, t in zip(batch.column("shingles"), batch.column("hub_shingles")):
             s, t = np.frombuffer(s.as_buffer(), "<u8"), np.frombuffer(t.as_buffer(), "<u8")
-            shared = len(s) + len(t) - len(np.union1d(s, t))
+            shared = len(np.intersect1d(s, t, assume_unique=True))
             keep.append(100 * shared >= percent * (len(s) + len(t) - shared))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(per_batch(both.select("a", "b", "s", "t"), check, "a binary, b binary"), "links")
+    stars = stored(per_batch(met.select("node", "hub", "shingles", "hub_shingles"), star, EDGES), "stars")
+    # A node linked to hubs belongs to their component; the others are compared with all.
+    placed = large.join(components(stars), "node", "left")
+    dealt = placed.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int"))
+    blocks = stored(dealt.groupBy("cluster", "root", "part").agg(entry).withColumn("block", F.struct(F.coalesce("root", F.lit(b"")), "part")), "set-blocks")
+    y = blocks.select("cluster", F.col("root").alias("root_y"), F.col("block").alias("block_y"), F.col("x").alias("y"))
+    apart = F.col("root").isNull() | F.col("root_y").isNull() | (F.col("root") != F.col("root_y"))
+    pairs = blocks.join(y, "cluster").filter(apart & (F.col("block") <= F.col("block_y")))
 
+    def across(batch: pa.RecordBatch):
+        for x, y, same in zip(batch.column("x"), batch.column("y"), batch.column("same").to_pylist()):
+            yield _edges(_links(_rows(x), None if same else _rows(y), percent))
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, coords: int = COORDS, least: int = LEAST) -> DataFrame:
-    """id_col, n_shingles, component_id (smallest id reachable over links), kept (id is component_id) for every row.
+    rest = per_batch(pairs.select("x", "y", (F.col("block") == F.col("block_y")).alias("same")), across, EDGES)
+    return links.unionByName(stars).unionByName(stored(rest, "rest"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """id_col, key, n_shingles, component_id (smallest id reachable over links), kept (id is component_id) for every row.
 
     Sets are of distinct ``width``-word shingles over words in ASCII lower case. Rows without a word have no shingle and
     link with nothing. Repeated rows are linked like other copies; each row with the smallest id counts as kept. A null id
-    gets its component's smallest id (null, and kept, if that has no other). Other columns are not read; an empty table
-    gives no rows.
+    gets its component's smallest id (null, and kept, if that has no other). ``key`` is the hash of id and text. Other
+    columns are not read; an empty table gives no rows.
     """
-    sketch = stored(sketches(docs, id_col, text_col, width, coords), "sketch")
-    nodes = sketch.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(id_col).alias("one"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
+    sketch = stored(sketches(docs, id_col, text_col, width), "sketch")
+    nodes = sketch.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(id_col).alias("one"), F.min("key").alias("key"), *(F.first(c).alias(c) for c in SKETCH))
     nodes = stored(nodes, "nodes")
     posted = nodes.select("node", F.posexplode("sig").alias("c", "value")).select("node", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("pair"))
     common = posted.groupBy("pair").agg(F.count("*").alias("df")).filter(F.col("df") > 1)
     shared = posted.join(common, "pair").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "pair"))).alias("shared"))
-    prefix = shared.filter(F.size("shared") >= least).select("node", F.explode(F.expr(f"slice(shared, 1, size(shared) - {least - 1})")).alias("p"))
+    prefix = shared.filter(F.size("shared") >= LEAST).select("node", F.explode(F.expr(f"slice(shared, 1, size(shared) - {LEAST - 1})")).alias("p"))
     lists = stored(prefix.select("node", F.col("p.pair").alias("pair")), "postings")
 
-    hubs = lists.groupBy("pair").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(h)).alias("h"), "node"))["node"].alias(f"hub{h}") for h in range(HUBS)], F.count("*").alias("size_")).filter(F.col("size_") > 1)
-    met = lists.join(hubs, "pair").select(F.col("node").alias("a"), F.explode(F.array(*[f"hub{h}" for h in range(HUBS)])).alias("b"))
-    met = met.filter(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).dropDuplicates()
-    side_a = nodes.select(F.col("node").alias("a"), "sig", "n_shingles")
-    side_b = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("n_shingles").alias("n_b"))
-    met = met.join(side_a, "a").join(side_b, "b").filter(_near_sizes(percent) & _agree(least)).select("a", "b")
-    links = _confirm(stored(met, "met"), nodes, docs, id_col, text_col, width, percent)
-    roots = components(links)
-
-    # Second pass: lists that still hold several components.
-    placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = placed.groupBy("pair").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(F.col("lo") != F.col("hi")).select("pair")
-    rest = stored(placed.join(open_, "pair").join(nodes.select("node", "sig", "n_shingles"), "node"), "open")
-    more = _across(rest, percent, least)
-    more = stored(more.dropDuplicates(), "across")
+    matches = stored(_met_hubs(lists, nodes, percent), "matches")
+    clusters = components(matches)
+    more = stored(_met_blocks(lists, nodes, clusters, percent), "more-matches")
     if not more.isEmpty():
-        links = links.unionByName(_confirm(more, nodes, docs, id_col, text_col, width, percent))
-        roots = components(links)
-    lowest = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = lowest.groupBy("root").agg(F.min("one").alias("component_"))
-    named = lowest.join(smallest, "root").select("node", "component_")
-    out = sketch.select(id_col, "n_shingles", "node").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col(id_col)).otherwise(F.col("component_"))
-    return out.select(id_col, "n_shingles", component.alias("component_id")).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+        clusters = components(matches.unionByName(more))
 
+    def full(batch: pa.RecordBatch):
+        sets = [shingle_set(t, width).astype("<u8").tobytes() for t in batch.column(text_col).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("cluster"), pa.array(sets, pa.binary())], ["node", "cluster", "shingles"])
 
-def _across(rest: DataFrame, percent: int, least: int) -> DataFrame:
-    """Node pairs of one list and different components that agree in ``least`` coordinates, found block against block.
+    wanted = nodes.select("node", "key").join(clusters.withColumnRenamed("root", "cluster"), "node")
+    texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), text_col).join(wanted, "key").select("node", "cluster", text_col)
+    sets = stored(per_batch(texts, full, "node binary, cluster binary, shingles binary").dropDuplicates(["node"]), "sets")
+    roots = components(_confirmed(sets, percent))
 
-    Each list is dealt over ``ceil(size / LIST_BLOCK)`` blocks and every two blocks of a list meet in a row of their own.
-    """
-    size = rest.groupBy("pair").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
-    dealt = rest.join(size, "pair").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    entry = F.struct("node", "root", "n_shingles", "sig")
-    blocks = stored(dealt.groupBy("pair", "block", "blocks").agg(F.collect_list(entry).alias("rows")), "blocks")
-    left = blocks.select("pair", "block", F.col("rows").alias("x"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"))
-    met = left.join(blocks.select("pair", F.col("block").alias("other"), F.col("rows").alias("y")), ["pair", "other"])
-
-    def part(column: pa.ListScalar):
-        s = column.values
-        sig = s.field("sig")
-        sig = sig.values.to_numpy(zero_copy_only=False)[sig.offsets[0].as_py() : sig.offsets[-1].as_py()].reshape(len(s), -1)
-        return s.field("node").to_pylist(), np.array(s.field("root").to_pylist(), "S16"), s.field("n_shingles").to_numpy(), sig
+    lowest = nodes.select("node", "one").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = lowest.groupBy("root").agg(F.min("one").alias("component_"))
+    named = lowest.join(smallest, "root").select("node", "component_")
+    out = sketch.select(id_col, "key", "n_shingles", "node").join(named, "node", "left")
+    component = F.when(F.col("node").isNull(), F.col(id_col)).otherwise(F.col("component_"))
+    return out.select(id_col, "key", "n_shingles", component.alias("component_id")).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
-    def compare(batch: pa.RecordBatch):
-        for x, y, i, j in zip(batch.column("x"), batch.column("y"), batch.column("block"), batch.column("other")):
-            (n1, r1, s1, g1), (n2, r2, s2, g2) = part(x), part(y)
-            fine = (r1[:, None] != r2) & (100 * np.minimum(s1[:, None], s2) >= percent * np.maximum(s1[:, None], s2))
-            p, q = np.nonzero(np.triu(fine, 1) if i.as_py() == j.as_py() else fine)
-            agree = (g1[p] == g2[q]).sum(axis=1) >= least
-            both = [sorted((n1[u], n2[v])) for u, v in zip(p[agree], q[agree])]
-            yield pa.RecordBatch.from_arrays([pa.array([b[0] for b in both], pa.binary()), pa.array([b[1] for b in both], pa.binary())], ["a", "b"])
 
-    return per_batch(met.select("x", "y", "block", "other"), compare, "a binary, b binary")
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns; of repeated rows one stays."""
+    kept = near_duplicates(docs, id_col, text_col, width, percent).filter("kept").select(F.col("key").alias("key_")).dropDuplicates()
+    keyed = docs.withColumn("key_", F.xxhash64(id_col, text_col))
+    first = Window.partitionBy("key_").orderBy("key_")
+    return keyed.join(kept, "key_", "left_semi").withColumn("copy_", F.row_number().over(first)).filter("copy_ = 1").drop("key_", "copy_")

@@ -78,7 +78,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starsift.llm.minhash import near_duplicates
 
-    return near_duplicates(documents(spark, sf_dir), width=2)
+    return near_duplicates(documents(spark, sf_dir), width=2).drop("key")
 
 
 @query("op10_quality")
