@@ -71,18 +71,29 @@ def weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buc
     return rows.select(F.transform("rows", lambda x: share(x["t"], F.col("all_t")) - share(x["r"], F.col("all_r"))).alias("w"))
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
-    """id_col, base counts, base_failed, score and kept for every row; ``trusted`` has the ids of the target's documents.
-
-    A null or empty text has no words and fails. Repeated rows are judged one by one; a null id is never trusted; other
-    columns are not read. With no trusted document all scores are near 0, and an empty table gives no rows.
-    """
+def judged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
+    """row (the input row as a struct), base counts, base_failed, kept and score of every row."""
     values = weights(docs, trusted, id_col, text_col, buckets, prior).first()["w"]
     table = F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")  # folded into one constant
-    df = base_counts(docs.select(id_col, text_col), text_col)
+    df = base_counts(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("text_")), "text_")
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, h: s + F.get(table, F.pmod(h, F.lit(buckets)).cast("int")))
     score = (total("h1_") + total("h2_")) / F.greatest(F.size("h1_") + F.size("h2_"), F.lit(1))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     df = df.withColumn("score", score).withColumn("base_failed", failed)
     kept = ~F.col("base_failed") & (F.col("score") >= threshold)
-    return df.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "score")
+    return df.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "score")
+
+
+def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
+    """id_col, base counts, base_failed, score and kept for every row; ``trusted`` has the ids of the target's documents.
+
+    A null or empty text has no words and fails. Repeated rows are judged one by one; a null id is never trusted; other
+    columns are not read. With no trusted document all scores are near 0, and an empty table gives no rows.
+    """
+    out = judged(docs.select(id_col, text_col), trusted, id_col, text_col, buckets, prior, threshold)
+    return out.select(F.col(f"row.{id_col}").alias(id_col), *out.columns[1:])
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their own columns."""
+    return judged(docs, trusted, **settings).filter("kept").select("row.*")

@@ -104,3 +104,30 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op4_lm_scores")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starsift.llm.lm import cross_entropy_difference
+
+    target = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1").select("doc_id")
+    return cross_entropy_difference(documents(spark, sf_dir), target)
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from starsift.llm.toxicity import toxicity
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity(documents(spark, sf_dir), labels)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "vote", "evidence")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -276,15 +276,17 @@ def _merge(spans: list[int] | None) -> np.ndarray:
 def drop_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", keep: bool = True) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string (UTF-8) that also starts anywhere else; one row a row.
 
-    Adds n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, with ``keep``, spans (start, end, ...) and
-    kept_text (remaining bytes decoded; parts of a cut character are left out; null for null). Strings are judged on the input. A null
-    or empty text has no bytes; texts shorter than ``length`` keep all; a repeated row is a document of its own, so both
-    lose what they share; null ids are ids like others; other columns are not read; an empty table gives no rows.
+    Gives id_col, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256; with ``keep`` also row (the input row
+    as a struct), spans (start, end, ...) and kept_text (remaining bytes decoded; parts of a cut character are left out;
+    null for null). Strings are judged on the input. A null or empty text has no bytes; texts shorter than ``length`` keep
+    all; a repeated row is a document of its own, so both lose what they share; null ids are ids like others; an empty table
+    gives no rows.
     """
     key = F.xxhash64(id_col, text_col)
     rows = docs.select(key.alias("key"), F.col(text_col).alias("text"))
     spans = repeated_spans(rows.filter(F.octet_length("text") >= length), length)
-    both = docs.select(F.struct(id_col).alias("row"), F.col(text_col).alias("text"), key.alias("key")).join(spans, "key", "left")
+    own = F.struct(*[F.col(c) for c in docs.columns if c != text_col]) if keep else F.struct(id_col)
+    both = docs.select(own.alias("row"), F.col(text_col).alias("text"), key.alias("key")).join(spans, "key", "left")
 
     def finish(batch: pa.RecordBatch):
         texts, every = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
@@ -294,13 +296,13 @@ def drop_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
             edges = [0, *cut.ravel().tolist(), len(data)]
             left = b"".join(data[s:e] for s, e in zip(edges[0::2], edges[1::2])) if len(cut) else data
             out.append((len(data), len(data) - len(left), len(cut), hashlib.sha256(left).hexdigest(), edges[1:-1], left))
-        cols = [batch.column("id_"), *(pa.array([o[i] for o in out], t) for i, t in enumerate([pa.int64(), pa.int64(), pa.int64(), pa.string()]))]
-        names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+        cols = [batch.column("row"), *(pa.array([o[i] for o in out], t) for i, t in enumerate([pa.int64(), pa.int64(), pa.int64(), pa.string()]))]
+        names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         if keep:
             cols += [pa.array([o[4] for o in out], pa.list_(pa.int64())), pa.array([o[5].decode("utf-8", "ignore") if t is not None else None for o, t in zip(out, texts)], pa.string())]
             names += ["spans", "kept_text"]
         yield pa.RecordBatch.from_arrays(cols, names)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", spans array<long>, kept_text string" if keep else "")
-    return per_batch(both.select(F.col(f"row.{id_col}").alias("id_"), "text", "spans"), finish, schema)
+    schema = f"row {both.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", spans array<long>, kept_text string" if keep else "")
+    out = per_batch(both.select("row", "text", "spans"), finish, schema)
+    return out.select(F.col(f"row.{id_col}").alias(id_col), *[c for c in out.columns if keep or c != "row"])
