@@ -1,7 +1,8 @@
 """Distinct-chunk tables: a tokenizer runs once on each distinct chunk of many texts.
 
 A chunk is a stretch of text that no token can leave, so the ids of a text are the ids of its chunks, joined by position.
-Each task keeps one table; it is emptied when it has grown over its limit, which changes nothing but the work done again.
+Each Python worker keeps one table for all its tasks; it is emptied when it has grown over its limit, which changes nothing
+but the work done again.
 """
 
 import os
@@ -10,8 +11,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Entries after which a task empties its table (about 100 MB).
-TABLE_ENTRIES = 300_000
+#: Entries after which a worker empties its table (about 220 bytes each).
+TABLE_ENTRIES = 1_000_000
 #: White space to Python, ordinary characters to the tokenizers' patterns: such texts are encoded whole.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Byte-level pieces keep one space before a word; longer white space is split before its last space.
@@ -58,3 +59,14 @@ class Ids:
         split = [[] if ODD_SPACE.search(t) else self.split(t) for t in texts]
         get = self.table.fill(split)
         return [b"".join(map(get, s)) if s or not ODD_SPACE.search(t) else self._encode([t])[0] for s, t in zip(split, texts)]
+
+
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(kind: Callable, *args):
+    """``kind(*args)``, made once in each Python worker, which runs many tasks."""
+    key = (kind.__name__, *args)
+    if key not in _KEPT:
+        _KEPT[key] = kind(*args)
+    return _KEPT[key]

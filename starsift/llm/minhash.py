@@ -12,8 +12,8 @@
    Each comparison returns links that span what it found. So no link between components is lost, no pairs of a group are
    spelled out, and a group of thousands of near copies costs a few checks a copy and those of its outliers.
 
-At a similarity of 0.8, fewer than ``LEAST`` = 12 of 32 coordinates, or ``LEAST_CHECKS`` = 34 of 64 more, agree for about one
-pair in ten million.
+At a similarity of 0.8, fewer than ``LEAST`` = 14 of 32 coordinates, or ``LEAST_CHECKS`` = 34 of 64 more, agree for about two
+pairs in a million; a group loses a member only if that befalls all its links.
 """
 
 import numpy as np
@@ -25,7 +25,7 @@ from starsift.llm.components import components
 from starsift.llm.shared import mix, per_batch, runs, stored, word_hashes
 
 U = np.uint64
-COORDS, LEAST, CHECKS, LEAST_CHECKS = 32, 12, 64, 34
+COORDS, LEAST, CHECKS, LEAST_CHECKS = 32, 14, 64, 34
 #: Hubs of a list or cluster, and nodes in a block.
 HUBS, BLOCK = 4, 128
 #: Odd multipliers and offsets of the coordinates, from a fixed seed.
@@ -78,12 +78,6 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
     return per_batch(rows, work, f"{id_col} {kind}, key long, n_shingles long, node binary, sig array<int>, checks binary")
 
 
-def _lists(column: pa.Array) -> np.ndarray:
-    """Rows of a list column whose lists are equally long."""
-    at = column.offsets.to_numpy()
-    return column.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]].reshape(len(column), -1)
-
-
 def _bytes(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
@@ -111,7 +105,7 @@ def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 
 EDGES = "a binary, b binary"
-SKETCH = ["n_shingles", "sig", "checks"]
+SKETCH = ["n_shingles", "checks"]
 
 
 def _met_hubs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -123,8 +117,8 @@ def _met_hubs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     side = [nodes.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in SKETCH)) for c in "ab"]
 
     def match(batch: pa.RecordBatch):
-        (n1, g1, c1), (n2, g2, c2) = ((batch.column(f"n_shingles_{c}").to_numpy(), _lists(batch.column(f"sig_{c}")), _bytes(batch.column(f"checks_{c}"), CHECKS)) for c in "ab")
-        fine = (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & ((g1 == g2).sum(axis=1) >= LEAST) & ((c1 == c2).sum(axis=1) >= LEAST_CHECKS)
+        (n1, c1), (n2, c2) = ((batch.column(f"n_shingles_{c}").to_numpy(), _bytes(batch.column(f"checks_{c}"), CHECKS)) for c in "ab")
+        fine = (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & ((c1 == c2).sum(axis=1) >= LEAST_CHECKS)
         yield batch.select(["a", "b"]).filter(pa.array(fine))
 
     return per_batch(met.join(side[0], "a").join(side[1], "b"), match, EDGES)
@@ -132,7 +126,7 @@ def _met_hubs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _met_blocks(lists: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Matches between different clusters within lists, block against block, as spanning sets."""
-    placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = lists.join(roots, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
     size = placed.groupBy("pair").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("lo <> hi").select("pair", "blocks")
     rest = placed.join(size, "pair").join(nodes.select("node", *SKETCH), "node")
     dealt = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -142,16 +136,13 @@ def _met_blocks(lists: DataFrame, nodes: DataFrame, roots: DataFrame, percent: i
 
     def part(rows: pa.ListScalar):
         s = rows.values
-        root = np.array([int.from_bytes(r[:8], "little") for r in s.field("root").to_pylist()], U)
-        return s.field("node").to_pylist(), root, s.field("n_shingles").to_numpy(), _lists(s.field("sig")), _bytes(s.field("checks"), CHECKS)
+        return s.field("node").to_pylist(), s.field("root").to_numpy(), s.field("n_shingles").to_numpy(), _bytes(s.field("checks"), CHECKS)
 
     def compare(batch: pa.RecordBatch):
         for x, y, i, j in zip(*(batch.column(c) for c in "xyij")):
-            (n1, r1, s1, g1, c1), (n2, r2, s2, g2, c2) = part(x), part(y)
+            (n1, r1, s1, c1), (n2, r2, s2, c2) = part(x), part(y)
             fine = (r1[:, None] != r2) & (100 * np.minimum(s1[:, None], s2) >= percent * np.maximum(s1[:, None], s2))
             p, q = np.nonzero(np.triu(fine, 1) if i == j else fine)
-            agree = (g1[p] == g2[q]).sum(axis=1) >= LEAST
-            p, q = p[agree], q[agree]
             agree = (c1[p] == c2[q]).sum(axis=1) >= LEAST_CHECKS
             found = _spanning(len(n1) + len(n2), p[agree], q[agree] + len(n1))
             yield _edges([(n1[a], n2[b - len(n1)]) for a, b in found])
@@ -244,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are not read; an empty table gives no rows.
     """
     sketch = stored(sketches(docs, id_col, text_col, width), "sketch")
-    nodes = sketch.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(id_col).alias("one"), F.min("key").alias("key"), *(F.first(c).alias(c) for c in SKETCH))
+    nodes = sketch.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(id_col).alias("one"), F.min("key").alias("key"), F.first("sig").alias("sig"), *(F.first(c).alias(c) for c in SKETCH))
     nodes = stored(nodes, "nodes")
     posted = nodes.select("node", F.posexplode("sig").alias("c", "value")).select("node", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("pair"))
     common = posted.groupBy("pair").agg(F.count("*").alias("df")).filter(F.col("df") > 1)

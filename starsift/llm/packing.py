@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsift.llm.chunks import Ids
+from starsift.llm.chunks import Ids, kept
 from starsift.llm.shared import per_batch, runs, stored
 
 GROUP_SIZE = 8192
@@ -28,10 +28,9 @@ FITTED = "id_ {0}, row_ long, piece int, length long, bin_ long, offset long, fu
 def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", chunking: str = "spaced") -> DataFrame:
     """One row per piece: id_col, piece, start, length, ids_crc32. A document over ``capacity`` has its short piece first."""
     end = np.array([end_id], "<u4").tobytes()
-    made: dict[str, Ids] = {}
 
     def work(batch: pa.RecordBatch):
-        ids = made.get(path) or made.setdefault(path, Ids(path, chunking))
+        ids = kept(Ids, path, chunking)
         texts = [t or "" for t in batch.column(1).to_pylist()]
         for a, z in runs(texts):
             row, piece, start, length, crc = [], [], [], [], []

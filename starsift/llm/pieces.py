@@ -13,9 +13,11 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starsift.llm.chunks import ChunkTable
+from starsift.llm.chunks import ChunkTable, kept
 from starsift.llm.shared import per_batch, runs
 
+#: Entries hold id lists, about 600 bytes each.
+ENTRIES = 300_000
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -30,7 +32,7 @@ class Pieces:
         if inner or not kept:
             raise ValueError(f"{path}: pieces can cross white-space markers, or text is rewritten")
         self.alone = m.piece_to_id(MARK)
-        self.table = ChunkTable(self._encode)
+        self.table = ChunkTable(self._encode, ENTRIES)
 
     def _encode(self, chunks: list[str]) -> list[tuple[list[int], str]]:
         """The library puts the first marker of a chunk before the text it is given."""
@@ -55,10 +57,8 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     A null or empty text has no ids and decodes to an empty text; rows with a null or repeated id, and repeated rows, are
     encoded one by one; other columns are not read; an empty table gives no rows. ``keep=False`` leaves out ids and text.
     """
-    made: dict[str, Pieces] = {}
-
     def work(batch: pa.RecordBatch):
-        pieces = made.get(path) or made.setdefault(path, Pieces(path))
+        pieces = kept(Pieces, path)
         texts = [t or "" for t in batch.column(1).to_pylist()]
         for a, z in runs(texts):
             coded = pieces(texts[a:z])

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starsift.llm.chunks import Ids
+from starsift.llm.chunks import Ids, kept
 from starsift.llm.shared import per_batch, runs
 
 BLOCK = 1024
@@ -134,7 +134,7 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches):
-        ids, part, seq = Ids(path, chunking), TaskContext.get().partitionId(), 0
+        ids, part, seq = kept(Ids, path, chunking), TaskContext.get().partitionId(), 0
         keys, held, size = [], [], 0
 
         def shard():

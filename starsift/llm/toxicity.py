@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from starsift.llm.shared import per_batch, runs, stored
 
-EXAMPLES, TERMS, CHI_SQUARE, LEAST_DOCS = 20_000, 4096, 20.0, 3
+EXAMPLES, TERMS = 20_000, 4096
+#: A term is kept if its chi-square, and that as a share of the examples (the squared phi), are at least so large.
+CHI_SQUARE, PHI_SQUARE, LEAST_DOCS = 20.0, 0.02, 3
 NEIGHBOURS, BLOCK, NEAR = 15, 64, 0.05
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -50,7 +52,7 @@ def _select_terms(texts: DataFrame) -> list[str]:
     # n and p: documents with the term, and toxic ones among them
     gap = F.col("p") * all_n - F.col("n") * all_p
     chi = gap * gap * float(all_n) / (F.col("n") * (all_n - F.col("n")) * float(all_p) * (all_n - all_p))
-    best = count.filter((F.col("n") >= LEAST_DOCS) & (F.col("n") < all_n)).withColumn("chi", chi).filter(F.col("chi") >= CHI_SQUARE)
+    best = count.filter((F.col("n") >= LEAST_DOCS) & (F.col("n") < all_n)).withColumn("chi", chi).filter(F.col("chi") >= max(CHI_SQUARE, PHI_SQUARE * all_n))
     return [r.term for r in best.orderBy(F.col("chi").desc(), "term").limit(TERMS).collect()]
 
 
