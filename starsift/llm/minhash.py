@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = sketch.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(id_col).alias("one"), F.min("key").alias("key"), F.first("sig").alias("sig"), *(F.first(c).alias(c) for c in SKETCH))
     nodes = stored(nodes, "nodes")
     posted = nodes.select("node", F.posexplode("sig").alias("c", "value")).select("node", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("pair"))
-    common = posted.groupBy("pair").agg(F.count("*").alias("df")).filter(F.col("df") > 1)
+    common = stored(posted.groupBy("pair").agg(F.count("*").alias("df")).filter(F.col("df") > 1), "common")
     shared = posted.join(common, "pair").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "pair"))).alias("shared"))
     prefix = shared.filter(F.size("shared") >= LEAST).select("node", F.explode(F.expr(f"slice(shared, 1, size(shared) - {LEAST - 1})")).alias("p"))
     lists = stored(prefix.select("node", F.col("p.pair").alias("pair")), "postings")
@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(_confirmed(sets, percent))
 
     lowest = nodes.select("node", "one").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = lowest.groupBy("root").agg(F.min("one").alias("component_"))
+    smallest = stored(lowest.groupBy("root").agg(F.min("one").alias("component_")), "smallest")
     named = lowest.join(smallest, "root").select("node", "component_")
     out = sketch.select(id_col, "key", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col(id_col)).otherwise(F.col("component_"))

@@ -228,7 +228,7 @@ def _by_window(rows: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """key, spans (array of start and end) for (key, text) rows with bytes to remove; repeated keys are repeated rows."""
     every = stored(anchors(docs, length), "anchors")
-    common = every.groupBy("anchor").agg(F.count("*").alias("c")).filter(F.col("c") > 1).select("anchor")
+    common = stored(every.groupBy("anchor").agg(F.count("*").alias("c")).filter(F.col("c") > 1).select("anchor"), "common")
     hits = stored(every.join(common, "anchor"), "hits")
     kinds = stored(hits.groupBy("anchor").agg(F.min("segment").alias("lo"), F.max("segment").alias("hi")).select("anchor", (F.col("lo") == F.col("hi")).alias("plain")), "kinds")
     whole = F.array(F.col("start"), F.col("start") + F.col("n") - 1 + length)
