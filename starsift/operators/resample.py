@@ -1,6 +1,6 @@
 """Class balancing: synthetic oversampling, undersampling, Tomek links."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.operators.evaluate import hash_bucket, label_counts
@@ -41,21 +41,38 @@ def _synthesise(df: DataFrame, key: str, label: str, vector: str, near: DataFram
     )
 
 
+def _deal(rows: DataFrame, seed: int) -> DataFrame:
+    """Whole copies per row (id, _l, _share, lacking): the whole parts, and the rest to the largest remainders of a class.
+
+    Remainders are counted per class in hundredths of a thousand, so no class is sorted in one task: rows above the
+    class's cut get one more, those at the cut by the order of their hash as far as it goes.
+    """
+    whole = F.floor("_share").cast("int")
+    step = F.floor((F.col("_share") - F.floor("_share")) * 100_000).cast("int")
+    tie = F.pmod(F.xxhash64("id", F.lit(seed + 2)), F.lit(1_000)).cast("int")
+    rows = rows.select("id", "_l", "lacking", whole.alias("whole"), (step * 1_000 + tie).alias("order"))
+    rest = rows.groupBy("_l").agg((F.max("lacking") - F.sum("whole")).alias("rest"))
+    by_order = rows.groupBy("_l", "order").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(Window.partitionBy("_l").orderBy(F.desc("order"))) - F.col("c")
+    cut = by_order.withColumn("before", before).join(rest, "_l")
+    at_cut = cut.select("_l", "order", F.least("c", F.greatest(F.col("rest") - F.col("before"), F.lit(0))).alias("more"))
+    ranked = F.row_number().over(Window.partitionBy("_l", "order").orderBy("id"))
+    dealt = rows.withColumn("_rank", ranked).join(at_cut, ["_l", "order"])
+    return dealt.select("id", (F.col("whole") + (F.col("_rank") <= F.col("more")).cast("int")).alias("copies"))
+
+
 def smote(df: DataFrame, key: str, label: str, vector: str, width: int, k: int = 5, seed: int = 42) -> DataFrame:
     """Synthetic rows that bring every class to the size of the largest.
 
-    Neighbours come from the linear candidate scan within each class; a row's
-    share of the missing rows is the whole part plus a hashed remainder.
+    Neighbours come from the cell search within each class. Copies are dealt
+    round: each row gets the whole part of lacking / n, and the rows first in
+    hash order one more, so classes balance exactly. A class of one row has no
+    neighbour and gets none.
     """
     near = neighbours(df, key, vector, width, k, group=label, seed=seed)
     wanted = _wanted(df, label)
-    share = F.col("lacking") / F.col("n")
-    copies = F.floor(share) + F.when(_unit(F.col("id"), seed + 2) < share - F.floor(share), 1).otherwise(0)
-    quota = (
-        df.select(F.col(key).alias("id"), F.col(label).alias("_l"))
-        .join(wanted, "_l")
-        .select("id", copies.cast("int").alias("copies"))
-    )
+    rows = df.select(F.col(key).alias("id"), F.col(label).alias("_l")).join(wanted.filter(F.col("lacking") > 0), "_l")
+    quota = _deal(rows.withColumn("_share", F.col("lacking") / F.col("n")), seed)
     return _synthesise(df, key, label, vector, near, quota, seed)
 
 
@@ -72,8 +89,7 @@ def adasyn(df: DataFrame, key: str, label: str, vector: str, width: int, k: int
     totals = hard.groupBy("_l").agg(F.sum("r").alias("total"))
     share = F.when(F.col("total") > 0, F.col("r") * F.col("lacking") / F.col("total")).otherwise(F.col("lacking") / F.col("n"))
     rows = hard.join(totals, "_l").join(_wanted(df, label), "_l").withColumn("_share", share)
-    copies = F.floor("_share") + F.when(_unit(F.col("id"), seed + 2) < F.col("_share") - F.floor("_share"), 1).otherwise(0)
-    quota = rows.select("id", copies.cast("int").alias("copies"))
+    quota = _deal(rows.filter(F.col("lacking") > 0), seed)
     near = neighbours(df, key, vector, width, k, group=label, seed=seed)
     return _synthesise(df, key, label, vector, near, quota, seed)
 
@@ -109,3 +125,12 @@ def remove_tomek(df: DataFrame, key: str, label: str, vector: str, width: int, s
     first = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("id_label") < F.col("other_label")))
     victims = sized.select(F.when(first, F.col("id")).otherwise(F.col("other")).alias(key)).distinct()
     return df.join(victims, key, "left_anti")
+
+
+def smote_tomek(df: DataFrame, key: str, label: str, vector: str, width: int, k: int = 5, seed: int = 42) -> DataFrame:
+    """Rows and synthetic rows together, without the members of Tomek links (synthetic keys follow the largest key)."""
+    made = smote(df, key, label, vector, width, k, seed).select(key, label, vector)
+    top = df.agg(F.max(key)).first()[0]
+    numbered = made.withColumn(key, (F.lit(top) + 1 + F.monotonically_increasing_id()).cast(df.schema[key].dataType))
+    both = df.select(key, label, vector).unionByName(numbered)
+    return remove_tomek(both, key, label, vector, width, seed)

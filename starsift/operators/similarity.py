@@ -35,50 +35,96 @@ def centroids(df: DataFrame, cls: str, vector: str) -> DataFrame:
     )
 
 
+#: Rows of a cell block, cells each row looks into, and the most cells a fit makes.
+CELL_ROWS, PROBES, MOST_CELLS = 1024, 12, 4096
+
+
+def _cell_centres(base: DataFrame, cells: int, width: int, seed: int) -> np.ndarray:
+    """k-means centres of the vectors, fitted on all rows."""
+    if cells == 1:
+        return np.zeros((1, width))
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rows = base.select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
+    return np.array(KMeans(k=cells, seed=seed, maxIter=10).fit(rows).clusterCenters())
+
+
 def neighbours(
     df: DataFrame, key: str, vector: str, width: int, k: int = 5, group: str | None = None,
-    projections: int = 8, window: int = 10, seed: int = 42,
+    cell_rows: int = CELL_ROWS, probes: int = PROBES, seed: int = 42,
 ) -> DataFrame:
-    """Approximate k nearest neighbours (euclidean), optionally within a group.
+    """k nearest neighbours (euclidean), optionally within a group; exact up to ``probes`` cells, approximate beyond.
 
-    For each random direction the rows are range-partitioned by (group, projection,
-    key) and compared with the next ``window`` rows of that order, so the work is
-    linear in the rows: a group holding a third of the data is simply more range
-    partitions, and equal vectors cannot pile up in one bucket. A pair is missed
-    only when no direction brings it together (or a partition border falls between).
+    Vectors are clustered into cells of about ``cell_rows`` rows. Each row looks into its ``probes`` nearest cells that
+    hold rows of its group, and into further ones until they hold more than ``k``, so every row finds ``k`` if there are
+    as many. A cell with more rows is split by hash into blocks, and so are the rows that look into it: a task compares
+    one block with another as matrices, and no row is dropped. Distances are exact.
     """
-    directions = np.random.default_rng(seed).normal(size=(projections, width))
     grp = F.col(group).cast("string") if group else F.lit("")
     base = df.select(F.col(key).alias("id"), grp.alias("grp"), F.col(vector).cast("array<float>").alias("v"))
+    id_type = dict(df.dtypes)[key]
+    centres = _cell_centres(base, int(min(MOST_CELLS, max(1, base.count() // cell_rows))), width, seed)
 
-    def scan(batches):
-        carry = None
+    def nearest(pdf: pd.DataFrame) -> np.ndarray:
+        x = np.stack(pdf["v"].to_numpy()).astype(float)
+        return (centres * centres).sum(axis=1) - 2 * x @ centres.T
+
+    def place(batches):
         for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            new_from = 0 if carry is None else len(carry)
-            carry = pdf.tail(window)
-            if not len(pdf):
-                continue
-            x = np.stack(pdf["v"].to_numpy())
-            ids, groups, dirs = pdf["id"].to_numpy(), pdf["grp"].to_numpy(), pdf["dir"].to_numpy()
-            out = []
-            for step in range(1, window + 1):
-                b = np.arange(max(step, new_from), len(pdf))
-                a = b - step
-                same = (groups[a] == groups[b]) & (dirs[a] == dirs[b]) & (ids[a] != ids[b])
-                a, b = a[same], b[same]
-                dist = np.sqrt(((x[a] - x[b]) ** 2).sum(axis=1))
-                out.append(pd.DataFrame({"id": ids[a], "other": ids[b], "distance": dist}))
-                out.append(pd.DataFrame({"id": ids[b], "other": ids[a], "distance": dist}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+            if len(pdf):
+                yield pdf.assign(cell=nearest(pdf).argmin(axis=1).astype("int32"))
 
-    id_type = dict(df.dtypes)[key]
-    pairs = None
-    weights = F.array(*[F.array(*[F.lit(float(x)) for x in d]) for d in directions])
-    spread = base.select("id", "grp", "v", F.posexplode(F.transform(weights, lambda d: vx.dot(F.col("v"), d))).alias("dir", "p"))
-    ordered = spread.repartitionByRange("dir", "grp", "p", "id").sortWithinPartitions("dir", "grp", "p", "id")
-    pairs = ordered.select("id", "grp", "v", "dir").mapInPandas(scan, f"id {id_type}, other {id_type}, distance double")
-    best = pairs.groupBy("id", "other").agg(F.min("distance").alias("distance"))
-    return top_n_by(best, ["id"], [F.asc("distance"), F.asc("other")], k).select("id", "other", "distance", "rank")
+    placed = base.mapInPandas(place, f"id {id_type}, grp string, v array<float>, cell int")
+    # one row per group and cell: the groups are classes, the cells bounded by MOST_CELLS
+    held: dict[str, dict[int, int]] = {}
+    for r in placed.groupBy("grp", "cell").count().collect():
+        held.setdefault(r.grp, {})[r.cell] = r["count"]
+
+    def look(batches):
+        for pdf in batches:
+            rows, cells, blocks = [], [], []
+            order = np.argsort(nearest(pdf), axis=1, kind="stable") if len(pdf) else []
+            for i, (g, near) in enumerate(zip(pdf["grp"], order)):
+                seen = have = 0
+                for c in near:
+                    n = held[g].get(int(c), 0)
+                    if n and (seen < probes or have <= k):
+                        rows.append(i), cells.append(int(c)), blocks.append(-(-n // cell_rows))
+                        seen, have = seen + 1, have + n
+                    elif seen >= probes and have > k:
+                        break
+            yield pdf.iloc[rows].assign(cell=np.array(cells, "int32"), blocks=np.array(blocks, "int32"))
+
+    asked = base.mapInPandas(look, f"id {id_type}, grp string, v array<float>, cell int, blocks int")
+    sizes = {(g, c): -(-n // cell_rows) for g, cs in held.items() for c, n in cs.items()}
+
+    def block(batches):
+        for pdf in batches:
+            yield pdf.assign(blocks=np.array([sizes[g, c] for g, c in zip(pdf["grp"], pdf["cell"])], "int32"))
+
+    data = placed.mapInPandas(block, f"id {id_type}, grp string, v array<float>, cell int, blocks int")
+    part = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    data = data.withColumn("block", part.cast("int")).withColumn("side", every)
+    asked = asked.withColumn("side", part.cast("int")).withColumn("block", every)
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"id": left["id"][:0], "other": right["id"][:0], "distance": np.zeros(0)})
+        a, b = (np.stack(x["v"].to_numpy()).astype(float) for x in (left, right))
+        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
+        out = []
+        for s in range(0, len(a), 512):
+            far = (a[s : s + 512] ** 2).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * a[s : s + 512] @ b.T
+            far[ids[s : s + 512, None] == others] = np.inf
+            best = np.argpartition(far, min(k, len(b) - 1), axis=1)[:, : k + 1]
+            i, j = np.repeat(np.arange(len(best)), best.shape[1]), best.ravel()
+            fine = np.isfinite(far[i, j])
+            i, j = i[fine] + s, j[fine]
+            out.append(pd.DataFrame({"id": ids[i], "other": others[j], "distance": np.sqrt(((a[i] - b[j]) ** 2).sum(axis=1))}))
+        return pd.concat(out, ignore_index=True)
+
+    keys = ["grp", "cell", "block", "side"]
+    pairs = asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(compare, f"id {id_type}, other {id_type}, distance double")
+    return top_n_by(pairs, ["id"], [F.asc("distance"), F.asc("other")], k).select("id", "other", "distance", "rank")

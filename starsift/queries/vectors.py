@@ -62,7 +62,13 @@ def centroids(s, d):
     return c.select("label", F.posexplode("centroid").alias("dim", "mean"))
 
 
-@query("near_neighbours", "K-05 L-25")
+@query(
+    "near_neighbours",
+    "K-05 L-25",
+    """WITH p AS (SELECT a.vec_id AS id, b.vec_id AS other, sqrt(list_sum([pow(cast(z[1] AS double) - z[2], 2) FOR z IN list_zip(a.embedding, b.embedding)])) AS distance
+    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, other) AS rank FROM p)
+    SELECT id, other, round(distance, 6) AS distance, cast(rank AS int) AS rank FROM r WHERE rank <= 5""",
+)
 def near_neighbours(s, d):
     return similarity.neighbours(_emb(s, d), "vec_id", "embedding", 64, 5)
 

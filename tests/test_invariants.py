@@ -103,36 +103,48 @@ def test_lsa_is_the_uncentred_svd(spark):
     assert 0 < models.lsa_variance(reduced, "v", "lsa").first().explained <= 1
 
 
-def test_neighbours_against_brute_force(spark, sf_dir):
-    e = ad.table(spark, sf_dir, "embeddings")
+@pytest.mark.parametrize("sf, cell_rows", [("sf0.01", similarity.CELL_ROWS), ("sf0.1", similarity.CELL_ROWS), ("sf0.1", 100)])
+def test_neighbours_against_brute_force(spark, sf, cell_rows):
+    """Recall at the defaults, and with many cells; every row has k neighbours at true distances."""
+    e = ad.table(spark, f"/root/testdata/{sf}", "embeddings")
     rows = e.collect()
-    x = np.array([r.embedding for r in rows])
+    x = np.array([r.embedding for r in rows], float)
     ids = [r.vec_id for r in rows]
-    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
-    np.fill_diagonal(dist, np.inf)
-    true = {ids[i]: {ids[j] for j in np.argsort(dist[i])[:5]} for i in range(len(ids))}
-    full = similarity.neighbours(e.coalesce(1), "vec_id", "embedding", 64, 5, window=600, projections=1)
+    at = {i: n for n, i in enumerate(ids)}
+    far = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1) - 2 * x @ x.T, 0))
+    np.fill_diagonal(far, np.inf)
+    true = {ids[i]: {ids[j] for j in np.argsort(far[i])[:5]} for i in range(len(ids))}
     got = {}
-    for r in full.collect():
+    for r in similarity.neighbours(e, "vec_id", "embedding", 64, 5, cell_rows=cell_rows).collect():
         got.setdefault(r.id, set()).add(r.other)
-    recall = np.mean([len(true[i] & got.get(i, set())) / 5 for i in ids])
-    assert recall > 0.95
-    for r in full.limit(20).collect():
-        assert abs(r.distance - dist[ids.index(r.id), ids.index(r.other)]) < 1e-4
+        assert abs(r.distance - far[at[r.id], at[r.other]]) < 1e-4
+    assert all(len(got[i]) == 5 for i in ids)
+    assert np.mean([len(true[i] & got[i]) / 5 for i in ids]) >= 0.9
+
+
+def test_neighbours_of_a_hot_vector(spark):
+    """A third of the rows are one vector: its cell is split and no row goes without neighbours."""
+    rng = np.random.default_rng(1)
+    rows = [(i, [1.0] * 4 if i % 3 == 0 else rng.normal(size=4).tolist()) for i in range(900)]
+    got = similarity.neighbours(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 4, 3, cell_rows=50, probes=3)
+    assert {r["count"] for r in got.groupBy("id").count().collect()} == {3}
+    assert got.filter("id % 3 = 0 and distance = 0").count() == 900
 
 
 def test_smote_balances_and_interpolates(spark, sf_dir):
     e = ad.table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("label") == 0, "rare").otherwise("common").alias("cls"), "embedding")
     counts = {r.cls: r["count"] for r in e.groupBy("cls").count().collect()}
-    made = resample.smote(e, "vec_id", "cls", "embedding", 64)
-    assert {r.cls for r in made.select("cls").distinct().collect()} == {"rare"}
-    lacking = counts["common"] - counts["rare"]
-    assert abs(made.count() - lacking) <= 0.25 * lacking
-    assert made.filter(F.size("embedding") != 64).count() == 0
+    for make in (resample.smote, resample.adasyn):
+        made = make(e, "vec_id", "cls", "embedding", 64)
+        assert {r.cls for r in made.select("cls").distinct().collect()} == {"rare"}
+        assert made.count() == counts["common"] - counts["rare"]
+        assert made.filter(F.size("embedding") != 64).count() == 0
     under = resample.undersample(e, "vec_id", "cls", 0.5).groupBy("cls").count().collect()
     assert dict((r.cls, r["count"]) for r in under)["rare"] == counts["rare"]
     cleaned = resample.remove_tomek(e, "vec_id", "cls", "embedding", 64)
     assert cleaned.filter("cls = 'rare'").count() == counts["rare"]
+    both = resample.smote_tomek(e, "vec_id", "cls", "embedding", 64).groupBy("cls").count().collect()
+    assert all(0 < r["count"] <= counts["common"] for r in both)
 
 
 def test_annotate_fan_out_and_retry(spark, sf_dir, tmp_path):
