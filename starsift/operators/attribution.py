@@ -73,12 +73,6 @@ def explain_rows(attr: DataFrame, key: str, n: int = 15, feature: str = "feature
     return running_sum(top.unionByName(other), [key], [F.asc("rank")], value)
 
 
-def top_pushes(attr: DataFrame, key: str, n: int = 15, feature: str = "feature", value: str = "attribution") -> DataFrame:
-    """Largest features up and down per row."""
-    signed = attr.filter(F.col(value) != 0).withColumn("direction", F.when(F.col(value) > 0, "up").otherwise("down"))
-    return top_n_by(signed, [key, "direction"], [F.round(F.abs(value), 6).desc(), F.col(feature).asc()], n)
-
-
 def token_contributions(df: DataFrame, key: str, text: str, attr: DataFrame, feature: str = "feature", value: str = "attribution") -> DataFrame:
     """Each token of a text with its word's attribution and its size relative to the text's largest."""
     words = attr.filter(~F.contains(feature, F.lit(" "))).groupBy(key, F.col(feature).alias("word")).agg(

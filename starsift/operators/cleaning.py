@@ -1,6 +1,6 @@
 """Row cleaning, filtering and deduplication."""
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.functions import labels, parsing
@@ -27,11 +27,15 @@ def filter_exposure(df: DataFrame, n: int, votes: str = "HelpfulnessDenominator"
 def filter_exposure_adaptive(
     df: DataFrame, n: int = 5, minimum_rows: int = 100, fallback: int = 1, votes: str = "HelpfulnessDenominator"
 ) -> DataFrame:
-    """Threshold ``n`` unless fewer than ``minimum_rows`` rows would remain, then ``fallback``."""
+    """Threshold ``n`` unless fewer than ``minimum_rows`` rows would remain, then ``fallback``.
+
+    Which of the two was used stands in ``exposure_threshold``. Behaviour depends on the size of the data, so other
+    operators take an explicit threshold instead.
+    """
     threshold = df.agg(
         F.when(F.count_if(F.col(votes) >= n) >= minimum_rows, n).otherwise(fallback).alias("t")
     ).scalar()
-    return df.filter(F.col(votes) >= threshold)
+    return df.withColumn("exposure_threshold", threshold).filter(F.col(votes) >= F.col("exposure_threshold"))
 
 
 def drop_blank(df: DataFrame, col: str = "clean_review_text") -> DataFrame:
@@ -196,12 +200,6 @@ def dashboard_frame(df: DataFrame) -> DataFrame:
     )
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as they pass, without another job."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 def clean_stage(raw: DataFrame) -> DataFrame:
     """Null filter, text cleaning, merge, blank and language filters (no shuffle).
 

@@ -83,7 +83,7 @@ def weigh(counts: DataFrame, vocab: DataFrame, key: str, sublinear: bool = False
 
 
 def tfidf_keywords(
-    df: DataFrame, key: str, text: str, k: int = 10, max_features: int | None = 3000, min_df: int = 2, max_df: float = 0.85
+    df: DataFrame, key: str, text: str, k: int = 10, max_features: int | None = None, min_df: int = 2, max_df: float = 0.85
 ) -> DataFrame:
     """Top ``k`` uni- and bigrams per document by sublinear TF-IDF (weights compared to 6 places)."""
     w = tfidf(df, key, text, 2, min_df, max_df, max_features, sublinear=True)
@@ -94,7 +94,7 @@ def tfidf_keywords(
 
 
 def topic_keywords(
-    df: DataFrame, topic: str, text: str, n: int = 8, max_features: int = 100, stop_words=tuple(fv.GENERAL_STOP_WORDS)
+    df: DataFrame, topic: str, text: str, n: int = 8, max_features: int | None = None, stop_words=tuple(fv.GENERAL_STOP_WORDS)
 ) -> DataFrame:
     """Class-based TF-IDF: each topic is one document; best ``n`` terms per topic."""
     w = tfidf(df, topic, text, 1, 1, 1.0, max_features, False, stop_words)
@@ -283,7 +283,7 @@ def process_documents(
         out = out.withColumn("noun_phrases", F.lit(""))
     else:
         chunks = tag_tokens(base, key, F.col("_tokens"), tags).select(
-            key, F.array_join(F.slice(noun_phrases(F.col("tokens"), F.col("tags")), 1, 8), " | ").alias("noun_phrases")
+            key, F.array_join(noun_phrases(F.col("tokens"), F.col("tags")), " | ").alias("noun_phrases")
         )
         out = out.join(chunks, key, "left").withColumn("noun_phrases", F.coalesce("noun_phrases", F.lit("")))
     return out.drop("_clean", "_tokens", "_lemmas", "_skills")

@@ -200,11 +200,3 @@ def filter_entities(entities: Column, min_len: int = 2) -> Column:
 def densities(text: Column, entities: Column, aspects: Column) -> dict[str, Column]:
     n = F.greatest(tx.word_count(text), F.lit(1))
     return {"entity_density": F.size(entities) / n, "aspect_density": F.size(aspects) / n}
-
-
-def top_entities(df: DataFrame, key: str, entities: Column, n: int = 3) -> DataFrame:
-    """Most repeated entity texts per key."""
-    counts = df.select(key, F.explode(entities).alias("e")).groupBy(key, F.lower("e.text").alias("entity")).agg(
-        F.count("*").alias("n")
-    )
-    return top_n_by(counts, [key], [F.desc("n"), F.asc("entity")], n)

@@ -222,7 +222,3 @@ def metrics_long(report: DataFrame, names: dict[str, str]) -> DataFrame:
     """One report row to (metric, value) rows: ``names`` maps column -> metric."""
     cells = [F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value")) for c, m in names.items()]
     return report.select(F.inline(F.array(*cells)))
-
-
-def thresholds_table(spark: SparkSession, values) -> DataFrame:
-    return spark.createDataFrame([(float(v),) for v in values], "threshold double")

@@ -21,14 +21,6 @@ def overview(df: DataFrame) -> DataFrame:
     )
 
 
-def column_types(df: DataFrame) -> dict[str, list[str]]:
-    """Column names by type (schema only)."""
-    out: dict[str, list[str]] = {}
-    for name, dtype in df.dtypes:
-        out.setdefault(dtype, []).append(name)
-    return out
-
-
 def missing_report(df: DataFrame) -> DataFrame:
     """Null count and percent per column, only columns with nulls (one pass)."""
     counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
@@ -91,10 +83,9 @@ def star_sentiment_fit(df: DataFrame, x: str = "star_rating", y: str = "compound
     )
 
 
-def monthly_trend(df: DataFrame, minimum_rows: int = 5) -> DataFrame:
-    """Reviews, mean star and mean score per month; empty below ``minimum_rows`` dated rows."""
+def monthly_trend(df: DataFrame) -> DataFrame:
+    """Reviews (the count tells how far to trust a month), mean star and mean score per month."""
     dated = df.filter(F.col("review_time").isNotNull())
-    total = dated.agg(F.count("*").alias("n")).scalar()
     return (
         dated.groupBy(labels.month_key(F.col("review_time")).alias("month"))
         .agg(
@@ -102,7 +93,6 @@ def monthly_trend(df: DataFrame, minimum_rows: int = 5) -> DataFrame:
             F.avg("star_rating").alias("avg_rating"),
             F.avg("compound").alias("avg_sentiment"),
         )
-        .filter(total >= minimum_rows)
     )
 
 
@@ -126,7 +116,7 @@ def votes_by_label(df: DataFrame) -> DataFrame:
     )
 
 
-def votes_histogram(spark: SparkSession, df: DataFrame, bins: int = 30, cap: float = 100) -> DataFrame:
+def votes_histogram(spark: SparkSession, df: DataFrame, bins: int = 30, cap: float | None = None) -> DataFrame:
     return histogram(spark, df.filter(F.col("helpful_votes") > 0), "helpful_votes", bins, cap)
 
 

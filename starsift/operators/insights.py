@@ -205,9 +205,9 @@ def complaint_matrix(df: DataFrame, text: str = "review_text", groups=fv.COMPLAI
     return rows.select("product_id", "complaint", (F.col("mentions") * 100.0 / F.col("n_neg")).alias("pct"))
 
 
-def complaint_by_star(df: DataFrame, text: str = "review_text", groups=fv.COMPLAINT_KEYWORDS, first: int = 5) -> DataFrame:
-    """Complaint share at one, two and three stars for the first complaint groups."""
-    names = list(groups)[:first]
+def complaint_by_star(df: DataFrame, text: str = "review_text", groups=fv.COMPLAINT_KEYWORDS) -> DataFrame:
+    """Complaint share at one, two and three stars for every complaint group."""
+    names = list(groups)
     flagged = _flagged(df, text, {n: groups[n] for n in names}, ["star_rating"])
     aggs = []
     for i in range(len(names)):

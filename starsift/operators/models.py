@@ -225,13 +225,6 @@ def search_results(spark: SparkSession, cv: CrossValidatorModel) -> DataFrame:
     return spark.createDataFrame(rows, "setting int, parameter string, value string, mean_score double")
 
 
-def search_heatmap(results: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
-    """Mean score by two parameters."""
-    wide = results.groupBy("setting").pivot("parameter", [row, column]).agg(F.first("value"))
-    scores = results.groupBy("setting").agg(F.first("mean_score").alias("mean_score"))
-    return wide.join(scores, "setting").groupBy(row).pivot(column, values).agg(F.avg("mean_score"))
-
-
 def predict_batch(df: DataFrame, model, classes: list = CLASSES) -> DataFrame:
     """Predicted label, its probability and one probability column per class, four places."""
     scored = model.transform(df)

@@ -137,16 +137,17 @@ def sentiment_long(ms: DataFrame) -> DataFrame:
     )
 
 
-def rating_heatmap(ms: DataFrame, months: int = 12, products: int = 25) -> DataFrame:
-    """Estimated rating per product and month for the latest months and first products."""
-    edges = windows.month_edges(ms).filter(F.col("from_last") <= months)
-    chosen = ms.select("product_id").distinct().orderBy("product_id").limit(products)
+def rating_heatmap(ms: DataFrame, months: int | None = None, products: int | None = None) -> DataFrame:
+    """Estimated rating per product and month; on request of the latest months and first products only."""
+    cells = ms.filter(F.col("month").isNotNull())
+    if months is not None:
+        edges = windows.month_edges(ms).filter(F.col("from_last") <= months)
+        cells = cells.join(edges.select("month"), "month")
+    if products is not None:
+        chosen = ms.select("product_id").distinct().orderBy("product_id").limit(products)
+        cells = cells.join(chosen, "product_id", "left_semi")
     rating = F.col("positive_count") * 4.5 + F.col("neutral_count") * 3.0 + F.col("negative_count") * 1.5
-    return (
-        ms.join(edges.select("month"), "month")
-        .join(chosen, "product_id", "left_semi")
-        .select("product_id", "month", (rating / F.greatest("total_reviews", F.lit(1))).alias("est_rating"))
-    )
+    return cells.select("product_id", "month", (rating / F.greatest("total_reviews", F.lit(1))).alias("est_rating"))
 
 
 def aspect_diverging(as_: DataFrame) -> DataFrame:

@@ -50,7 +50,8 @@ def topic_month(df: DataFrame, topic: str, topics: list, month: str = "month") -
 def topic_trend(df: DataFrame, topic: str, month: str = "month", edge: int = 3) -> DataFrame:
     """Percent change of the mean volume of the last months over the first months (+1).
 
-    Months without a topic's reviews count as zero; fewer than 2 * edge months give zeros.
+    Months without a topic's reviews count as zero; with fewer than 2 * edge months the
+    trend is null. ``months`` says how many there are.
     """
     counts = df.filter(F.col(month).isNotNull() & F.col(topic).isNotNull()).groupBy(topic, month).agg(
         F.count("*").alias("n")
@@ -62,8 +63,8 @@ def topic_trend(df: DataFrame, topic: str, month: str = "month", edge: int = 3)
     last = F.coalesce(F.sum(F.when(F.col("from_last") <= edge, F.col("n"))), F.lit(0)) / edge
     return joined.groupBy(topic).agg(first.alias("first_mean"), last.alias("last_mean")).withColumn(
         "trend_pct",
-        F.when(n_months >= 2 * edge, (F.col("last_mean") - F.col("first_mean")) * 100.0 / (F.col("first_mean") + 1)).otherwise(0.0),
-    )
+        F.when(n_months >= 2 * edge, (F.col("last_mean") - F.col("first_mean")) * 100.0 / (F.col("first_mean") + 1)),
+    ).withColumn("months", n_months)
 
 
 def trending_topic(trend: DataFrame, topic: str) -> DataFrame:

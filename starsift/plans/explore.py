@@ -13,8 +13,8 @@ def eda(spark: SparkSession, df: DataFrame, numeric: list[str]) -> dict[str, Dat
         "overview": explore.overview(df),
         "missing": explore.missing_report(df),
         "stars": explore.star_distribution(df),
-        "word_histogram": explore.histogram(spark, df, "word_count", 40, 500),
-        "word_quartiles": explore.quartiles_by(df, "star_rating", "word_count", 500),
+        "word_histogram": explore.histogram(spark, df, "word_count", 40),
+        "word_quartiles": explore.quartiles_by(df, "star_rating", "word_count"),
         "tiers": explore.tier_share(df),
         "sentiment": explore.sentiment_distribution(df),
         "compound_histogram": explore.histogram(spark, df, "compound", 40),

@@ -9,10 +9,10 @@ from starsift.plans.preprocess import preprocess
 from starsift.sources import durable
 
 
-def train_helpfulness(clean: DataFrame, key: str = "Id", trees: int = 100, test_share: float = 0.2):
-    """(model, scored test rows, error report) on reviews with enough votes."""
+def train_helpfulness(clean: DataFrame, key: str = "Id", trees: int = 100, test_share: float = 0.2, min_votes: int = 5):
+    """(model, scored test rows, error report) on reviews with at least ``min_votes`` votes."""
     dated = clean.withColumn("review_time", F.timestamp_seconds("Time"))
-    exposed = cleaning.filter_exposure_adaptive(dated)
+    exposed = cleaning.filter_exposure(dated, min_votes)
     rows = models.helpfulness_features(exposed).withColumn(
         "target", ft.helpfulness_ratio(F.col("HelpfulnessNumerator"), F.col("HelpfulnessDenominator"))
     )

@@ -44,12 +44,12 @@ def filter_exposure(s, d):
     "B-04 D-08",
     over(
         "raw",
-        """SELECT "Id" FROM raw WHERE "HelpfulnessDenominator" >=
-             (SELECT CASE WHEN count(*) >= 100 THEN 8 ELSE 1 END FROM raw WHERE "HelpfulnessDenominator" >= 8)""",
+        """, t AS (SELECT CASE WHEN count(*) >= 100 THEN 8 ELSE 1 END AS exposure_threshold FROM raw WHERE "HelpfulnessDenominator" >= 8)
+           SELECT "Id", exposure_threshold FROM raw, t WHERE "HelpfulnessDenominator" >= exposure_threshold""",
     ),
 )
 def filter_exposure_adaptive(s, d):
-    return cleaning.filter_exposure_adaptive(ad.raw_reviews(s, d), 8).select("Id")
+    return cleaning.filter_exposure_adaptive(ad.raw_reviews(s, d), 8).select("Id", "exposure_threshold")
 
 
 @query("clean_review_text", "B-05", over("raw", f'SELECT "Id", {clean(chr(34) + "Text" + chr(34))} AS cleaned FROM raw'))

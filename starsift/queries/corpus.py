@@ -255,14 +255,15 @@ def document_noun_phrases(s, d):
     return corpus.process_documents(docs, "doc_id", "text", tags=_tags(s, d)).select("doc_id", "noun_phrases")
 
 
-def _tfidf_sql(max_features: int, min_df: int, max_df: float) -> str:
+def _tfidf_sql(max_features: int | None, min_df: int, max_df: float) -> str:
+    most = "" if max_features is None else f"ORDER BY total DESC, term LIMIT {max_features}"
     return f"""t AS (SELECT doc_id, {VT} AS w FROM documents),
     g AS (SELECT doc_id, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS term FROM t),
     c AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY ALL),
     n AS (SELECT count(*) AS n FROM documents),
     v AS (SELECT term, count(*) AS df, sum(tf) AS total FROM c GROUP BY 1
           HAVING count(*) >= {min_df} AND count(*) <= {max_df} * (SELECT n FROM n)
-          ORDER BY total DESC, term LIMIT {max_features}),
+          {most}),
     r AS (SELECT doc_id, term, (1 + ln(tf)) * (ln((1 + n.n) / (1 + df)) + 1) AS w FROM c JOIN v USING (term), n),
     x AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM r)"""
 
@@ -270,7 +271,7 @@ def _tfidf_sql(max_features: int, min_df: int, max_df: float) -> str:
 @query(
     "tfidf_keywords",
     "F-10 F-11",
-    f"""WITH {_tfidf_sql(3000, 2, 0.85)},
+    f"""WITH {_tfidf_sql(None, 2, 0.85)},
     k AS (SELECT *, cast(row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 6) DESC, term) AS int) AS rank FROM x)
     SELECT doc_id, rank, term, round(weight, 6) AS weight FROM k WHERE rank <= 10""",
 )
@@ -281,10 +282,10 @@ def tfidf_keywords(s, d):
 @query(
     "tfidf_feature_rows",
     "F-11",
-    f"WITH {_tfidf_sql(5000, 2, 0.95)} SELECT doc_id, count(*) AS terms, round(sum(weight), 5) AS total FROM x GROUP BY 1",
+    f"WITH {_tfidf_sql(None, 2, 0.95)} SELECT doc_id, count(*) AS terms, round(sum(weight), 5) AS total FROM x GROUP BY 1",
 )
 def tfidf_feature_rows(s, d):
-    w = corpus.tfidf(_docs(s, d), "doc_id", "text", 2, 2, 0.95, 5000, sublinear=True)
+    w = corpus.tfidf(_docs(s, d), "doc_id", "text", 2, 2, 0.95, None, sublinear=True)
     return w.groupBy("doc_id").agg(F.count("*").alias("terms"), F.round(F.sum("weight"), 5).alias("total"))
 
 
@@ -296,7 +297,7 @@ _VS = f"[t FOR t IN {VT} IF t NOT IN {sql_in(fv.GENERAL_STOP_WORDS)}]"
     "F-12 K-04",
     f"""WITH t AS (SELECT source, unnest({_VS}) AS term FROM documents),
     c AS (SELECT source, term, count(*) AS tf FROM t GROUP BY ALL), n AS (SELECT count(DISTINCT source) AS n FROM documents),
-    v AS (SELECT term, count(*) AS df, sum(tf) AS total FROM c GROUP BY 1 ORDER BY total DESC, term LIMIT 100),
+    v AS (SELECT term, count(*) AS df, sum(tf) AS total FROM c GROUP BY 1),
     r AS (SELECT source, term, tf * (ln((1 + n.n) / (1 + df)) + 1) AS w FROM c JOIN v USING (term), n),
     x AS (SELECT source, term, w / sqrt(sum(w * w) OVER (PARTITION BY source)) AS weight FROM r),
     k AS (SELECT *, cast(row_number() OVER (PARTITION BY source ORDER BY round(weight, 6) DESC, term) AS int) AS rank FROM x)
@@ -406,8 +407,8 @@ def cohort_summaries(s, d):
     "F-19",
     f"""WITH c AS (SELECT conv_id, turn, {'trim(regexp_replace(regexp_replace(text, ' + chr(39) + '<br\\s*/?>' + chr(39) + ", ' ', 'g'), '" + SP + "+', ' ', 'g'))"} AS text
                    FROM conversations),
-    l AS (SELECT conv_id, turn, [x FOR x IN {SENTENCES} IF length(x) > 15] AS p FROM c)
-    SELECT conv_id, turn, array_to_string(list_filter(p, lambda x, i: list_position([left(lower(y), 50) FOR y IN p], left(lower(x), 50)) = i)[1:6], ' / ')
+    l AS (SELECT conv_id, turn, {SENTENCES} AS p FROM c)
+    SELECT conv_id, turn, array_to_string(list_filter(p, lambda x, i: list_position([lower(y) FOR y IN p], lower(x)) = i), ' / ')
            AS points FROM l""",
 )
 def conversation_points(s, d):
@@ -485,7 +486,7 @@ TREND = """, c AS (SELECT topic_id, month, count(*) AS n FROM reviews GROUP BY A
   e AS (SELECT topic_id, coalesce(sum(n) FILTER (WHERE a <= 3), 0) / 3 AS first_mean, coalesce(sum(n) FILTER (WHERE z <= 3), 0) / 3 AS last_mean
         FROM c JOIN m USING (month) GROUP BY 1),
   trend AS (SELECT topic_id, round(first_mean, 6) AS first_mean, round(last_mean, 6) AS last_mean,
-        round(CASE WHEN (SELECT count(*) FROM m) >= 6 THEN (last_mean - first_mean) * 100.0 / (first_mean + 1) ELSE 0 END, 6) AS trend_pct FROM e)"""
+        round(CASE WHEN (SELECT count(*) FROM m) >= 6 THEN (last_mean - first_mean) * 100.0 / (first_mean + 1) ELSE NULL END, 6) AS trend_pct, (SELECT count(*) FROM m) AS months FROM e)"""
 
 
 @query("topic_trend", "F-24 G-09", over("reviews", TREND + " SELECT * FROM trend"))

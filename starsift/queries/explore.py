@@ -78,29 +78,28 @@ def _hist_sql(cte: str, x: str, bins: int) -> str:
     FROM range(0, {bins}) b LEFT JOIN h ON h.bin = b.range, e"""
 
 
-@query("word_count_histogram", "E-21", _hist_sql(D, "least(word_count, 500)", 40))
+@query("word_count_histogram", "E-21", _hist_sql(D, "word_count", 40))
 def word_count_histogram(s, d):
-    return explore.histogram(s, _docs(s, d), "word_count", 40, 500)
+    return explore.histogram(s, _docs(s, d), "word_count", 40)
 
 
 @query(
     "word_count_summary",
     "E-21",
-    D + " SELECT round(avg(least(word_count, 500)), 6) AS mean, median(least(word_count, 500)) AS median FROM r",
+    D + " SELECT round(avg(word_count), 6) AS mean, median(word_count) AS median FROM r",
 )
 def word_count_summary(s, d):
-    capped = F.least("word_count", F.lit(500))
-    return _docs(s, d).agg(F.avg(capped).alias("mean"), F.median(capped).alias("median"))
+    return _docs(s, d).agg(F.avg("word_count").alias("mean"), F.median("word_count").alias("median"))
 
 
 @query(
     "word_count_quartiles",
     "E-22",
     D + """ SELECT lang, round(quantile_cont(word_count, 0.25), 6) AS q1, round(quantile_cont(word_count, 0.5), 6) AS median,
-            round(quantile_cont(word_count, 0.75), 6) AS q3 FROM r WHERE word_count < 500 GROUP BY 1""",
+            round(quantile_cont(word_count, 0.75), 6) AS q3 FROM r GROUP BY 1""",
 )
 def word_count_quartiles(s, d):
-    return explore.quartiles_by(_docs(s, d), "lang", "word_count", 500)
+    return explore.quartiles_by(_docs(s, d), "lang", "word_count")
 
 
 @query(
@@ -181,7 +180,7 @@ def votes_by_label(s, d):
     return explore.votes_by_label(ad.reviews(s, d))
 
 
-@query("votes_histogram", "E-28", over("reviews", _hist_sql(", r AS (SELECT * FROM reviews WHERE helpful_votes > 0)", "least(helpful_votes, 100)", 30)))
+@query("votes_histogram", "E-28", over("reviews", _hist_sql(", r AS (SELECT * FROM reviews WHERE helpful_votes > 0)", "helpful_votes", 30)))
 def votes_histogram(s, d):
     return explore.votes_histogram(s, ad.reviews(s, d))
 

@@ -393,8 +393,8 @@ def _helpfulness_model(s, d):
         "target", ft.helpfulness_ratio(F.col("helpfulness_numerator"), F.col("helpfulness_denominator"))
     )
     rows = durable.materialise(rows)
-    train = cleaning.filter_exposure_adaptive(rows, votes="helpfulness_denominator")
-    return models.fit_helpfulness(train, trees=20), rows
+    train = cleaning.filter_exposure(rows, 5, votes="helpfulness_denominator")
+    return models.fit_helpfulness(train), rows
 
 
 @query("scored_helpfulness", "L-02 L-03 A-18")

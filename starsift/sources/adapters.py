@@ -40,13 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tasks(spark: SparkSession) -> int:
+    """The benchmark tables are files of one row group, so they are dealt over the session's shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.spread(table(spark, sf_dir, "documents"), "doc_id")
+    return files.spread(table(spark, sf_dir, "documents"), "doc_id", _tasks(spark))
 
 
 def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews laid out for text work."""
-    return reviews_from(files.spread(table(spark, sf_dir, "orders"), "o_orderkey"))
+    return reviews_from(files.spread(table(spark, sf_dir, "orders"), "o_orderkey", _tasks(spark)))
 
 
 def _pick(values: list[str], index: str) -> Column:
@@ -104,7 +109,7 @@ def topics(spark: SparkSession) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_reviews_from(files.spread(table(spark, sf_dir, "orders"), "o_orderkey"))
+    return raw_reviews_from(files.spread(table(spark, sf_dir, "orders"), "o_orderkey", _tasks(spark)))
 
 
 def raw_reviews_from(orders: DataFrame) -> DataFrame:

@@ -42,19 +42,13 @@ def save_reviews(df: DataFrame, path: str) -> None:
     (writer.partitionBy("month") if "month" in df.columns else writer).parquet(f"{path}/parquet")
 
 
-def write_clean(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def spread(df: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """Hash the rows over ``partitions`` tasks; None leaves the scan as it is.
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash the rows over all cores when the scan has fewer partitions than cores.
-
-    A table stored as one row group is one task however it is split. Meant for
-    CPU-heavy text work on such tables; a large table has more scan partitions
-    than cores and is left alone.
+    A table stored as one row group is one task however it is split. The caller
+    knows its files and says so; nothing here looks at the table's size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df if partitions is None else df.repartition(partitions, key)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
