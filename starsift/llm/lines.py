@@ -75,7 +75,9 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, tex
     texts = stored(found.select("p.node", normalised(F.get("lines", F.col("p.pos"))).alias("line")).dropDuplicates(["node"]), "line-texts")
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
     most = f"cast(floor((1 - {SIMILARITY}D) * greatest(length(x), length(y)) + 1e-9D) as int)"
-    return stored(both.filter(F.expr(f"levenshtein(x, y, {most}) >= 0")).select("a", "b"), "line-links")
+    # the work grows with the edits allowed, and most pairs need few
+    within = " or ".join(f"levenshtein(x, y, {most} div {part}) >= 0" for part in (32, 8, 1))
+    return stored(both.filter(F.expr(within)).select("a", "b"), "line-links")
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
