@@ -1,8 +1,9 @@
 """Fuzzy line deduplication in DataFrame functions only.
 
 Lines are normalised (lower case, runs of other characters than letters and digits become one space). Equal lines are one
-node. A node's 64-bit SimHash is the majority, bit by bit, of its words' hashes. Words are rows while they are counted: each of
-32 sums holds two 32-bit counters, so an aggregate of plain additions makes the 64 counts.
+node. A node's 64-bit SimHash is the majority, bit by bit, of its distinct words' hashes (a few common words would else decide
+most bits). Words are rows while they are counted: each of 22 sums holds three counters of 20 bits and more, so an aggregate
+of plain additions makes the 64 counts, exact to a million distinct words a line.
 
 Hashes that differ in at most ``DISTANCE`` = 3 bits agree in two of five blocks (pigeonhole), so nodes meet under ten block
 pairs of about 26 bits. Where just two nodes meet, they are the pair. Where more meet, all are paired with one of them first;
@@ -22,7 +23,8 @@ DISTANCE = 3
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 PAIRS = [(i, j) for i in range(5) for j in range(i + 1, 5)]
 SIMILARITY = 0.8
-LOW = 0xFFFFFFFF
+#: Bits of a counter.
+LANE = 22
 
 
 def normalised(line: Column) -> Column:
@@ -37,15 +39,14 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """key (of the row), id, pos, node (hash of the normalised line), check (a second one), chars, sim of every line with a word."""
     rows = docs.select(_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
     rows = rows.withColumn("line", normalised("line")).filter(F.col("line") != "")
-    rows = rows.select("key", "id", "pos", F.xxhash64("line").alias("node"), F.xxhash64(F.lit(7), "line").alias("check"), F.length("line").alias("chars"), F.explode(F.split("line", " ")).alias("word"))
+    rows = rows.select("key", "id", "pos", F.xxhash64("line").alias("node"), F.xxhash64(F.lit(7), "line").alias("check"), F.length("line").alias("chars"), F.explode(F.array_distinct(F.split("line", " "))).alias("word"))
     rows = rows.withColumn("h", F.xxhash64("word")).drop("word")
-    lanes = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit((1 << 32) + 1))).alias(f"s{j}") for j in range(32)]
+    lanes = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(1 | 1 << LANE | 1 << 2 * LANE))).alias(f"s{j}") for j in range(LANE)]
     counted = rows.groupBy("key", "id", "pos", "node", "check", "chars").agg(F.count("*").alias("n"), *lanes)
     sim = F.lit(0).cast("long")
-    for j in range(32):
-        low, high = F.col(f"s{j}").bitwiseAND(LOW), F.shiftrightunsigned(f"s{j}", 32)
-        for ones, bit in ((low, j), (high, j + 32)):
-            sim = sim.bitwiseOR(F.when(2 * ones > F.col("n"), F.lit((1 << bit) - (1 << 64 if bit == 63 else 0)).cast("long")).otherwise(F.lit(0).cast("long")))
+    for bit in range(64):
+        ones = F.shiftrightunsigned(f"s{bit % LANE}", bit // LANE * LANE).bitwiseAND((1 << LANE) - 1)
+        sim = sim.bitwiseOR(F.when(2 * ones > F.col("n"), F.lit((1 << bit) - (1 << 64 if bit == 63 else 0)).cast("long")).otherwise(F.lit(0).cast("long")))
     return counted.select("key", "id", "pos", "node", "check", "chars", sim.alias("sim"))
 
 

@@ -36,7 +36,7 @@ def plain(docs, hashes):
     names = list(keys)
     sim = np.zeros((len(names), 64), bool)
     for k, n in enumerate(names):
-        w = np.array([hashes[x] for x in n.split(" ")], np.int64).view(np.uint64)
+        w = np.array([hashes[x] for x in set(n.split(" "))], np.int64).view(np.uint64)
         ones = ((w[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(axis=0)
         sim[k] = 2 * ones > len(w)
     f = sim.astype(np.float32)
