@@ -74,7 +74,23 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(rows.filter(F.col("id") % 20 == 0), rows, 20)
 
 
-@query("op9_near_duplicates")
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+), l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e
+), r AS (SELECT DISTINCT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y
+), c AS (SELECT x, min(y) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN c ON c.x = doc_id
+"""
+
+
+@query("op9_near_duplicates", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starsift.llm.minhash import near_duplicates
 
@@ -89,7 +105,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir), trusted)
 
 
-@query("op5_repeats")
+OP5_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), v AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d
+), k AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS k FROM v
+), t AS (SELECT doc_id, i FROM k WHERE k IN (SELECT k FROM k GROUP BY 1 HAVING count(*) > 1)
+), g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+    SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM t)
+), r AS (SELECT doc_id, min(i) AS s, max(i) + 200 AS e FROM g GROUP BY doc_id, run
+), b AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before FROM r
+), o AS (SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last, string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) AS kept
+  FROM b JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN o USING (doc_id)
+"""
+
+
+@query("op5_repeats", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starsift.llm.repeats import drop_repeats
 
