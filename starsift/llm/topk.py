@@ -60,8 +60,8 @@ def _grouped(df: DataFrame, pivots: np.ndarray, dims: int, top: float, query: bo
     return per_batch(df, work, f"id {kind}, v array<long>, group int, far double")
 
 
-def _blocks(df: DataFrame, dims: int, size: int) -> DataFrame:
-    """Rows of a group packed by ascending distance: group, lo, hi, ids, matrix (row-major 64-bit integers)."""
+def _blocks(df: DataFrame, dims: int, size: int, whole: str) -> DataFrame:
+    """Rows of a group packed by ascending distance: group, lo, hi, ids, matrix (row-major integers of the kind ``whole``)."""
 
     def work(batches):
         for batch in batches:
@@ -69,7 +69,7 @@ def _blocks(df: DataFrame, dims: int, size: int) -> DataFrame:
             edges = np.r_[np.flatnonzero(np.diff(group, prepend=group[:1] - 1)), len(group)] if len(group) else []
             cuts = [(s, min(s + size, e)) for a, e in zip(edges, edges[1:]) for s in range(a, e, size)]
             for s, e in cuts:
-                m = _matrix(batch.column("v").slice(s, e - s), dims).astype("<i8")
+                m = _matrix(batch.column("v").slice(s, e - s), dims).astype(whole)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([group[s]], pa.int32()), pa.array([far[s]]), pa.array([far[e - 1]]), pa.array([batch.column("id").slice(s, e - s).to_pylist()], pa.list_(batch.schema.field("id").type)), pa.array([m.tobytes()], pa.binary())],
                     ["group", "lo", "hi", "ids", "m"],
@@ -120,14 +120,15 @@ def exact_top_k(queries: DataFrame, data: DataFrame, k: int, pivots: int = PIVOT
         # |d(p_i,p_j) - d(s,p_j)| - u <= d(q,s) <= bound
         pairs += [(i, j, float(between[i, j] - u - bound), float(between[i, j] + u + bound)) for j in range(len(points))]
     need = F.broadcast(rows.sparkSession.createDataFrame(pairs, "ask_group int, group int, least double, most double"))  # pivots squared rows
-    sent = _blocks(near, dims, block).join(need, "group").filter((F.col("hi") >= F.col("least")) & (F.col("lo") <= F.col("most")))
+    whole = "<i2" if widest < 2**15 else "<i4" if widest < 2**31 else "<i8"
+    sent = _blocks(near, dims, block, whole).join(need, "group").filter((F.col("hi") >= F.col("least")) & (F.col("lo") <= F.col("most")))
     sent = sent.select("ask_group", "ids", "m")
-    asking = _blocks(ask, dims, QUERY_BLOCK).select(F.col("group").alias("ask_group"), F.col("ids").alias("q_ids"), F.col("m").alias("q_m"))
+    asking = _blocks(ask, dims, QUERY_BLOCK, whole).select(F.col("group").alias("ask_group"), F.col("ids").alias("q_ids"), F.col("m").alias("q_m"))
 
     def solve(batch: pa.RecordBatch):
         for ids, m, q_ids, q_m in zip(*(batch.column(c) for c in ("ids", "m", "q_ids", "q_m"))):
             ids, q_ids = np.array(ids.as_py()), np.array(q_ids.as_py())
-            a, b = (np.frombuffer(x.as_py(), "<i8").reshape(-1, dims).astype(np.float64) for x in (q_m, m))
+            a, b = (np.frombuffer(x.as_py(), whole).reshape(-1, dims).astype(np.float64) for x in (q_m, m))
             score = a @ b.T
             score[q_ids[:, None] == ids] = -np.inf
             least = np.partition(score, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(a), -np.inf)
