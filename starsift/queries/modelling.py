@@ -375,10 +375,17 @@ def _labelled(s, d):
     )
 
 
-def _vectors(s, d, max_features=2000, max_n=2):
+def _vectors(s, d, max_features=5000, max_n=2):
     return models.text_vectors(_labelled(s, d), "review_id", "text", max_features, max_n, extra=["compound"])
 
 
+def _held_out(rows):
+    """(rows to fit, how many, rows to score)."""
+    parts = evaluate.split(rows, "review_id", 0.2)
+    train = parts.filter(~F.col("is_test"))
+    return train, train.count(), parts.filter("is_test")
+
+
 @query("helpfulness_feature_rows", "L-01")
 def helpfulness_feature_rows(s, d):
     r = ad.text_reviews(s, d).withColumnsRenamed({"review_text": "clean_review_text", "star_rating": "Score"})
@@ -411,31 +418,29 @@ def helpfulness_importances(s, d):
 
 @query("logistic_predictions", "L-08 L-17")
 def logistic_predictions(s, d):
-    rows, _ = _vectors(s, d)
-    n = rows.count()
-    model = models.logistic_regression(n, iterations=50).fit(rows)
-    return models.predict_batch(rows, model).select("review_id", "predicted_label", "confidence", "p_negative", "p_neutral", "p_positive")
+    train, n, test = _held_out(_vectors(s, d)[0])
+    model = models.logistic_regression(n).fit(train)
+    return models.predict_batch(test, model).select("review_id", "predicted_label", "confidence", "p_negative", "p_neutral", "p_positive")
 
 
 @query("calibrated_svc_predictions", "L-09")
 def calibrated_svc_predictions(s, d):
-    rows, _ = _vectors(s, d, 500, 1)
-    n = rows.count()
-    svc, calibrate = models.fit_calibrated_svc(rows, "review_id", n, iterations=20)
-    return models.apply_calibrated(rows, svc, calibrate).groupBy("label", "prediction").agg(F.count("*").alias("n"))
+    train, n, test = _held_out(_vectors(s, d, 500, 1)[0])
+    svc, calibrate = models.fit_calibrated_svc(train, "review_id", n, iterations=20)
+    return models.apply_calibrated(test, svc, calibrate).groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
 
 @query("forest_predictions", "L-10")
 def forest_predictions(s, d):
-    rows, _ = _vectors(s, d, 500, 1)
-    model = models.random_forest(trees=20, depth=10).fit(rows)
-    return models.predict_batch(rows, model).groupBy("label", "predicted_label").agg(F.count("*").alias("n"))
+    train, _, test = _held_out(_vectors(s, d, 500, 1)[0])
+    model = models.random_forest(trees=20, depth=10).fit(train)
+    return models.predict_batch(test, model).groupBy("label", "predicted_label").agg(F.count("*").alias("n"))
 
 
 @query("bayes_predictions", "L-11")
 def bayes_predictions(s, d):
-    rows, _ = models.text_vectors(_labelled(s, d), "review_id", "text", 500, 1)
-    return models.predict_batch(rows, models.naive_bayes().fit(rows)).groupBy("label", "predicted_label").agg(F.count("*").alias("n"))
+    train, _, test = _held_out(models.text_vectors(_labelled(s, d), "review_id", "text")[0])
+    return models.predict_batch(test, models.naive_bayes().fit(train)).groupBy("label", "predicted_label").agg(F.count("*").alias("n"))
 
 
 @query("model_comparison", "L-12")
@@ -465,16 +470,16 @@ def random_search_results(s, d):
 
 @query("top_coefficients", "L-24")
 def top_coefficients(s, d):
-    rows, vocab = models.text_vectors(_labelled(s, d), "review_id", "text", 500, 1)
-    model = models.logistic_regression(rows.count(), iterations=50).fit(rows)
+    rows, vocab = models.text_vectors(_labelled(s, d), "review_id", "text")
+    model = models.logistic_regression(rows.count()).fit(rows)
     return models.top_coefficients(s, model, vocab)
 
 
 @query("linear_attributions", "L-28 L-30")
 def linear_attributions(s, d):
-    rows, vocab = models.text_vectors(_labelled(s, d), "review_id", "text", 500, 1)
+    rows, vocab = models.text_vectors(_labelled(s, d), "review_id", "text")
     n = rows.count()
-    model = models.logistic_regression(n, iterations=50).fit(rows)
+    model = models.logistic_regression(n).fit(rows)
     cells = at.vector_cells(rows, "review_id", "features")
     means = at.feature_means(cells, F.lit(n))
     attr = at.linear_attributions(rows, "review_id", "features", models.coefficient_rows(s, model), means)
