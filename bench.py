@@ -19,7 +19,8 @@ HEADLINE = [
     "preprocessed", "preprocessed_documents", "product_summary", "monthly_sentiment", "aspect_summary",
     "complaint_summary", "complaint_taxonomy", "complaint_matrix", "aspect_keyword_sentiment", "kpis",
     "basic_text_features", "readability", "tfidf_keywords", "rake_phrases", "suspicious_reviews",
-    "summary_sentences", "brand_pairs", "semantic_search", "threshold_curve", "corr_matrix",
+    "summary_sentences", "brand_pairs", "semantic_search", "threshold_curve", "corr_matrix", "near_neighbours",
+    "entity_columns", "topic_keywords", "conversation_points",
 ]
 
 
