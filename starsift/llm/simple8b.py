@@ -33,12 +33,10 @@ U = np.uint64
 
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
-    out = np.zeros(len(values), np.uint8)
-    left = values.copy()
-    while left.any():
-        out += left > 0
-        left >>= U(1)
-    return out
+    if not len(values) or int(values.max()) < 1 << 53:
+        return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
+    high = values >> U(32)
+    return np.where(high > 0, np.frexp(high.astype(np.float64))[1] + 32, np.frexp((values & U(0xFFFFFFFF)).astype(np.float64))[1]).astype(np.uint8)
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,39 +47,39 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values[large] = 0
     n = len(values)
     blocks = -(-n // BLOCK)
-    padded = np.zeros(blocks * BLOCK, U)
-    padded[:n] = values
-    # Windows stop at their block's end: what lies past it counts as zeros, which the reader does not take.
-    bits = np.zeros((blocks, BLOCK + COUNTS[0]), np.uint8)
-    bits[:, :BLOCK] = _widths(padded).reshape(blocks, BLOCK)
-    flat = bits.ravel()
-    best = np.full(len(flat), 15, np.uint8)  # selector that takes most ids from here
-    run, widest = 1, flat.copy()
+    # Past a block's end stands more than any selector takes, so no word reaches over it.
+    bits = np.full(blocks * BLOCK, 61, np.uint8)
+    bits[:n] = _widths(values)
+    apart = np.full((blocks, BLOCK + COUNTS[0]), 61, np.uint8)
+    apart[:, :BLOCK] = bits.reshape(blocks, BLOCK)
+    widest = apart.ravel()
+    best = np.full(len(widest), 15, np.uint8)  # selector that takes most ids from here
+    run = 1
     for s in range(14, -1, -1):
         while run < COUNTS[s]:  # widest id among the next ``run``
             step = min(run, COUNTS[s] - run)
-            widest[:-step] = np.maximum(widest[:-step], widest[step:])
+            widest = np.maximum(widest[:-step], widest[step:])
             run += step
         fits = widest <= WIDTHS[s]
-        if not fits.any():
+        best[: len(fits)][fits] = s
+        if s and not (widest <= WIDTHS[s - 1]).any():  # longer runs need fewer bits still
             break
-        best[fits] = s
-    after = np.array(COUNTS)[best].reshape(blocks, -1)[:, :BLOCK] + np.arange(BLOCK)
-    starts, firsts = [], np.zeros(blocks, np.uint32)
-    for b, jump in enumerate(after.tolist()):
-        firsts[b], i, base, end = len(starts), 0, b * BLOCK, min(BLOCK, n - b * BLOCK)
-        while i < end:
-            starts.append(base + i)
-            i = jump[i]
-    at = np.array(starts, np.int64)
-    chosen = best.reshape(blocks, -1)[:, :BLOCK].ravel()[at] if n else np.zeros(0, np.uint8)
+    best = best.reshape(blocks, BLOCK + COUNTS[0])[:, :BLOCK]
+    after = (np.array(COUNTS)[best] + np.arange(BLOCK)).ravel() + np.repeat(np.arange(blocks) * BLOCK, BLOCK)
+    begins, here = np.zeros(blocks * BLOCK, bool), np.arange(blocks) * BLOCK
+    end = np.minimum(here + BLOCK, n)
+    while len(here):  # one word further in every block
+        begins[here] = True
+        here = after[here]
+        here, end = here[here < end], end[here < end]
+    at = np.flatnonzero(begins)
+    firsts = np.searchsorted(at, np.arange(blocks) * BLOCK).astype(np.uint32)
+    chosen = best.ravel()[at] if n else np.zeros(0, np.uint8)
     words = chosen.astype(U) << U(60)
-    inside = np.concatenate([padded, np.zeros(COUNTS[0], U)])
     for s in np.unique(chosen):
         if WIDTHS[s]:
             here = np.flatnonzero(chosen == s)
-            place = at[here, None] + np.arange(COUNTS[s])
-            ids = np.where(place // BLOCK == at[here, None] // BLOCK, inside[place], U(0))
+            ids = values[at[here, None] + np.arange(COUNTS[s])]
             words[here] |= np.bitwise_or.reduce(ids << (U(WIDTHS[s]) * np.arange(COUNTS[s], dtype=U)), axis=1)
     return words, firsts, escapes
 
@@ -93,16 +91,13 @@ def decode(words: np.ndarray, firsts: np.ndarray, escapes: np.ndarray, n: int) -
     before = np.cumsum(counts) - counts
     block = np.searchsorted(firsts, np.arange(len(words)), side="right") - 1
     start = before - before[firsts[block]] + block * BLOCK if len(words) else before
-    out = np.zeros(n + COUNTS[0], U)
+    out = np.zeros(n, U)
     for s in np.unique(chosen):
         if WIDTHS[s]:
             here = np.flatnonzero(chosen == s)
-            ids = (words[here, None] >> (U(WIDTHS[s]) * np.arange(COUNTS[s], dtype=U))) & U((1 << WIDTHS[s]) - 1)
-            place = start[here, None] + np.arange(COUNTS[s])
-            own = (place // BLOCK == start[here, None] // BLOCK) & (place < n)
-            out[place[own]] = ids[own]
+            out[start[here, None] + np.arange(COUNTS[s])] = (words[here, None] >> (U(WIDTHS[s]) * np.arange(COUNTS[s], dtype=U))) & U((1 << WIDTHS[s]) - 1)
     out[escapes[0::2].astype(np.int64)] = escapes[1::2]
-    return out[:n]
+    return out
 
 
 def to_shard(ids: list[np.ndarray]) -> bytes:
