@@ -138,8 +138,11 @@ def test_rake_and_taxonomy(spark):
 
 
 def test_summary_points(spark):
-    assert values(spark, ["A long enough point. <br/> A long enough point. | Another long point here | short"], summaries.summary_points) == [
-        ["A long enough point. A long enough point.", "Another long point here"]]
+    text = "A long enough point. <br/> A long enough point. | Another long point here | short | SHORT | last"
+    every = ["A long enough point. A long enough point.", "Another long point here", "short", "last"]
+    assert values(spark, [text], summaries.summary_points) == [every]
+    assert values(spark, [text], lambda c: summaries.summary_points(c, longer_than=15)) == [every[:2]]
+    assert values(spark, [text], lambda c: summaries.summary_points(c, most=1)) == [every[:1]]
 
 
 def test_topic_trend_counts_empty_months(spark):
@@ -148,7 +151,7 @@ def test_topic_trend_counts_empty_months(spark):
     got = {r.topic: r.trend_pct for r in topics.topic_trend(spark.createDataFrame(rows, "topic string, month string"), "topic").collect()}
     assert got == {"a": -50.0, "b": 0.0}
     few = topics.topic_trend(spark.createDataFrame(rows[:2], "topic string, month string"), "topic").first()
-    assert few.trend_pct == 0.0
+    assert few.trend_pct is None and few.months == 2
 
 
 def test_histogram_of_equal_values(spark):
