@@ -131,23 +131,33 @@ def _met_blocks(lists: DataFrame, nodes: DataFrame, roots: DataFrame, percent: i
     rest = placed.join(size, "pair").join(nodes.select("node", *SKETCH), "node")
     dealt = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     blocks = stored(dealt.groupBy("pair", "block", "blocks").agg(F.collect_list(F.struct("node", "root", *SKETCH)).alias("rows")), "blocks")
-    left = blocks.select("pair", F.col("block").alias("i"), F.col("rows").alias("x"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
-    met = left.join(blocks.select("pair", F.col("block").alias("j"), F.col("rows").alias("y")), ["pair", "j"])
-
     def part(rows: pa.ListScalar):
         s = rows.values
         return s.field("node").to_pylist(), s.field("root").to_numpy(), s.field("n_shingles").to_numpy(), _bytes(s.field("checks"), CHECKS)
 
-    def compare(batch: pa.RecordBatch):
-        for x, y, i, j in zip(*(batch.column(c) for c in "xyij")):
-            (n1, r1, s1, c1), (n2, r2, s2, c2) = part(x), part(y)
-            fine = (r1[:, None] != r2) & (100 * np.minimum(s1[:, None], s2) >= percent * np.maximum(s1[:, None], s2))
-            p, q = np.nonzero(np.triu(fine, 1) if i == j else fine)
-            agree = (c1[p] == c2[q]).sum(axis=1) >= LEAST_CHECKS
-            found = _spanning(len(n1) + len(n2), p[agree], q[agree] + len(n1))
-            yield _edges([(n1[a], n2[b - len(n1)]) for a, b in found])
+    def matches(x, y) -> pa.RecordBatch:
+        """Between two blocks, or within x."""
+        n1, r1, s1, c1 = part(x)
+        n2, r2, s2, c2 = part(y) if y is not None else (n1, r1, s1, c1)
+        fine = (r1[:, None] != r2) & (100 * np.minimum(s1[:, None], s2) >= percent * np.maximum(s1[:, None], s2))
+        p, q = np.nonzero(fine if y is not None else np.triu(fine, 1))
+        agree = (c1[p] == c2[q]).sum(axis=1) >= LEAST_CHECKS
+        shift = len(n1) if y is not None else 0
+        found = _spanning(len(n1) + len(n2), p[agree], q[agree] + shift)
+        return _edges([(n1[a], n2[b - shift]) for a, b in found])
+
+    def within(batch: pa.RecordBatch):
+        for x in batch.column("rows"):
+            yield matches(x, None)
+
+    def between(batch: pa.RecordBatch):
+        for x, y in zip(batch.column("x"), batch.column("y")):
+            yield matches(x, y)
 
-    return per_batch(met.select(*"xyij"), compare, EDGES)
+    several = blocks.filter("blocks > 1")
+    left = several.select("pair", F.col("rows").alias("x"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("other"), "block").filter("other > block")
+    met = left.join(several.select("pair", F.col("block").alias("other"), F.col("rows").alias("y")), ["pair", "other"])
+    return per_batch(blocks.select("rows"), within, EDGES).unionByName(per_batch(met.select("x", "y"), between, EDGES))
 
 
 def _links(x: list[tuple[bytes, np.ndarray]], y: list[tuple[bytes, np.ndarray]] | None, percent: int) -> list[tuple[bytes, bytes]]:
