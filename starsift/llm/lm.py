@@ -71,7 +71,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
     target both models are uniform or the background alone, and an empty table gives no rows.
     """
     mark = target.select(id_col).dropDuplicates().withColumn("target_", F.lit(True))
-    marked = stored(docs.select(id_col, text_col).join(mark, id_col, "left"), "marked")
+    marked = stored(docs.select(id_col, text_col).join(mark.hint("merge"), id_col, "left"), "marked")  # never broadcast: ids have no bound
     table = counts(marked, text_col).toArrow()  # at most WORDS + BIGRAMS rows
     c = np.zeros((2, WORDS + BIGRAMS), np.float32)
     c[:, table["class"].to_numpy()] = table["t"].to_numpy(), table["n"].to_numpy()

@@ -60,7 +60,7 @@ def _repeat_words(hashes: str) -> Column:
 def weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
     """One row ``w``: ln p_target - ln p_raw of every bucket, over all documents."""
     mark = trusted.select(F.col(id_col)).dropDuplicates().withColumn("trusted_", F.lit(1))
-    df = docs.select(id_col, text_col).join(mark, id_col, "left")
+    df = docs.select(id_col, text_col).join(mark.hint("merge"), id_col, "left")  # trusted ids have no bound, so none are broadcast
     df = df.select("trusted_", words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("words_"))
     df = df.select("trusted_", F.transform("words_", lambda w: F.xxhash64(w)).alias("h1_"))
     df = df.select("trusted_", F.explode(F.concat("h1_", _zip("h1_", 1))).alias("h"))
