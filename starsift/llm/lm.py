@@ -1,66 +1,160 @@
 """Cross-entropy difference between a target and a background n-gram model.
 
-Both models share one vocabulary (words in ASCII lower case, hashed into ``WORDS`` classes) and one table of bigram classes,
-and are interpolated in the same way. Each task counts its whole partition; the counts it sends grow with the partitions
-and are summed per class. The background is all documents, scaled to the target's number of tokens, so the two models are
-matched in mass and smoothing. A document never helps to predict itself: its own counts are taken out of the models that
-hold them before it is scored. The model has a fixed number of classes, which bounds what each task is sent.
+Both models share one vocabulary (words in ASCII lower case) and one table of word pairs, and are interpolated in the same
+way. Every distinct word (64-bit hash) and pair (the hashes of both words) has counts of its own, so the tables grow with the
+corpus. Documents are dealt into chunks. A chunk sends the n-grams it has, once each with their counts, to the ranges of
+n-grams they belong to; a range adds the counts up and answers each chunk in the order in which it asked. No table meets in
+one place: a task holds one chunk or one range, and a common n-gram is one entry of a chunk. The background is all documents,
+scaled to the target's number of tokens, so the two models are matched in mass and smoothing. A document never helps to
+predict itself: its own counts are taken out of the models that hold them before it is scored.
 """
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starsift.llm.minhash import LOWER
-from starsift.llm.shared import U, mix, per_batch, runs, stored, word_hashes
+from starsift.llm.shared import U, mix, runs, stored, word_hashes
 
-WORDS, BIGRAMS = 1 << 18, 1 << 20
-#: Share of the bigram estimate, and count added to each word class.
+#: Words that the smoothing reckons with at least; a vocabulary with more counts whole.
+WORDS = 1 << 18
+#: Share of the bigram estimate, and count added to each word.
 LAMBDA, PRIOR = 0.7, 0.5
+#: Characters of a chunk of documents, and of the corpus per range of n-grams.
+CHUNK_CHARS, RANGE_CHARS = 8_000_000, 8_000_000
+PAIR = np.dtype([("first", U), ("second", U)])
 
 
-def classes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Word class of each token, and bigram class of each token after the first."""
-    _, _, h = word_hashes((text or "").encode("utf-8", "surrogatepass").translate(LOWER))
-    pair = mix(h[:-1] * U(0x9E3779B97F4A7C15) + h[1:])
-    return (h % U(WORDS)).astype(np.int64), (pair % U(BIGRAMS)).astype(np.int64)
+def _data(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER)
 
 
-def counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """class, t, n: target's and all documents' counts of word classes and, after them, bigram classes."""
+def classes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Key of each token, and key of each token after the first with the one before it."""
+    _, _, h = word_hashes(_data(text))
+    pair = np.empty(max(len(h) - 1, 0), PAIR)
+    pair["first"], pair["second"] = h[:-1], h[1:]
+    return h, pair
+
+
+class _Grams:
+    """The n-grams of some texts: distinct words and pairs in the order of their keys, and where each token has them."""
+
+    def __init__(self, texts: list):
+        h, d = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+        for a, z in runs(texts):
+            data = [_data(t) for t in texts[a:z]]
+            starts, _, some = word_hashes(b"\n".join(data))
+            h.append(some)
+            d.append(a + np.searchsorted(np.cumsum([len(x) + 1 for x in data]), starts, "right"))
+        self.doc = np.concatenate(d)
+        self.words, self.word = np.unique(np.concatenate(h), return_inverse=True)
+        #: Tokens that have one of the same text before them.
+        self.after = 1 + np.flatnonzero(self.doc[1:] == self.doc[:-1])
+        codes, self.pair = np.unique(self.word[self.after - 1] * len(self.words) + self.word[self.after], return_inverse=True)
+        self.pairs = np.empty(len(codes), PAIR)
+        if len(codes):
+            self.pairs["first"], self.pairs["second"] = self.words[codes // len(self.words)], self.words[codes % len(self.words)]
+
+    def ranges(self, n: int) -> list[np.ndarray]:
+        """Range of each word and of each pair."""
+        both = self.pairs["first"] * U(0x9E3779B97F4A7C15) + self.pairs["second"]
+        return [(mix(x) % U(n)).astype(np.int64) for x in (self.words, both)]
+
+
+def _dealt(marked: DataFrame) -> DataFrame:
+    """chunk_, at_ (place in the chunk), id_, text_, target_."""
+    most = CHUNK_CHARS
 
     def work(batches):
-        total = np.zeros((2, WORDS + BIGRAMS), np.int64)
+        chunk, at, chars = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
-            marks, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, z in runs(texts):
-                found = [[], []]
-                for t, mark in zip(texts[a:z], marks[a:z]):
-                    one, two = classes(t)
-                    found[bool(mark)] += [one, two + WORDS]
-                for k, ids in enumerate(found):
-                    if ids:
-                        total[k] += np.bincount(np.concatenate(ids), minlength=WORDS + BIGRAMS)
-        total[0] += total[1]
-        some = np.flatnonzero(total[0])
-        for s in range(0, len(some), 1 << 16):
-            c = some[s : s + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(total[1, c]), pa.array(total[0, c])], ["class", "t", "n"])
-
-    each = docs.select("target_", text_col).mapInArrow(work, "class int, t long, n long")
-    return each.groupBy("class").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
-
-
-def _entropy(c1, c2, own1, own2, inside: bool, scale: float, one: np.ndarray, two: np.ndarray, total: float) -> float:
-    """Nats per token of a text under a model that does not hold it; ``own`` are its counts at each token."""
-    a = np.maximum(c1[one] - (own1 if inside else 0), 0) * scale
-    n = max(total - (len(one) if inside else 0), 0) * scale
-    p = (a + PRIOR) / (n + PRIOR * WORDS)
-    b = np.maximum(c2[two] - (own2 if inside else 0), 0) * scale
-    q = np.minimum(np.divide(b, a[:-1], out=np.zeros(len(b)), where=a[:-1] > 0), 1)
-    p[1:] = (1 - LAMBDA) * p[1:] + LAMBDA * q
-    return float(-np.log(p).mean())
+            chunks, places = [], []
+            for t in batch.column(1).to_pylist():
+                if at and chars + len(t or "") > most:
+                    chunk, at, chars = chunk + 1, 0, 0
+                chunks.append(chunk), places.append(at)
+                at, chars = at + 1, chars + len(t or "")
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(places, pa.int64()), *batch.columns], ["chunk_", "at_", "id_", "text_", "target_"])
+
+    return marked.mapInArrow(work, f"chunk_ long, at_ long, id_ {marked.schema['id_'].dataType.simpleString()}, text_ string, target_ boolean")
+
+
+def _asked(dealt: DataFrame, n: int) -> DataFrame:
+    """chunk_, from_ (first place of a run of its documents), range_, and the keys and counts that the run has in the range."""
+    names = ["chunk_", "from_", "range_", "words", "pairs", "word_counts", "pair_counts"]
+
+    def sent(chunk, start, texts, marks):
+        g = _Grams(texts)
+        into = np.array(marks, bool)[g.doc]
+        counts = [np.stack([np.bincount(i, w, len(x)), np.bincount(i, None, len(x))]).astype(np.int64) for x, i, w in ((g.words, g.word, into), (g.pairs, g.pair, into[g.after]))]
+        order = [np.argsort(r, kind="stable") for r in g.ranges(n)]
+        ends = [np.cumsum(np.bincount(r, minlength=n)) for r in g.ranges(n)]
+        rows = []
+        for r in range(n):
+            w, p = (o[e[r - 1] if r else 0 : e[r]] for o, e in zip(order, ends))
+            if len(w) or len(p):
+                rows.append((chunk, start, r, g.words[w].tobytes(), g.pairs[p].tobytes(), counts[0][:, w].tobytes(), counts[1][:, p].tobytes()))
+        kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+        for s in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[s : s + 256]), kinds)], names)
+
+    def work(batches):
+        run, texts, marks = None, [], []
+        for batch in batches:
+            for chunk, at, text, mark in zip(*(batch.column(c).to_pylist() for c in ("chunk_", "at_", "text_", "target_"))):
+                if run and (chunk, at) != (run[0], run[1] + len(texts)):  # a chunk's file can be read by more than one task
+                    yield from sent(*run, texts, marks)
+                    run = None
+                if not run:
+                    run, texts, marks = (chunk, at), [], []
+                texts.append(text), marks.append(bool(mark))
+        if run:
+            yield from sent(*run, texts, marks)
+
+    rows = dealt.select("chunk_", "at_", "text_", "target_")
+    return rows.mapInArrow(work, "chunk_ long, from_ long, range_ int, words binary, pairs binary, word_counts binary, pair_counts binary")
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """Per row asked, the target's and all documents' counts of its keys; and one row without a chunk with the range's sums."""
+    out, sums = [], []
+    for keys, counts, kind in (("words", "word_counts", U), ("pairs", "pair_counts", PAIR)):
+        each = [np.frombuffer(x, kind) for x in table[keys].to_pylist()]
+        had = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for x in table[counts].to_pylist()], axis=1)
+        key = np.concatenate(each)
+        order = np.argsort(key) if kind is U else np.lexsort((key["second"], key["first"]))
+        new = np.ones(len(key), bool)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        group = np.cumsum(new) - 1
+        starts = np.flatnonzero(new)
+        total = np.add.reduceat(had[:, order], starts, axis=1) if len(starts) else had
+        answer = np.empty_like(had)
+        answer[:, order] = total[:, group]
+        ends = np.cumsum([len(x) for x in each])
+        out.append([answer[:, e - len(x) : e].tobytes() for x, e in zip(each, ends)])
+        sums.append((len(starts), *total.sum(axis=1).tolist()))
+    none = [None] * len(each)
+    cols = [table["chunk_"].to_pylist() + [None], table["from_"].to_pylist() + [None], table["range_"].to_pylist() + [None], *(x + [None] for x in out), *(none + [x] for x in sums[0])]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], ["chunk_", "from_", "range_", "words", "pairs", "n_words", "t", "n"])
+
+
+def _entropies(g: _Grams, marks: np.ndarray, words: np.ndarray, pairs: np.ndarray, sizes: np.ndarray, totals: tuple, vocabulary: int) -> list[np.ndarray]:
+    """Nats per token of each text under the target and the background, neither of which holds it."""
+    own1, own2 = (np.take(*np.unique(d * len(x) + i, return_inverse=True, return_counts=True)[:0:-1]) for d, x, i in ((g.doc, g.words, g.word), (g.doc[g.after], g.pairs, g.pair)))
+    out = []
+    for c1, c2, total, inside, scale in ((words[0], pairs[0], totals[0], marks, 1.0), (words[1], pairs[1], totals[1], np.ones_like(marks), totals[0] / totals[1] if totals[0] else 1.0)):
+        a = (c1[g.word] - own1 * inside[g.doc]) * scale
+        n = ((total - sizes * inside) * scale)[g.doc]
+        p = (a + PRIOR) / (n + PRIOR * vocabulary)
+        b, before = (c2[g.pair] - own2 * inside[g.doc[g.after]]) * scale, a[g.after - 1]
+        q = np.divide(b, before, out=np.zeros(len(b)), where=before > 0)
+        p[g.after] = (1 - LAMBDA) * p[g.after] + LAMBDA * np.minimum(q, 1)
+        out.append(np.divide(np.bincount(g.doc, -np.log(p), len(sizes)), sizes, out=np.zeros(len(sizes)), where=sizes > 0))
+    return out
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,29 +164,40 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
     rows are counted and scored one by one; a null id is never in the target; other columns are not read. With an empty
     target both models are uniform or the background alone, and an empty table gives no rows.
     """
-    mark = target.select(id_col).dropDuplicates().withColumn("target_", F.lit(True))
-    marked = stored(docs.select(id_col, text_col).join(mark.hint("merge"), id_col, "left"), "marked")  # never broadcast: ids have no bound
-    table = counts(marked, text_col).toArrow()  # at most WORDS + BIGRAMS rows
-    c = np.zeros((2, WORDS + BIGRAMS), np.float32)
-    c[:, table["class"].to_numpy()] = table["t"].to_numpy(), table["n"].to_numpy()
-    totals = float(c[0, :WORDS].sum(dtype=np.float64)), float(c[1, :WORDS].sum(dtype=np.float64))
-    scale = totals[0] / totals[1] if totals[0] else 1.0
-    shared = docs.sparkSession.sparkContext.broadcast(c)
-
-    def work(batch: pa.RecordBatch):
-        model = shared.value
-        out = []
-        for mark, text in zip(batch.column("target_").to_pylist(), batch.column(text_col).to_pylist()):
-            one, two = classes(text)
-            if not len(one):
-                out.append((0, None, None))
-                continue
-            own = [np.take(np.unique(x, return_counts=True)[1], np.unique(x, return_inverse=True)[1]) for x in (one, two)]
-            h = [_entropy(model[k, :WORDS], model[k, WORDS:], *own, inside, s, one, two, n) for k, inside, s, n in ((0, bool(mark), 1.0, totals[0]), (1, True, scale, totals[1]))]
-            out.append((len(one), *h))
-        cols = [pa.array([o[i] for o in out], t) for i, t in enumerate([pa.int64(), pa.float64(), pa.float64()])]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *cols], [id_col, "n_tokens", "target_entropy", "background_entropy"])
-
+    mark = target.select(F.col(id_col).alias("id_")).dropDuplicates().withColumn("target_", F.lit(True))
+    rows = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
+    marked = rows.join(mark.hint("merge"), "id_", "left")  # never broadcast: ids have no bound
+    dealt = stored(_dealt(marked), "dealt")
+    chars = dealt.agg(F.sum(F.length("text_").cast("long"))).first()[0] or 0
+    n = docs.sparkSession.sparkContext.defaultParallelism + -(-chars // RANGE_CHARS)
+    summed = _asked(dealt, n).groupBy("range_").applyInArrow(_summed, "chunk_ long, from_ long, range_ int, words binary, pairs binary, n_words long, t long, n long")
+    summed = stored(summed, "counts")
+    found = summed.filter("chunk_ IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "t", "n")]).first()
+    vocabulary, totals = max(WORDS, found[0]), (found[1], found[2])
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = per_batch(marked.select(id_col, text_col, "target_"), work, f"{id_col} {kind}, n_tokens long, target_entropy double, background_entropy double")
+
+    def score(asked: pa.Table, answers: pa.Table) -> pa.Table:
+        asked = asked.sort_by("at_")
+        at, marks = asked["at_"].to_numpy(), np.array([bool(x) for x in asked["target_"].to_pylist()], bool)
+        starts, of = answers["from_"].to_numpy(), answers["range_"].to_numpy()
+        sizes, h = np.zeros(len(at), np.int64), np.zeros((2, len(at)))
+        texts = asked["text_"].to_pylist()
+        edges = [*np.unique(starts), at[-1] + 1] if len(at) else []
+        for lo, hi in zip(edges, edges[1:]):
+            a, z = np.searchsorted(at, [lo, hi])
+            g = _Grams(texts[a:z])
+            mine = np.flatnonzero(starts == lo)
+            mine = mine[np.argsort(of[mine])]
+            counts = []
+            for name, into in zip(("words", "pairs"), g.ranges(n)):
+                got = np.concatenate([np.frombuffer(answers[name][int(i)].as_py(), np.int64).reshape(2, -1) for i in mine], axis=1)
+                counts.append(np.empty_like(got))
+                counts[-1][:, np.argsort(into, kind="stable")] = got
+            sizes[a:z] = np.bincount(g.doc, minlength=z - a)
+            h[:, a:z] = _entropies(g, marks[a:z], *counts, sizes[a:z], totals, vocabulary)
+        empty = sizes == 0
+        return pa.table([asked["id_"], pa.array(sizes), pa.array(h[0], mask=empty), pa.array(h[1], mask=empty)], [id_col, "n_tokens", "target_entropy", "background_entropy"])
+
+    answers = summed.filter("chunk_ IS NOT NULL").select("chunk_", "from_", "range_", "words", "pairs")
+    scored = dealt.groupBy("chunk_").cogroup(answers.groupBy("chunk_")).applyInArrow(score, f"{id_col} {kind}, n_tokens long, target_entropy double, background_entropy double")
     return scored.withColumn("difference", F.col("target_entropy") - F.col("background_entropy"))

@@ -119,3 +119,36 @@ def test_lm_awkward_rows(spark):
     same(lm.cross_entropy_difference(brute.awkward(spark), target).collect(), plain_difference(docs, {7, 8}))
     assert lm.cross_entropy_difference(brute.empty(spark), target).count() == 0
     assert lm.cross_entropy_difference(brute.awkward(spark), target.filter("false")).count() == len(docs)
+
+
+def test_lm_counts_words_themselves(spark, monkeypatch):
+    """Many more words and pairs than would fit a fixed table without meeting; documents in many chunks and ranges."""
+    monkeypatch.setattr(lm, "CHUNK_CHARS", 20_000, raising=False)
+    monkeypatch.setattr(lm, "RANGE_CHARS", 50_000, raising=False)
+    rng = np.random.default_rng(3)
+    docs = [(i, " ".join(["the", *(f"w{w}" for w in rng.zipf(1.2, 300) % 10**9), *(f"only{i}x{j}" for j in range(150))])) for i in range(240)]
+    target = set(range(0, 240, 3))
+    one, two = ([Counter(), Counter()] for _ in range(2))
+    for i, t in docs:
+        w = t.split()
+        for k in {1, int(i not in target)}:
+            one[k].update(w), two[k].update(zip(w, w[1:]))
+    size, want, (few, all_) = max(lm.WORDS, len(one[1])), [], [c.total() for c in one]
+    for i, t in docs:
+        w, h = t.split(), []
+        o1, o2 = Counter(w), Counter(zip(w, w[1:]))
+        for k in range(2):
+            inside, s = k or i in target, few / all_ if k else 1.0
+            own = lambda c, o, x: (c[x] - (o[x] if inside else 0)) * s
+            nats = 0.0
+            for j, x in enumerate(w):
+                p = (own(one[k], o1, x) + lm.PRIOR) / (((all_ if k else few) - (len(w) if inside else 0)) * s + lm.PRIOR * size)
+                if j:
+                    v = own(one[k], o1, w[j - 1])
+                    p = (1 - lm.LAMBDA) * p + lm.LAMBDA * (min(1.0, own(two[k], o2, (w[j - 1], x)) / v) if v > 0 else 0.0)
+                nats -= math.log(p)
+            h.append(nats / len(w))
+        want.append((i, len(w), *h))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = lm.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in target], "doc_id long"))
+    same(got.collect(), want)
