@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starsift.functions import vectors as vx
 from starsift.operators.windows import top_n_by
+from starsift.sources import durable
 
 
 def semantic_search(
@@ -35,8 +36,10 @@ def centroids(df: DataFrame, cls: str, vector: str) -> DataFrame:
     )
 
 
-#: Rows of a cell block, cells each row looks into, and the most cells a fit makes.
+#: Rows of a cell block, cells each row looks into first, and the most cells a fit makes.
 CELL_ROWS, PROBES, MOST_CELLS = 1024, 12, 4096
+#: Bounds are loosened by this share of the lengths compared, so rounding cannot lose a neighbour.
+SLACK = 1e-6
 
 
 def _cell_centres(base: DataFrame, cells: int, width: int, seed: int) -> np.ndarray:
@@ -54,11 +57,11 @@ def neighbours(
     df: DataFrame, key: str, vector: str, width: int, k: int = 5, group: str | None = None,
     cell_rows: int = CELL_ROWS, probes: int = PROBES, seed: int = 42,
 ) -> DataFrame:
-    """k nearest neighbours (euclidean), optionally within a group; exact up to ``probes`` cells, approximate beyond.
+    """Exact k nearest neighbours (euclidean), optionally within a group.
 
     Vectors are clustered into cells of about ``cell_rows`` rows. Each row looks into its ``probes`` nearest cells that
-    hold rows of its group, and into further ones until they hold more than ``k``, so every row finds ``k`` if there are
-    as many. A cell with more rows is split by hash into blocks, and so are the rows that look into it: a task compares
+    hold rows of its group, and into further ones until they hold more than ``k``. The k-th distance found there is a
+    bound: the row then looks into every other cell whose centre is not farther than the bound and the cell's radius. A cell with more rows is split by hash into blocks, and so are the rows that look into it: a task compares
     one block with another as matrices, and no row is dropped. Distances are exact.
     """
     grp = F.col(group).cast("string") if group else F.lit("")
@@ -68,46 +71,60 @@ def neighbours(
 
     def nearest(pdf: pd.DataFrame) -> np.ndarray:
         x = np.stack(pdf["v"].to_numpy()).astype(float)
-        return (centres * centres).sum(axis=1) - 2 * x @ centres.T
+        return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (centres * centres).sum(axis=1) - 2 * x @ centres.T, 0))
 
     def place(batches):
         for pdf in batches:
             if len(pdf):
-                yield pdf.assign(cell=nearest(pdf).argmin(axis=1).astype("int32"))
+                d = nearest(pdf)
+                cell = d.argmin(axis=1)
+                yield pdf.assign(cell=cell.astype("int32"), far=d[np.arange(len(d)), cell])
 
-    placed = base.mapInPandas(place, f"id {id_type}, grp string, v array<float>, cell int")
+    placed = base.mapInPandas(place, f"id {id_type}, grp string, v array<float>, cell int, far double")
     # one row per group and cell: the groups are classes, the cells bounded by MOST_CELLS
     held: dict[str, dict[int, int]] = {}
-    for r in placed.groupBy("grp", "cell").count().collect():
-        held.setdefault(r.grp, {})[r.cell] = r["count"]
+    radius: dict[str, np.ndarray] = {}
+    for r in placed.groupBy("grp", "cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():
+        held.setdefault(r.grp, {})[r.cell] = r.n
+        radius.setdefault(r.grp, np.full(len(centres), -np.inf))[r.cell] = r.far
+    longest = float(np.sqrt((centres * centres).sum(axis=1).max()))
+
+    def look(further: bool):
+        """Each row's first cells, or all others that can hold a neighbour nearer than its ``bound``."""
+
+        def work(batches):
+            for pdf in (whole[s : s + 512] for whole in batches for s in range(0, len(whole), 512)):
+                rows, cells, blocks = [], [], []
+                for i, (g, d) in enumerate(zip(pdf["grp"], nearest(pdf))):
+                    seen = have = 0
+                    first = set()
+                    for c in np.argsort(d, kind="stable").tolist():
+                        n = held[g].get(c, 0)
+                        if n and (seen < probes or have <= k):
+                            first.add(c)
+                            seen, have = seen + 1, have + n
+                        elif seen >= probes and have > k:
+                            break
+                    if further:
+                        bound = pdf["bound"].iat[i]
+                        reach = bound + SLACK * (1 + bound + longest + d.max())
+                        first = {c for c in np.flatnonzero(d - radius[g] <= reach).tolist() if c in held[g]} - first
+                    for c in sorted(first):
+                        rows.append(i), cells.append(c), blocks.append(-(-held[g][c] // cell_rows))
+                yield pdf[["id", "grp", "v"]].iloc[rows].assign(cell=np.array(cells, "int32"), blocks=np.array(blocks, "int32"))
+
+        return work
 
-    def look(batches):
-        for pdf in batches:
-            rows, cells, blocks = [], [], []
-            order = np.argsort(nearest(pdf), axis=1, kind="stable") if len(pdf) else []
-            for i, (g, near) in enumerate(zip(pdf["grp"], order)):
-                seen = have = 0
-                for c in near:
-                    n = held[g].get(int(c), 0)
-                    if n and (seen < probes or have <= k):
-                        rows.append(i), cells.append(int(c)), blocks.append(-(-n // cell_rows))
-                        seen, have = seen + 1, have + n
-                    elif seen >= probes and have > k:
-                        break
-            yield pdf.iloc[rows].assign(cell=np.array(cells, "int32"), blocks=np.array(blocks, "int32"))
-
-    asked = base.mapInPandas(look, f"id {id_type}, grp string, v array<float>, cell int, blocks int")
     sizes = {(g, c): -(-n // cell_rows) for g, cs in held.items() for c, n in cs.items()}
 
     def block(batches):
         for pdf in batches:
             yield pdf.assign(blocks=np.array([sizes[g, c] for g, c in zip(pdf["grp"], pdf["cell"])], "int32"))
 
-    data = placed.mapInPandas(block, f"id {id_type}, grp string, v array<float>, cell int, blocks int")
+    data = placed.drop("far").mapInPandas(block, f"id {id_type}, grp string, v array<float>, cell int, blocks int")
     part = F.pmod(F.xxhash64("id"), F.col("blocks"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     data = data.withColumn("block", part.cast("int")).withColumn("side", every)
-    asked = asked.withColumn("side", part.cast("int")).withColumn("block", every)
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -126,5 +143,18 @@ def neighbours(
         return pd.concat(out, ignore_index=True)
 
     keys = ["grp", "cell", "block", "side"]
-    pairs = asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(compare, f"id {id_type}, other {id_type}, distance double")
-    return top_n_by(pairs, ["id"], [F.asc("distance"), F.asc("other")], k).select("id", "other", "distance", "rank")
+
+    def best(rows: DataFrame, further: bool, found: DataFrame | None = None) -> DataFrame:
+        asked = rows.mapInPandas(look(further), f"id {id_type}, grp string, v array<float>, cell int, blocks int")
+        asked = asked.withColumn("side", part.cast("int")).withColumn("block", every)
+        pairs = asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(compare, f"id {id_type}, other {id_type}, distance double")
+        pairs = pairs if found is None else pairs.unionByName(found.select("id", "other", "distance"))
+        return top_n_by(pairs, ["id"], [F.asc("distance"), F.asc("other")], k).select("id", "other", "distance", "rank")
+
+    found = best(base, False)
+    if all(len(cells) <= probes for cells in held.values()):
+        return found  # no cell is left to look into
+    found = durable.materialise(found)
+    bound = found.filter(F.col("rank") == k).select("id", F.col("distance").alias("bound"))
+    reached = base.join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    return best(reached, True, found)

@@ -122,6 +122,18 @@ def test_neighbours_against_brute_force(spark, sf, cell_rows):
     assert np.mean([len(true[i] & got[i]) / 5 for i in ids]) >= 0.9
 
 
+def test_neighbours_are_exact_with_many_cells(spark):
+    """Some 200 cells at the default probes, in one group and in two."""
+    x = np.random.default_rng(7).normal(size=(2000, 16)).astype(np.float32).astype(float)
+    far = np.sqrt(((x[:, None] - x) ** 2).sum(axis=2))
+    np.fill_diagonal(far, np.inf)
+    df = spark.createDataFrame([(i, i % 2, v.tolist()) for i, v in enumerate(x)], "id long, half int, v array<double>")
+    for group in (None, "half"):
+        near = far if group is None else np.where((np.arange(2000)[:, None] - np.arange(2000)) % 2, np.inf, far)
+        got = similarity.neighbours(df, "id", "v", 16, 5, group=group, cell_rows=10).collect()
+        assert {(r.id, r.rank): r.other for r in got} == {(i, n + 1): j for i in range(2000) for n, j in enumerate(np.argsort(near[i])[:5].tolist())}
+
+
 def test_neighbours_of_a_hot_vector(spark):
     """A third of the rows are one vector: its cell is split and no row goes without neighbours."""
     rng = np.random.default_rng(1)
