@@ -53,11 +53,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), q AS (SELECT vec_id AS query_id, v AS w FROM v WHERE vec_id % 20 = 0
 ), s AS (
-  SELECT query_id, vec_id, CAST(list_sum(list_transform(list_zip(v, w), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT query_id, vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(v, w)]) AS BIGINT) AS score
   FROM q JOIN v ON vec_id <> query_id
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
@@ -189,3 +189,66 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starsift.llm.infill import fill_in_middle
 
     return fill_in_middle(documents(spark, sf_dir), keep=False)
+
+
+def _op12_sql() -> str:
+    """The repair as a recursive walk from each conversation's end; costs stand before audits as eight digits, so least() picks both."""
+
+    def add(value: str, cost: str, edit: str) -> str:
+        return f"printf('%08d', CAST({value}[1:8] AS INTEGER) + {cost}) || '{edit}' || {value}[9:]"
+
+    after = {0: 2, 1: 2, 2: 3, 3: 2}  # state once the wanted role stands: nothing, s, u, a
+
+    def row(q: int) -> str:
+        keep = {0: [("s", 1), ("u", 2)], 1: [("u", 2)], 2: [("a", 3)], 3: [("u", 2)]}[q]
+        kept = ", ".join(f"CASE WHEN lower(x) = '{r}' THEN {add(f'v{to}', 't', 'K')} END" for r, to in keep)
+        return f"least({add(f'v{q}', '2', 'D')}, CASE WHEN x <> '-' THEN {add(f'v{after[q]}', '1 + t', 'R')} END, {kept}) AS v{q}"
+
+    def insert(inner: str) -> str:
+        return f"SELECT conv_id, sig, n, {', '.join(f'least(v{q}, ' + add(f'v{after[q]}', '5', 'I') + f') AS v{q}' for q in range(4))} FROM ({inner})"
+
+    walk = f"SELECT conv_id, sig, n - 1 AS n, {', '.join(map(row, range(4)))} FROM (SELECT *, sig[n] AS x, CASE WHEN sig[n] BETWEEN 'A' AND 'Z' THEN 5 ELSE 0 END AS t FROM w WHERE n > 0)"
+    return f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    [unicode(x) FOR x IN string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '')] AS b FROM conversations
+), h AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, b), lambda x, y: list_reduce(list_prepend(xor(x, y), range(8)), lambda p, i: xor(p >> 1, 3988292384 * (p & 1)))), 4294967295) % 20 AS hit FROM c
+), d AS (
+  SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE hit WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE hit <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text), copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM d
+), f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS r, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o
+), s AS (
+  SELECT conv_id, string_agg(CASE fault WHEN '' THEN r WHEN 'truncated' THEN upper(r) ELSE '-' END, '' ORDER BY i) AS sig, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id
+), w AS (
+  SELECT conv_id, sig, length(sig) AS n, '00000000' AS v0, '00000010II' AS v1, '00000005I' AS v2, '00000000' AS v3 FROM s
+  UNION ALL {insert(insert(walk))}
+), a AS (SELECT conv_id, CAST(v0[1:8] AS BIGINT) AS cost, v0[9:] AS audit FROM w WHERE n = 0
+), e AS (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j FROM a
+), g AS (
+  SELECT e.conv_id, j, audit[j] AS edit, length(replace(audit[1:j], 'D', '')) AS place, o.role, o.text
+  FROM e LEFT JOIN o ON o.conv_id IS NOT DISTINCT FROM e.conv_id AND audit[j] <> 'I' AND o.i = length(replace(audit[1:j], 'I', ''))
+), l AS (SELECT *, max(CASE WHEN place = 1 AND edit = 'K' AND role[1] = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS lead FROM g
+), p AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY j)) AS sha
+  FROM l WHERE edit <> 'D' GROUP BY conv_id
+)
+SELECT q.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM q.conv_id
+"""
+
+
+@query("op12_conversation_repair", _op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starsift.llm.turns import damaged, repair
+
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair(damaged(rows), every=rows, keep=False)
