@@ -191,6 +191,28 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle(documents(spark, sf_dir), keep=False)
 
 
+OP11_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+), l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e
+), r AS (SELECT DISTINCT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y
+), c AS (SELECT x, min(y) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM documents LEFT JOIN n USING (doc_id) JOIN c ON c.x = doc_id
+"""
+
+
+@query("op11_ngram_jaccard", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starsift.llm.jaccard import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def _op12_sql() -> str:
     """The repair as a recursive walk from each conversation's end; costs stand before audits as eight digits, so least() picks both."""
 
@@ -221,7 +243,7 @@ WITH RECURSIVE c AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text), copy) AS i,
     row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM d
 ), f AS (
-  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault,
     CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS r, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o
 ), s AS (
   SELECT conv_id, string_agg(CASE fault WHEN '' THEN r WHEN 'truncated' THEN upper(r) ELSE '-' END, '' ORDER BY i) AS sig, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
