@@ -96,4 +96,5 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
 
 def keep_good(docs: DataFrame, trusted: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns."""
-    return judged(docs, trusted, **settings).filter("kept").select("row.*")
+    once = F.array(F.struct("row", "kept"))  # rows that come out of an array: no filter is pushed into the rules, which would repeat them
+    return judged(docs, trusted, **settings).select(F.inline(once)).filter("kept").select("row.*")

@@ -112,6 +112,17 @@ def test_quality_score_equals_plain_multinomials(spark):
         assert got[i].score == pytest.approx(want)
 
 
+def test_keeping_good_rows_evaluates_the_rules_once(spark):
+    from starsift.llm.quality import keep_good
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    trusted = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1").select("doc_id")
+    plans = [f(docs, trusted)._jdf.queryExecution().optimizedPlan().toString() for f in (quality_rules, keep_good)]
+    assert plans[1].count("xxhash64") <= plans[0].count("xxhash64") and plans[1].count("split(") <= plans[0].count("split(")
+    kept = {r.doc_id for r in quality_rules(docs, trusted).filter("kept").collect()}
+    assert sorted(kept) == sorted(r.doc_id for r in keep_good(docs, trusted).collect())
+
+
 def test_quality_awkward_rows(spark):
     got = brute.rows(quality_rules(brute.awkward(spark), brute.awkward(spark).select("doc_id")), "doc_id")
     for i, t, *_ in brute.AWKWARD:
