@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from starsift import fixed_values as fv
 from starsift.functions import labels
+from starsift.operators.quantiles import quantile_values
 from starsift.operators.windows import row_normalise, share_of
+from starsift.sources import durable
 
 
 def hash_bucket(key: str, buckets: int, seed: int = 42) -> Column:
@@ -88,16 +90,22 @@ def class_report(df: DataFrame, actual: str, predicted: str, classes: list) -> D
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 1000) -> DataFrame:
+def score_ranges(df: DataFrame, label: str, score: str) -> DataFrame:
+    """s, p, n (positives and negatives of each distinct score) with b, its range: ranges rise with the score and hold about
+    the same number of distinct scores each, however crowded the scores are."""
+    per = df.groupBy(F.col(score).alias("s")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = per.filter(F.col("s").isNotNull()).repartitionByRange(ranges, "s").withColumn("b", F.spark_partition_id())
+    return durable.stored(ranged, "score-ranges")  # the range of a score must not change between its uses
+
+
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve of a 0/1 label, ties counting half; exact at any size.
 
-    Rows are counted per distinct score. Cumulative negatives come from at most
-    ``buckets`` + 1 score ranges plus a window inside each range, so no window
-    spans all scores.
+    Rows are counted per distinct score. The negatives below a score are those of lower ranges, one number each, and of its
+    own range, so no window spans all scores and no range is crowded. Null scores take no part.
     """
-    s = F.col(score)
-    per = df.groupBy(s.alias("s")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    per = per.withColumn("b", F.floor(F.col("s") * buckets))
+    per = score_ranges(df, label, score)
     by_range = per.groupBy("b").agg(F.sum("n").alias("bn"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     below = by_range.select("b", F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("below"))
@@ -193,13 +201,12 @@ def residual_hist(df: DataFrame, actual: str, predicted: str, bins: int = 25) ->
 
 def psi(base: DataFrame, current: DataFrame, col: str, bins: int = 10, alert: float = 0.2) -> DataFrame:
     """Population stability index against the baseline's quantile bins; alert above the limit."""
-    cuts = base.agg(
-        F.percentile(F.col(col), F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias("q")
-    ).scalar()
+    found = quantile_values(base, [col], [i / bins for i in range(1, bins)])[col]
+    cuts = F.array(*[F.lit(q).cast("double") for q in found])
 
     def shares(df: DataFrame, name: str) -> DataFrame:
-        b = F.size(F.filter("_cuts", lambda q: q < F.col(col)))
-        counted = df.filter(F.col(col).isNotNull()).withColumn("_cuts", cuts).groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
+        b = F.size(F.filter(cuts, lambda q: q < F.col(col)))
+        counted = df.filter(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
         return share_of(counted, [], "n", 1.0, name).select("bin", name)
 
     floor = F.lit(1e-6)

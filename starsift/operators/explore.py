@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from starsift.functions import labels
 from starsift.operators import windows
+from starsift.operators.quantiles import quantile_columns, quantile_values
+
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def overview(df: DataFrame) -> DataFrame:
+    middle = quantile_values(df, ["star_rating", "word_count"], [0.5])
     return df.agg(
         F.count("*").alias("rows"),
         F.countDistinct("product_id").alias("products"),
         F.countDistinct("user_id").alias("reviewers"),
         F.avg("star_rating").alias("avg_star"),
-        F.median("star_rating").alias("median_star"),
+        F.lit(middle["star_rating"][0]).cast("double").alias("median_star"),
         F.avg("word_count").alias("avg_words"),
-        F.median("word_count").alias("median_words"),
+        F.lit(middle["word_count"][0]).cast("double").alias("median_words"),
     )
 
 
@@ -64,13 +68,11 @@ def histogram(spark: SparkSession, df: DataFrame, col: str, bins: int, cap: floa
 
 
 def quartiles_by(df: DataFrame, key: str, col: str, below: float | None = None) -> DataFrame:
-    """Exact quartiles per key. ``percentile`` keeps one entry per distinct value, so use it
-    on counts and rounded scores rather than on unrounded measurements."""
+    """Exact quartiles per key."""
     rows = df.filter(F.col(key).isNotNull())
     if below is not None:
         rows = rows.filter(F.col(col) < below)
-    q = rows.groupBy(key).agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    return q.select(key, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    return quantile_columns(rows, col, QUARTILES, key)
 
 
 def sentiment_distribution(df: DataFrame, compound: str = "compound") -> DataFrame:
@@ -101,19 +103,16 @@ def verified_report(df: DataFrame) -> DataFrame:
     per = df.filter(F.col("verified").isNotNull()).groupBy("verified").agg(
         F.count("*").alias("n"),
         F.avg("star_rating").alias("avg_star"),
-        F.percentile("compound", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
     )
-    return windows.share_of(per, [], "n", name="pct").select(
-        "verified", "n", "pct", "avg_star",
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
+    shares = windows.share_of(per, [], "n", name="pct")
+    return shares.join(quantile_columns(df, "compound", QUARTILES, "verified"), "verified", "left").select(
+        "verified", "n", "pct", "avg_star", "q1", "median", "q3"
     )
 
 
 def votes_by_label(df: DataFrame) -> DataFrame:
     label = labels.compound_label_bins(F.col("compound"))
-    return df.select(label.alias("label"), "helpful_votes").where(F.col("label").isNotNull()).groupBy("label").agg(
-        F.median("helpful_votes").alias("median_votes")
-    )
+    return quantile_columns(df.select(label.alias("label"), "helpful_votes"), "helpful_votes", {"median_votes": 0.5}, "label")
 
 
 def votes_histogram(spark: SparkSession, df: DataFrame, bins: int = 30, cap: float | None = None) -> DataFrame:
@@ -157,23 +156,21 @@ def product_comparison(df: DataFrame, n: int = 8) -> DataFrame:
     )
 
 
-def _with_bounds(df: DataFrame, cols: list[str], k: float) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
-    """Rows with the quartiles attached once as ``_q``, and the fences of each column."""
-    quarters = F.array(F.lit(0.25), F.lit(0.75))
-    stats = df.agg(F.struct(*[F.percentile(F.col(c).cast("double"), quarters).alias(c) for c in cols]).alias("q")).scalar()
+def _fences(df: DataFrame, cols: list[str], k: float) -> dict[str, tuple[Column, Column]]:
+    """Lower and upper fence of each column; null without values, so that nothing is flagged."""
+    quarters = quantile_values(df, cols, [0.25, 0.75])
     out = {}
-    for c in cols:
-        q1, q3 = F.col(f"_q.{c}")[0], F.col(f"_q.{c}")[1]
-        out[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-    return df.withColumn("_q", stats), out
+    for c, (q1, q3) in quarters.items():
+        out[c] = tuple(F.lit(None if q1 is None else v).cast("double") for v in ((q1, q3) if q1 is None else (q1 - k * (q3 - q1), q3 + k * (q3 - q1))))
+    return out
 
 
 def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
     """Rows outside the fences of any column, with one flag per column."""
-    rows, bounds = _with_bounds(df, cols, k)
-    flagged = rows.withColumns(
+    bounds = _fences(df, cols, k)
+    flagged = df.withColumns(
         {f"{c}_outlier": F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False)) for c, (lo, hi) in bounds.items()}
-    ).drop("_q")
+    )
     any_of = F.lit(False)
     for c in cols:
         any_of = any_of | F.col(f"{c}_outlier")
@@ -181,13 +178,9 @@ def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
 
 
 def iqr_report(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
-    rows, bounds = _with_bounds(df, cols, k)
-    agg = rows.agg(
-        *[F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(c) for c, (lo, hi) in bounds.items()],
-        *[F.first(b).alias(f"{side}_{c}") for c, pair in bounds.items() for side, b in zip(("lo", "hi"), pair)],
-    )
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("outliers"), F.col(f"lo_{c}").alias("low"),
-                      F.col(f"hi_{c}").alias("high")) for c in bounds]
+    bounds = _fences(df, cols, k)
+    agg = df.agg(*[F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(c) for c, (lo, hi) in bounds.items()])
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("outliers"), lo.alias("low"), hi.alias("high")) for c, (lo, hi) in bounds.items()]
     return agg.select(F.inline(F.array(*cells)))
 
 

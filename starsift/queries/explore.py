@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from starsift.functions import labels
 from starsift.functions import text as tx
 from starsift.operators import explore, rollups, setops, windows
+from starsift.operators.quantiles import quantile_values, quantiles
 from starsift.queries.oracle import over, words
 from starsift.queries.registry import query
 from starsift.queries.rollups import MS
@@ -89,7 +90,25 @@ def word_count_histogram(s, d):
     D + " SELECT round(avg(word_count), 6) AS mean, median(word_count) AS median FROM r",
 )
 def word_count_summary(s, d):
-    return _docs(s, d).agg(F.avg("word_count").alias("mean"), F.median("word_count").alias("median"))
+    docs = _docs(s, d)
+    middle = quantile_values(docs, ["word_count"], [0.5])["word_count"][0]
+    return docs.agg(F.avg("word_count").alias("mean"), F.lit(middle).cast("double").alias("median"))
+
+
+_TENTHS = [i / 10 for i in range(11)]
+
+
+@query(
+    "measure_quantiles",
+    "E-22 E-31 L-32",
+    " UNION ALL ".join(
+        f"""SELECT l_returnflag, '{c}' AS "column", unnest({_TENTHS}) AS p, unnest(list_transform(quantile_cont(cast({c} AS double), {_TENTHS}), lambda x: round(x, 6))) AS value
+            FROM lineitem GROUP BY l_returnflag""" for c in ("l_extendedprice", "l_discount")
+    ),
+)
+def measure_quantiles(s, d):
+    """Deciles of unrounded measurements with many distinct values, by group."""
+    return quantiles(ad.table(s, d, "lineitem"), ["l_extendedprice", "l_discount"], _TENTHS, "l_returnflag")
 
 
 @query(

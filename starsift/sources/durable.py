@@ -5,6 +5,7 @@ the cluster names in ``spark.checkpoint.dir``, so they survive lost executors.
 """
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,11 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute once, store reliably, and continue from the stored rows."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the checkpoint folder and read it back: computed once, where ``checkpoint`` computes twice."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
