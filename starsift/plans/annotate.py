@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from starsift.functions import sentiment as fs
 from starsift.functions import text as tx
 from starsift.operators import entities as en
-from starsift.operators import features, models, sentiment
+from starsift.operators import features, models, sentiment, text_models
 
 
 def rejects(df: DataFrame, text: str = "review_text") -> DataFrame:
@@ -24,12 +24,16 @@ def annotate(
     entities: Column | None = None,
     topics: DataFrame | None = None,
     helpfulness_model=None,
+    topic_model: text_models.Model | None = None,
+    key: str = "review_id",
 ) -> DataFrame:
     """Clean text, entities, aspect sentiment, topic, readability, sentiment and helpfulness.
 
-    Everything but the optional topic join is computed in the row. ``topics`` is
-    (topic_id, topic_name) for rows that carry a ``topic_id``; rows rejected for
-    empty text are in :func:`rejects`.
+    Everything but the topic is computed in the row. With a fitted ``topic_model`` (its
+    tables, see :func:`text_models.fit_topics`) the cleaned text gets its topic by joins on
+    ``key``; else ``topics`` is (topic_id, topic_name) for rows that carry a ``topic_id``.
+    Without a ``helpfulness_model`` a given ``predicted_helpfulness`` stays, and is 0.5 where
+    null. Rows rejected for empty text are in :func:`rejects`.
     """
     out = df.withColumn("clean_review_text", tx.clean_review_text(F.col(text))).filter(F.col("clean_review_text") != "")
     c = F.col("clean_review_text")
@@ -55,6 +59,9 @@ def annotate(
             ),
         ),
     )
+    if topic_model is not None:
+        out = text_models.assign_topics(out.drop("topic_id"), key, "clean_review_text", topic_model)
+        topics = topic_model["names"]
     if "topic_id" not in out.columns:
         out = out.withColumn("topic_id", F.lit(-1))
     if topics is not None:
@@ -78,9 +85,10 @@ def annotate(
             **density,
         }
     )
-    if "predicted_helpfulness" in out.columns:
-        out = out.drop("predicted_helpfulness")
-    out = models.score_helpfulness(out, helpfulness_model)
+    if helpfulness_model is None and "predicted_helpfulness" in out.columns:
+        out = out.withColumn("predicted_helpfulness", F.coalesce("predicted_helpfulness", F.lit(0.5)))
+    else:
+        out = models.score_helpfulness(out.drop("predicted_helpfulness"), helpfulness_model)
     return out.withColumn("sentiment_confidence", F.round("sentiment_confidence", 2)).drop(
         "_aspects", "_sentences", "_scores", "_rated", "_overall", "_compound", "_pos", "_neg", "_neu"
     )
