@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from starsift.functions import labels
 from starsift.functions import text as tx
 from starsift.operators import attribution as at
-from starsift.operators import cleaning, evaluate, models, resample, sentiment
+from starsift.operators import cleaning, evaluate, models, resample, search, sentiment, text_models
+from starsift.queries.corpus import VT
 from starsift.queries.oracle import over, words
 from starsift.queries.registry import query
 from starsift.sources import adapters as ad
-from starsift.sources import durable
+from starsift.sources import artifacts, durable
 
 
 def _scores(s, d):
@@ -437,10 +438,62 @@ def forest_predictions(s, d):
     return models.predict_batch(test, model).groupBy("label", "predicted_label").agg(F.count("*").alias("n"))
 
 
-@query("bayes_predictions", "L-11")
+#: Naive Bayes over held-in documents, in SQL: vocabulary, idf and class weights see only rows that are not held out.
+_BAYES = f"""WITH d AS (SELECT doc_id, lang, {VT} AS w, (doc_id * 7919) % 10000 < 2000 AS held FROM documents),
+  c AS (SELECT doc_id, lang, held, term, count(*) AS tf FROM (SELECT doc_id, lang, held, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS term FROM d) GROUP BY ALL),
+  n AS (SELECT count(*) AS n FROM d WHERE NOT held),
+  v AS (SELECT term, count(*) AS df FROM c, n WHERE NOT held GROUP BY term HAVING count(*) BETWEEN 2 AND 0.95 * any_value(n) ORDER BY sum(tf) DESC, term LIMIT 5000),
+  r AS (SELECT doc_id, lang, held, term, (1 + ln(tf)) * (ln((1 + n) / (1 + df)) + 1) AS w FROM c JOIN v USING (term), n),
+  x AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM r),
+  k AS (SELECT lang AS cls, count(*) AS size FROM d WHERE NOT held GROUP BY 1),
+  s AS (SELECT lang AS cls, term, sum(weight) AS s FROM x WHERE NOT held GROUP BY ALL),
+  g AS (SELECT cls, term, coalesce(s, 0) + 0.1 AS mass FROM k CROSS JOIN v LEFT JOIN s USING (cls, term)),
+  t AS (SELECT cls, term, ln(mass / sum(mass) OVER (PARTITION BY cls)) AS theta FROM g),
+  m AS (SELECT doc_id, cls, sum(weight * theta) AS m FROM x JOIN t USING (term) WHERE held GROUP BY ALL),
+  p AS (SELECT d.doc_id, d.lang AS label, k.cls, coalesce(m.m, 0) + ln((size + 0.1) / ((SELECT n FROM n) + 0.1 * (SELECT count(*) FROM k))) AS m
+        FROM d CROSS JOIN k LEFT JOIN m ON m.doc_id = d.doc_id AND m.cls = k.cls WHERE held),
+  e AS (SELECT *, exp(m - max(m) OVER (PARTITION BY doc_id)) AS e FROM p)
+  SELECT doc_id, label, arg_min(cls, (-e, cls)) AS predicted_label, round(max(e) / sum(e), 4) AS confidence FROM e GROUP BY ALL"""
+
+
+@query("bayes_predictions", "L-11 L-17 A-18", _BAYES)
 def bayes_predictions(s, d):
-    train, _, test = _held_out(models.text_vectors(_labelled(s, d), "review_id", "text")[0])
-    return models.predict_batch(test, models.naive_bayes().fit(train)).groupBy("label", "predicted_label").agg(F.count("*").alias("n"))
+    """Fitted on held-in documents, stored as a version, read back and applied to the held-out ones."""
+    docs = evaluate.split(ad.documents(s, d).select("doc_id", "text", F.col("lang").alias("label")), "doc_id", 0.2, bucket=(F.col("doc_id") * 7919) % 10000)
+    folder = durable.folder(s, "models")
+    artifacts.save(s, folder, "bayes", text_models.fit_bayes(docs.filter(~F.col("is_test")), "doc_id", "text", "label"))
+    model, _, _ = artifacts.load(s, folder, "bayes")
+    out = text_models.classify(docs.filter("is_test"), "doc_id", "text", model)
+    return out.select("doc_id", "label", "predicted_label", F.round("confidence", 4).alias("confidence"))
+
+
+@query("stratified_fold_sizes", "L-07", "SELECT lang, 5 AS folds, true AS even, count(*) AS n FROM documents GROUP BY lang")
+def stratified_fold_sizes(s, d):
+    """Folds of every class differ by at most two rows."""
+    rows = search.stratified_folds(ad.documents(s, d).select("doc_id", "lang"), "doc_id", "lang", 5)
+    sizes = rows.groupBy("lang", "fold").agg(F.count("*").alias("n"))
+    return sizes.groupBy("lang").agg(F.count("*").cast("int").alias("folds"), (F.max("n") - F.min("n") <= 2).alias("even"), F.sum("n").alias("n"))
+
+
+_SETTINGS = search.grid()
+
+
+@query(
+    "searched_models",
+    "L-07 L-09 L-11 L-12 L-13 L-15",
+    "SELECT f AS max_features, g AS max_n, kind, strength, balanced, true AS scored, true AS best_beats_majority FROM (VALUES "
+    + ", ".join(f"('{x.kind}', cast({x.strength} AS double), {str(x.balanced).lower()})" for x in _SETTINGS)
+    + f") v(kind, strength, balanced), (SELECT unnest({list(search.GRID['max_features'])}) AS f), (SELECT unnest({list(search.GRID['max_n'])}) AS g)",
+)
+def searched_models(s, d):
+    """The whole grid over features, n-grams, C, class weights and model kinds on five stratified folds, by language."""
+    docs = ad.documents(s, d).select("doc_id", "lang", "text")
+    classes = [r.lang for r in docs.select("lang").filter("lang IS NOT NULL").distinct().orderBy("lang").collect()]
+    found = search.search(s, docs, "doc_id", "text", "lang", classes, _SETTINGS)
+    share = evaluate.label_counts(docs, "lang").agg((F.max("n") / F.sum("n")).alias("share")).first().share
+    best = found.agg(F.max("accuracy").alias("a")).first().a
+    scored = F.col("f1_macro").between(0, 1) & F.col("f1_weighted").between(0, 1) & F.col("accuracy").between(0, 1)
+    return found.select("max_features", "max_n", "kind", "strength", "balanced", scored.alias("scored"), F.lit(best > share).alias("best_beats_majority"))
 
 
 @query("model_comparison", "L-12")

@@ -31,9 +31,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new place in the checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the checkpoint folder and read it back: computed once, where ``checkpoint`` computes twice."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

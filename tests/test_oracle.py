@@ -11,7 +11,7 @@ SQL = sorted(n for n, q in REGISTRY.items() if q.sql is not None)
 SLOW = {
     "model_comparison", "grid_search_results", "random_search_results", "calibrated_svc_predictions", "lda_topics",
     "helpfulness_importances", "scored_helpfulness", "linear_attributions", "topic_table", "forest_predictions",
-    "logistic_predictions", "text_feature_block", "bayes_predictions", "top_coefficients", "feature_table",
+    "logistic_predictions", "text_feature_block", "top_coefficients", "feature_table",
 }
 ROWS = sorted(n for n, q in REGISTRY.items() if q.sql is None and n not in SLOW)
 
