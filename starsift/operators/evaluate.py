@@ -90,22 +90,22 @@ def class_report(df: DataFrame, actual: str, predicted: str, classes: list) -> D
     )
 
 
-def score_ranges(df: DataFrame, label: str, score: str) -> DataFrame:
+def score_ranges(df: DataFrame, label: str, score: str, ranges: int | None = None) -> DataFrame:
     """s, p, n (positives and negatives of each distinct score) with b, its range: ranges rise with the score and hold about
-    the same number of distinct scores each, however crowded the scores are."""
+    the same number of distinct scores each, however crowded the scores are. ``ranges``: by default the shuffle partitions."""
     per = df.groupBy(F.col(score).alias("s")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = per.filter(F.col("s").isNotNull()).repartitionByRange(ranges, "s").withColumn("b", F.spark_partition_id())
     return durable.stored(ranged, "score-ranges")  # the range of a score must not change between its uses
 
 
-def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve of a 0/1 label, ties counting half; exact at any size.
 
     Rows are counted per distinct score. The negatives below a score are those of lower ranges, one number each, and of its
-    own range, so no window spans all scores and no range is crowded. Null scores take no part.
+    own range, so no window spans all scores and no range is crowded. ``buckets`` is the number of ranges. Null scores take no part.
     """
-    per = score_ranges(df, label, score)
+    per = score_ranges(df, label, score, buckets)
     by_range = per.groupBy("b").agg(F.sum("n").alias("bn"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     below = by_range.select("b", F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("below"))
