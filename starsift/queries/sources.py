@@ -267,3 +267,57 @@ def stored_schema_defaults(s, d):
     return schemas.conform(r, "reviews").agg(
         F.count("id").alias("reviews"), F.countDistinct("product_id").alias("products")
     )
+
+
+_DOCUMENT_CSV = "doc_id bigint, lang string, source string, n_chars bigint, text string"
+
+
+def _as_csv(s, rows):
+    """The rows as quoted CSV in the checkpoint folder."""
+    from starsift.sources import durable
+
+    place = durable.folder(s, "csv")
+    rows.write.option("escape", '"').csv(place, header=True)
+    return place
+
+
+@query(
+    "csv_records",
+    "A-01 A-11",
+    "SELECT doc_id, n_chars, md5(text) AS text_md5, len(regexp_extract_all(text, '\\n')) AS line_breaks FROM documents",
+)
+def csv_records_read(s, d):
+    """Texts with line breaks and quotes, written as CSV and read by several tasks a file; only three columns are converted."""
+    from starsift.sources import csv_records
+
+    place = _as_csv(s, ad.table(s, d, "documents").select("doc_id", "lang", "source", "n_chars", "text"))
+    rows = csv_records.read_csv(s, place, _DOCUMENT_CSV, ["doc_id", "n_chars", "text"], split_bytes=8 << 20)
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    return rows.select("doc_id", "n_chars", F.md5("text").alias("text_md5"), breaks.cast("long").alias("line_breaks"))
+
+
+@query(
+    "upload_records",
+    "A-19",
+    """SELECT CASE WHEN doc_id % 7 = 0 THEN 'malformed' WHEN lang = 'en' THEN 'required value missing' ELSE 'accepted' END AS route,
+              count(*) AS n, sum(CASE WHEN doc_id % 7 <> 0 THEN doc_id END) AS ids,
+              sum(CASE WHEN doc_id % 7 = 0 THEN len(regexp_extract_all(coalesce(text, ''), '\\n')) ELSE 0 END) AS kept_line_breaks FROM documents GROUP BY 1""",
+)
+def upload_records(s, d):
+    """An upload in which every seventh number is none and one language lacks its source: malformed records are kept whole."""
+    from starsift.sources import csv_records, files
+
+    docs = ad.table(s, d, "documents")
+    given = docs.withColumns({
+        "doc_id": F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("no. "), F.col("doc_id"))).otherwise(F.col("doc_id").cast("string")),
+        "source": F.when(F.col("lang") != "en", F.col("source")),
+    })
+    place = _as_csv(s, given.select("doc_id", "lang", "source", "n_chars", "text"))
+    rows = csv_records.read_csv(s, place, _DOCUMENT_CSV, corrupt=files.CORRUPT, split_bytes=8 << 20)
+    good, bad = files.validate(rows, ["doc_id", "source"])
+    route = F.when(F.col(files.CORRUPT).isNotNull(), "malformed").otherwise("required value missing")
+    breaks = F.length(files.CORRUPT) - F.length(F.replace(files.CORRUPT, F.lit("\n"), F.lit("")))
+    both = good.select(F.lit("accepted").alias("route"), "doc_id", F.lit(0).alias("breaks")).unionByName(
+        bad.select(route.alias("route"), F.when(F.col(files.CORRUPT).isNull(), F.col("doc_id")).alias("doc_id"), F.coalesce(breaks, F.lit(0)).alias("breaks"))
+    )
+    return both.groupBy("route").agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids"), F.sum("breaks").alias("kept_line_breaks"))
