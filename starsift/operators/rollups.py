@@ -12,7 +12,7 @@ def _count(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def _star_counts(stars: str = "star_rating") -> list[Column]:
+def star_counts(stars: str = "star_rating") -> list[Column]:
     s = F.col(stars)
     return [
         _count(s >= 4).alias("positive_count"),
@@ -27,7 +27,7 @@ def product_summary(reviews: DataFrame) -> DataFrame:
         F.count("*").alias("total_reviews"),
         F.avg("star_rating").alias("average_stars"),
         F.avg(F.coalesce("predicted_helpfulness", F.lit(0.5))).alias("average_helpfulness"),
-        *_star_counts(),
+        *star_counts(),
     )
 
 
@@ -35,7 +35,7 @@ def monthly_sentiment(reviews: DataFrame) -> DataFrame:
     """Sentiment counts per month and product; rows without a time are left out."""
     dated = reviews.filter(F.col("review_time").isNotNull())
     return dated.groupBy(labels.month_key(F.col("review_time")).alias("month"), "product_id").agg(
-        F.count("*").alias("total_reviews"), *_star_counts()
+        F.count("*").alias("total_reviews"), *star_counts()
     )
 
 
@@ -44,7 +44,7 @@ def monthly_sentiment_rollup(reviews: DataFrame) -> DataFrame:
     dated = reviews.filter(F.col("review_time").isNotNull()).withColumn(
         "month", labels.month_key(F.col("review_time"))
     )
-    return dated.rollup("month", "product_id").agg(F.count("*").alias("total_reviews"), *_star_counts())
+    return dated.rollup("month", "product_id").agg(F.count("*").alias("total_reviews"), *star_counts())
 
 
 def aspect_summary(reviews: DataFrame, aspects: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starsift import schemas
-from starsift.plans import summaries
+from starsift.operators import partials
+from starsift.plans import increments, summaries
 from starsift.plans.annotate import annotate
+from starsift.sources import parts
 
 
 def fan_out(analysed: DataFrame, id_col: str = "review_id") -> dict[str, DataFrame]:
@@ -46,15 +48,19 @@ def write_analysis(analysed: DataFrame, folder: str, part: str = "all") -> None:
 
 
 def ingest(reviews: DataFrame, topics: DataFrame, folder: str, part: str = "all", **annotate_args) -> None:
-    """Annotate, store the four detail tables, rebuild the four summaries from all parts."""
+    """Annotate, store the four detail tables, and rebuild the four summaries from the partial ones of all parts.
+
+    Only this part's reviews are read; other parts have left their partial summaries in ``<folder>/_partials``.
+    """
     spark = reviews.sparkSession
     helped = F.when(
         F.col("helpfulness_denominator") > 0, F.col("helpfulness_numerator") / F.col("helpfulness_denominator")
     ).otherwise(0.0)
     analysed = annotate(reviews, **annotate_args).withColumn("helpfulness_score", helped)
     write_analysis(analysed, folder, part)
-    stored = spark.read.schema(schemas.TABLES["reviews"]).parquet(f"{folder}/reviews").withColumnsRenamed(
+    stored = spark.read.schema(schemas.TABLES["reviews"]).parquet(f"{folder}/reviews/part={part}").withColumnsRenamed(
         {"id": "review_id", "score": "star_rating"}
     )
-    aspects = spark.read.schema(schemas.TABLES["aspect_sentiments"]).parquet(f"{folder}/aspect_sentiments")
-    summaries.write_all(summaries.rebuild_all(stored, aspects, topics), folder)
+    aspects = spark.read.schema(schemas.TABLES["aspect_sentiments"]).parquet(f"{folder}/aspect_sentiments/part={part}")
+    parts.commit(spark, f"{folder}/_partials", part, partials.partial_summaries(stored, aspects))
+    summaries.write_all(increments.summaries(spark, f"{folder}/_partials", topics), folder)

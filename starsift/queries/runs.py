@@ -10,7 +10,7 @@ from starsift.functions import text as tx
 from starsift.operators import cleaning, explore, features, insights
 from starsift.plans import annotate as an
 from starsift.plans import explore as explore_plan
-from starsift.plans import feature_table, ingest, summaries
+from starsift.plans import feature_table, increments, ingest, summaries
 from starsift.plans import insights as insight_plan
 from starsift.plans.preprocess import preprocess
 from starsift.queries.explore import R
@@ -18,7 +18,7 @@ from starsift.queries.oracle import any_of, clean, over, words
 from starsift.queries.registry import query
 from starsift.queries.rollups import COUNTS
 from starsift.sources import adapters as ad
-from starsift.sources import durable, files
+from starsift.sources import durable, files, parts
 from starsift.streaming import ingest as si
 from starsift.streaming import rollups as sr
 
@@ -85,10 +85,29 @@ def annotation_rejects(s, d):
 )
 def ingested_summary(s, d):
     folder = _folder(s)
-    ingest.ingest(ad.text_reviews(s, d), ad.topics(s), folder)
+    ingest.ingest(ad.text_reviews(s, d).drop("predicted_helpfulness"), ad.topics(s), folder)
     return files.load_summaries(s, folder)["product_summary"].drop("last_updated")
 
 
+@query(
+    "ingested_given_helpfulness",
+    "M-03 M-08",
+    over(
+        "reviews",
+        f"""SELECT product_id, count(*) AS total_reviews, round(sum(coalesce(predicted_helpfulness, 0.5)), 4) AS helpfulness, {COUNTS}
+            FROM reviews GROUP BY 1""",
+    ),
+)
+def ingested_given_helpfulness(s, d):
+    """Two parts, one after the other; helpfulness that comes with the reviews is kept."""
+    folder = _folder(s)
+    reviews = ad.text_reviews(s, d)
+    for p in range(2):
+        ingest.ingest(reviews.filter(F.pmod(F.xxhash64("review_id"), F.lit(2)) == p), ad.topics(s), folder, part=str(p))
+    ps = files.load_summaries(s, folder)["product_summary"].withColumn("helpfulness", F.round(F.col("average_helpfulness") * F.col("total_reviews"), 4))
+    return ps.select("product_id", "total_reviews", "helpfulness", "positive_count", "neutral_count", "negative_count")
+
+
 @query("feature_table", "M-04 M-05")
 def feature_table_rows(s, d):
     out = feature_table.build_features(ad.text_reviews(s, d))
@@ -228,3 +247,68 @@ def row_functions(s, d):
     return ad.reviews(s, d).groupBy("product_id").agg(
         F.count_if((star >= 4) & F.col("verified")).alias("good"), F.count_if(star <= 2).alias("bad")
     )
+
+
+def _added(s, d) -> str:
+    """A store to which all reviews came in three parts by year, one of them first as a wrong batch."""
+    folder = _folder(s)
+    r, a = (durable.stored(x, "part-source") for x in (ad.reviews(s, d), ad.aspects(s, d)))
+    years = r.select("review_id", F.coalesce(F.year("review_time") % 3, F.lit(0)).alias("p"))
+    r, a = (durable.stored(x.join(years, "review_id"), "by-part") for x in (r, a))
+    wrong = [x.filter("p = 1").drop("p") for x in (r, a)]
+    increments.add_part(*wrong, folder, "0")
+    for p in range(3):
+        increments.add_part(*[x.filter(F.col("p") == p).drop("p") for x in (r, a)], folder, str(p))
+    return folder
+
+
+@query(
+    "merged_product_summary",
+    "A-12 A-17 M-03 M-08",
+    over(
+        "reviews",
+        f"""SELECT product_id, count(*) AS total_reviews, round(avg(star_rating), 6) AS average_stars,
+                   round(sum(coalesce(predicted_helpfulness, 0.5)), 4) AS helpfulness, {COUNTS} FROM reviews GROUP BY 1""",
+    ),
+)
+def merged_product_summary(s, d):
+    ps = increments.summaries(s, _added(s, d), ad.topics(s))["product_summary"]
+    return ps.withColumn("helpfulness", F.round(F.col("average_helpfulness") * F.col("total_reviews"), 4)).drop("average_helpfulness")
+
+
+@query(
+    "merged_aspect_summary",
+    "M-03 M-08",
+    over(
+        "reviews aspects",
+        """SELECT product_id, aspect_term, count(*) FILTER (WHERE sentiment_label = 'positive') AS positive_count,
+                  count(*) FILTER (WHERE sentiment_label = 'neutral') AS neutral_count,
+                  count(*) FILTER (WHERE sentiment_label = 'negative') AS negative_count, round(sum(confidence), 3) AS confidence
+           FROM reviews JOIN aspects USING (review_id) GROUP BY 1, 2""",
+    ),
+)
+def merged_aspect_summary(s, d):
+    folder = _added(s, d)
+    merged = increments.summaries(s, folder, ad.topics(s))["aspect_summary"]
+    held = parts.read(s, folder, "aspect_partial").groupBy("product_id", "aspect_term").agg(F.round(F.sum("confidence"), 3).alias("confidence"))
+    return merged.drop("avg_confidence").join(held, ["product_id", "aspect_term"])
+
+
+@query(
+    "earlier_version",
+    "A-17",
+    over("reviews", """SELECT product_id, count(*) AS total_reviews FROM reviews WHERE coalesce(year(review_time) % 3, 0) IN (0, 1) GROUP BY 1"""),
+)
+def earlier_version(s, d):
+    """A version goes on being readable after later commits: the third one has the parts 0 and 1."""
+    return increments.summaries(s, _added(s, d), ad.topics(s), 3)["product_summary"].select("product_id", "total_reviews")
+
+
+@query("cleaned_parts", "A-12 M-01", over("raw", PREPROCESSED + ' SELECT "Id", "ProductId", t AS clean_review_text FROM k WHERE rn = 1'))
+def cleaned_parts(s, d):
+    """Batches of whole products, cleaned and stored one after the other."""
+    folder = _folder(s)
+    raw = durable.stored(ad.raw_reviews(s, d).withColumn("p", F.pmod(F.xxhash64("ProductId"), F.lit(2))), "raw-parts")
+    for p in range(2):
+        increments.write_clean(raw.filter(F.col("p") == p).drop("p"), folder, str(p))
+    return parts.read(s, folder, "clean").select("Id", "ProductId", "clean_review_text")
