@@ -38,8 +38,9 @@ class ChunkTable:
 class Ids:
     """Token ids of whole texts as little-endian 32-bit bytes, exactly as the tokenizers library gives them.
 
-    Strings of special tokens count as ordinary text. ``path`` is a tokenizers JSON file; ``chunking`` is "spaced" for
-    byte-level vocabularies that keep spaces, "words" for vocabularies that drop white space.
+    The library's plain call finds special tokens in a text before anything else, so a text is cut at their strings and each
+    is a chunk. ``path`` is a tokenizers JSON file; ``chunking`` is "spaced" for byte-level vocabularies that keep spaces,
+    "words" for vocabularies that drop white space.
     """
 
     def __init__(self, path: str, chunking: str):
@@ -47,7 +48,11 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        #: Tokens found in another way than as they stand: then every text is encoded whole.
+        self.whole = any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added)
+        strings = sorted((t.content for t in added), key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, strings)) + ")") if strings else None
         self.split = SPACED.findall if chunking == "spaced" else str.split
         self.table = ChunkTable(self._encode)
 
@@ -55,10 +60,18 @@ class Ids:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in out]
 
+    def _chunks(self, text: str) -> list[str] | None:
+        """The chunks of a text; None if it must be encoded whole."""
+        if self.whole or ODD_SPACE.search(text):
+            return None
+        if self.special is None or not self.special.search(text):
+            return self.split(text)
+        return [c for i, part in enumerate(self.special.split(text)) for c in ([part] if i % 2 else self.split(part))]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [[] if ODD_SPACE.search(t) else self.split(t) for t in texts]
-        get = self.table.fill(split)
-        return [b"".join(map(get, s)) if s or not ODD_SPACE.search(t) else self._encode([t])[0] for s, t in zip(split, texts)]
+        split = [self._chunks(t) for t in texts]
+        get = self.table.fill([s for s in split if s is not None])
+        return [self._encode([t])[0] if s is None else b"".join(map(get, s)) for s, t in zip(split, texts)]
 
 
 _KEPT: dict[tuple, object] = {}

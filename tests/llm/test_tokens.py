@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starsift.llm import packing, queries, simple8b
+from starsift.llm.chunks import Ids
 from starsift.llm.pieces import encode_decode
 from starsift.llm.shared import folder
 
@@ -22,7 +23,6 @@ def library(name):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -49,6 +49,18 @@ def test_sentencepiece_awkward_rows(spark):
     assert encode_decode(brute.empty(spark), public_tokenizers.path("piece_bpe_32k.model")).count() == 0
 
 
+@pytest.mark.parametrize("name, chunking", [("byte_bpe_50k.json", "spaced"), ("word_bpe_49k.json", "words")])
+def test_special_tokens_as_the_plain_call_finds_them(name, chunking):
+    """Texts full of special strings, whole and broken, with white space and accents on both sides."""
+    pick, ids = np.random.default_rng(5), library(name)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", "<|", "|>", " ", "  ", "\n", "\t", "a", "Bc", "e\u0301", "\u0301", "é", "7", "'s", "\x1c", "\x85", "漢", "<|ENDOFTEXT|>"]
+    texts = ["".join(pick.choice(parts, pick.integers(0, 14))) for _ in range(6000)]
+    got = Ids(public_tokenizers.path(name), chunking)(texts)
+    for t, b in zip(texts, got):
+        assert np.frombuffer(b, "<u4").tolist() == ids(t), t
+    assert sum("<|endoftext|>" in t for t in texts) > 1000
+
+
 def check_packing(got, docs, ids_of, capacity):
     pieces = {}
     for r in got:
