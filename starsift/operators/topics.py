@@ -86,6 +86,31 @@ def embed_tfidf(df: DataFrame, key: str, text: str, dim: int = 384, stop_words=t
     return sparse.withColumn("embedding", vector_to_array("_e", "float32")).drop("_e")
 
 
+def _place(term: Column) -> tuple[Column, Column]:
+    """Hash of a term for its dimension, and its sign."""
+    digest = F.md5(term)
+    number = lambda a: F.conv(F.substring(digest, a, 8), 16, 10).cast("long")
+    return number(1), F.when(number(9) % 2 == 0, 1.0).otherwise(-1.0)
+
+
+def embed_hashed(df: DataFrame, key: str, text: str, dim: int = 384, stop_words=tuple(fv.GENERAL_STOP_WORDS)) -> DataFrame:
+    """Fixed-width TF-IDF embedding that keeps every term: signed feature hashing.
+
+    A term adds its weight, with its sign, to the dimension it hashes to, so the inner product of two rows is on average
+    that of their whole TF-IDF vectors and no vocabulary is chosen, numbered or sent. Vectors have length one; a text
+    without terms (or whose terms cancel) has zeros. ``key`` is unique; rows with a null key are left out.
+    """
+    df = df.filter(F.col(key).isNotNull())
+    counts = corpus.term_counts(df, key, text, 1, stop_words)
+    vocab = corpus.vocabulary(counts, df.agg(F.count("*")).scalar())
+    at, sign = _place(F.col("term"))
+    placed = vocab.select("term", (at % dim).cast("int").alias("_at"), (sign * F.col("idf")).alias("_signed"))
+    cells = counts.join(placed, "term").groupBy(key, "_at").agg(F.sum(F.col("tf") * F.col("_signed")).alias("_v"))
+    row = cells.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_at", "_v"))).alias("_cells"), F.sqrt(F.sum(F.col("_v") * F.col("_v"))).alias("_norm"))
+    value = lambda i: F.coalesce(F.try_divide(F.try_element_at("_cells", i), "_norm"), F.lit(0.0))
+    return df.join(row, key, "left").withColumn("embedding", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), value)).drop("_cells", "_norm")
+
+
 def reduce_pca(df: DataFrame, vector: Column, k: int = 5):
     """(centring model, PCA model, rows with a centred ``reduced`` vector)."""
     dense = df.withColumn("_x", array_to_vector(vector))

@@ -89,6 +89,23 @@ def tfidf_embedding(s, d):
     return e.select("doc_id", F.size("embedding").alias("width"), F.round(vx.norm(F.col("embedding")), 4).alias("norm"))
 
 
+@query(
+    "hashed_embedding",
+    "K-01",
+    f"""WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents), c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+    v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf, md5(term) AS h FROM c GROUP BY term),
+    p AS (SELECT term, idf * CASE WHEN CAST('0x' || h[9:16] AS BIGINT) % 2 = 0 THEN 1 ELSE -1 END AS w, CAST(CAST('0x' || h[1:8] AS BIGINT) % 384 AS INTEGER) AS dimension FROM v),
+    s AS (SELECT doc_id, dimension, sum(tf * w) AS x FROM c JOIN p USING (term) GROUP BY ALL),
+    n AS (SELECT doc_id, dimension, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS value FROM s)
+    SELECT doc_id, dimension, round(value, 6) AS value FROM n WHERE abs(value) >= 0.000005""",
+)
+def hashed_embedding(s, d):
+    """Every cell of every text's embedding, and so every term's weight, against SQL."""
+    e = topics.embed_hashed(ad.documents(s, d).select("doc_id", "text"), "doc_id", "text")
+    cells = e.select("doc_id", F.posexplode("embedding").alias("dimension", "value"))
+    return cells.filter(F.abs("value") >= 0.000005)
+
+
 @query("reduced_vectors", "K-02")
 def reduced_vectors(s, d):
     from pyspark.ml.functions import vector_to_array

@@ -16,8 +16,12 @@ def stream_monthly(reviews: DataFrame) -> DataFrame:
 
 
 def stream_dedupe(reviews: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
-    """Drop repeats of a key that arrive within the watermark delay; state expires after it."""
-    return reviews.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+    """Drop repeats of a key that arrive within the watermark delay; state expires after it.
+
+    The state holds a key's 32-byte digest, however long its texts are. Null and empty values differ.
+    """
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*keys)), 256))
+    return reviews.withColumn("_digest", digest).withWatermark(ts, delay).dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
 
 
 def stream_defects(
