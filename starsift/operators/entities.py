@@ -1,7 +1,7 @@
 """Brand, feature and model mentions with offsets; entity tables.
 
 Everything works on one review's text or its entity array, so no operator here
-shuffles except the final counts. Offsets come from one Arrow-batched matcher.
+shuffles except the final counts, and all of it is Column expressions.
 """
 
 from pyspark.sql import Column, DataFrame

@@ -82,17 +82,15 @@ def model_entities(s, d):
 @query(
     "model_numbers",
     "J-04",
-    """SELECT p_partkey, 'S' || p_size || ' | Pro | Gen ' || (p_size % 10) || ' | v2.' || p_size AS models
-       FROM part WHERE p_size BETWEEN 10 AND 50""",
+    """SELECT p_partkey, CASE WHEN p_size >= 10 THEN 'S' || p_size || ' | ' ELSE '' END || 'Pro | Gen ' || (p_size % 10) || ' | v2.' || p_size AS models
+       FROM part""",
 )
 def model_numbers(s, d):
     t = F.concat(
         F.lit("the S"), "p_size", F.lit(" Pro beats gear Gen "), F.col("p_size") % 10, F.lit(" with v2."), "p_size", F.lit(" now")
     )
     models = F.transform(en.model_numbers(t), lambda e: e["text"])
-    return ad.table(s, d, "part").filter(F.col("p_size").between(10, 50)).select(
-        "p_partkey", F.array_join(models, " | ").alias("models")
-    )
+    return ad.table(s, d, "part").select("p_partkey", F.array_join(models, " | ").alias("models"))
 
 
 @query(
@@ -121,7 +119,8 @@ def merged_layers(s, d):
 )
 def resolved_overlaps(s, d):
     r = ad.text_reviews(s, d).withColumn("e", en.resolve_overlaps(F.concat(en.feature_entities(_text()), en.brand_entities(_text()))))
-    return r.filter(F.size("e") > 0).select("review_id", F.size("e").cast("bigint").alias("n"))
+    sizes = F.array(F.size("e").cast("bigint"))
+    return r.select("review_id", F.explode(F.filter(sizes, lambda n: n > 0)).alias("n"))
 
 
 def _aspect_sql(a: str) -> str:
