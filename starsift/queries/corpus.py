@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from starsift import fixed_values as fv
 from starsift.functions import labels
+from starsift.functions import sentiment as fs
 from starsift.functions import text as tx
 from starsift.operators import corpus, insights, sentiment, summaries, topics
 from starsift.queries.features import SENTENCES
-from starsift.queries.oracle import SP, WD, over, sql_in, sql_list, words
+from starsift.queries.oracle import NSP, SP, WD, over, sql_in, sql_list, words
 from starsift.queries.registry import query
 from starsift.sources import adapters as ad
 
@@ -499,7 +500,54 @@ def trending_topic(s, d):
     return topics.trending_topic(topics.topic_trend(ad.text_reviews(s, d), "topic_id"), "topic_id")
 
 
-@query("lexicon_sentiment", "F-25 C-30")
+def _pairs(values: dict[str, float]) -> str:
+    return ", ".join(f"('{w}', {v!r}::DOUBLE)" for w, v in values.items())
+
+
+def _modified(back: int) -> str:
+    """Valence after the word ``back`` places before: boost first, then negation."""
+    boost = f"sign(own) * b{back} + CASE WHEN mixed AND c{back} THEN sign(sign(own) * b{back}) * {fs.CAPS_INCREMENT}::DOUBLE ELSE 0 END"
+    v = f"v{back - 1} + coalesce({boost}, 0) * {fs.BOOSTER_DECAY[back - 1]}::DOUBLE"
+    return f"({v}) * CASE WHEN n{back} THEN {fs.NEGATION_FACTOR}::DOUBLE ELSE 1 END AS v{back}"
+
+
+_TOKENS = f"regexp_extract_all(review_text, '[{WD}](?:{NSP}*[{WD}])?')"
+_NEGATING = sql_in([*sorted(fs.NEGATIONS), "didnt", "dont", "doesnt", "hadnt", "hasnt", "isnt", "wasnt"])
+_BEFORE = ", ".join(f"lag(b, {k}) OVER p AS b{k}, lag(cap, {k}) OVER p AS c{k}, lag(neg, {k}) OVER p AS n{k}" for k in (1, 2, 3))
+_LEXICON_SQL = f""", lex(w, v) AS (VALUES {_pairs(fs.LEXICON)}), boost(w, v) AS (VALUES {_pairs(fs.BOOSTERS)}),
+       t AS (SELECT review_id, unnest({_TOKENS}) AS word, unnest(range(len({_TOKENS}))) AS i FROM reviews),
+       d AS (SELECT review_id, i, lower(word) AS low, replace(lower(word), chr(39), '') AS plain,
+                    upper(word) = word AND lower(word) <> word AS cap FROM t),
+       e AS (SELECT d.*, CASE WHEN s.w IS NULL THEN coalesce(l.v, 0) ELSE 0 END AS own, CASE WHEN k.w IS NULL THEN coalesce(b.v, 0) ELSE 0 END AS b,
+                    k.w IS NULL AND plain IN {_NEGATING} AS neg
+             FROM d LEFT JOIN lex l ON l.w = low LEFT JOIN boost s ON s.w = low LEFT JOIN lex k ON k.w = plain LEFT JOIN boost b ON b.w = plain),
+       f AS (SELECT review_id, i, own, cap, {_BEFORE}, min(CASE WHEN low = 'but' THEN i END) OVER r AS but,
+                    bool_or(cap) OVER r AND bool_or(NOT cap) OVER r AS mixed
+             FROM e WINDOW p AS (PARTITION BY review_id ORDER BY i), r AS (PARTITION BY review_id)),
+       g0 AS (SELECT *, own + CASE WHEN mixed AND cap THEN sign(own) * {fs.CAPS_INCREMENT}::DOUBLE ELSE 0 END AS v0 FROM f),
+       g1 AS (SELECT *, {_modified(1)} FROM g0), g2 AS (SELECT *, {_modified(2)} FROM g1), g3 AS (SELECT *, {_modified(3)} FROM g2),
+       v AS (SELECT review_id, CASE WHEN own = 0 THEN 0::DOUBLE WHEN i < but THEN v3 * {fs.BUT_BEFORE}::DOUBLE
+                                    WHEN i > but THEN v3 * {fs.BUT_AFTER}::DOUBLE ELSE v3 END AS v FROM g3),
+       a AS (SELECT review_id, sum(v) AS total, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS p,
+                    sum(CASE WHEN v < 0 THEN 1 - v ELSE 0 END) AS n, count(*) FILTER (v = 0) AS z FROM v GROUP BY 1),
+       m AS (SELECT review_id, star_rating, coalesce(len(review_text) - len(replace(review_text, '!', '')), 0) AS x,
+                    coalesce(len(review_text) - len(replace(review_text, '?', '')), 0) AS q FROM reviews),
+       s AS (SELECT review_id, star_rating, coalesce(total, 0) AS total, coalesce(p, 0) AS p, coalesce(n, 0) AS n, coalesce(z, 0) AS z,
+                    least(x, 4) * {fs.EXCLAMATION}::DOUBLE
+                    + CASE WHEN q < 2 THEN 0 WHEN q <= 3 THEN q * {fs.QUESTION}::DOUBLE ELSE {fs.QUESTION_MAX}::DOUBLE END AS emphasis
+             FROM m LEFT JOIN a USING (review_id)),
+       u AS (SELECT review_id, star_rating, total + emphasis * sign(total) AS total, p + CASE WHEN p > n THEN emphasis ELSE 0 END AS p,
+                    n + CASE WHEN n > p THEN emphasis ELSE 0 END AS n, z FROM s),
+       c AS (SELECT *, round_even(total / sqrt(total * total + {fs.ALPHA}::DOUBLE), 4) AS compound, nullif(p + n + z, 0) AS whole FROM u),
+       o AS (SELECT *, CASE WHEN compound <= -0.05 THEN 'negative' WHEN compound <= 0.05 THEN 'neutral' ELSE 'positive' END AS label,
+                    CASE WHEN star_rating > 0 AND star_rating <= 2 THEN 'negative' WHEN star_rating > 2 AND star_rating <= 3 THEN 'neutral'
+                         WHEN star_rating > 3 AND star_rating <= 5 THEN 'positive' END AS stars FROM c)
+       SELECT review_id, compound AS vader_compound, coalesce(round_even(p / whole, 3), 0) AS vader_positive,
+              coalesce(round_even(n / whole, 3), 0) AS vader_negative, coalesce(round_even(z / whole, 3), 0) AS vader_neutral,
+              label AS vader_label, CAST(coalesce(label = stars, false) AS INTEGER) AS sentiment_star_agree FROM o"""
+
+
+@query("lexicon_sentiment", "F-25 C-30", over("reviews", _LEXICON_SQL))
 def lexicon_sentiment(s, d):
     return sentiment.sentiment_features(ad.text_reviews(s, d), "review_text", stars="star_rating").select(
         "review_id", "vader_compound", "vader_positive", "vader_negative", "vader_neutral", "vader_label",

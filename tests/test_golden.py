@@ -113,12 +113,14 @@ def test_noun_phrases(spark):
     assert df.select(corpus.noun_phrases(F.col("w"), F.col("g"))).first()[0] == ["the big cat", "cat food"]
 
 
-def test_lexicon_sentiment():
-    c, p, n, u = fs.score("good")
-    assert (c, p, n, u) == (0.4404, 1.0, 0.0, 0.0)
-    assert fs.score("not good")[0] < 0 < fs.score("very good")[0] and fs.score("very good")[0] > c
-    assert fs.score("good!!!")[0] > c and fs.score("")[0] == 0.0
-    assert fs.score("It is good but the battery is terrible")[0] < 0
+def test_lexicon_sentiment(spark):
+    texts = ["good", "not good", "very good", "good!!!", "", "It is good but the battery is terrible", None]
+    got = [tuple(r) for r in values(spark, texts, fs.lexicon_sentiment)]
+    c = got[0][0]
+    assert got[0] == (0.4404, 1.0, 0.0, 0.0)
+    assert got[1][0] < 0 < got[2][0] and got[2][0] > c
+    assert got[3][0] > c and got[4] == got[6] == (0.0, 0.0, 0.0, 0.0)
+    assert got[5][0] < 0
 
 
 def test_aspect_sentiment(spark):
