@@ -101,5 +101,5 @@ def worst_row(df: DataFrame, where: Column, order: list[Column]) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Repeatable sample of ``n`` rows: the smallest seeded hashes of a stable key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    """Repeatable sample of ``n`` rows: the smallest MD5 digests of a stable key and the seed."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)).limit(n)

@@ -380,7 +380,11 @@ def top_products(s, d):
     return windows.order_limit(counted, [F.desc("n"), F.asc("product_id")], 50)
 
 
-@query("sampled_rows", "G-13")
+@query(
+    "sampled_rows",
+    "G-13",
+    over("reviews", "SELECT review_id, star_rating, round(compound, 6) AS compound FROM reviews ORDER BY md5(review_id || ':42'), review_id LIMIT 1000"),
+)
 def sampled_rows(s, d):
     return windows.sample_rows(ad.reviews(s, d).select("review_id", "star_rating", "compound"), 1000, "review_id")
 
