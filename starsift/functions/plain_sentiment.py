@@ -1,4 +1,4 @@
-"""Plain scorer of one text, which the Column expressions must equal."""
+"""Plain scorer of one text, for the SQL function; the Column expressions must equal it."""
 
 import math
 import re

@@ -4,7 +4,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from starsift import fixed_values as fv
-from starsift.functions import sentiment as fs
+from starsift.functions.plain_sentiment import score
 
 SQL_FUNCTIONS = {
     "sentiment_from_score(stars DOUBLE) RETURNS STRING":
@@ -28,7 +28,7 @@ def register(spark: SparkSession) -> list[str]:
 
     @F.pandas_udf("double")
     def lexicon_compound(s):
-        return s.map(lambda t: fs.score(t)[0])
+        return s.map(lambda t: score(t)[0])
 
     spark.udf.register("lexicon_compound", lexicon_compound)
     return [s.split("(")[0] for s in SQL_FUNCTIONS] + ["lexicon_compound"]
