@@ -30,24 +30,29 @@ def linear_attributions(rows: DataFrame, key: str, vector: str, coefficients: Da
     weights = coefficients.join(means, "idx", "left").withColumn("mean", F.coalesce("mean", F.lit(0.0)))
     weights = weights.select("cls", "idx", "coefficient", "mean").filter(F.col("coefficient") != 0)
     cells = vector_cells(rows, key, vector)
-    present = cells.join(weights, "idx").select(
+    # classes by features, as the fitted model itself; the cells grow with the rows
+    present = cells.join(F.broadcast(weights), "idx").select(
         key, "cls", "idx", (F.col("coefficient") * (F.col("value") - F.col("mean"))).alias("attribution"),
         (F.col("coefficient") * F.col("mean")).alias("_cm"),
     )
     totals = weights.groupBy("cls").agg(F.sum(F.col("coefficient") * F.col("mean")).alias("_all"))
-    seen = present.groupBy(key, "cls").agg(F.sum("_cm").alias("_seen"))
-    # classes are few: every row meets every class through an exploded literal-size list
+    # classes are few: every row meets every class through an exploded literal-size list. These rows are summed together
+    # with the cells, so that no table of one row per key is ever joined (or sent whole to every task)
     per_row = rows.select(key).withColumn("_t", F.explode(totals.agg(F.collect_list(F.struct("cls", "_all")).alias("t")).scalar()))
-    absent = per_row.select(key, F.col("_t.cls").alias("cls"), F.col("_t._all").alias("_all")).join(seen, [key, "cls"], "left")
-    rest = absent.select(
-        key, "cls", F.lit(-1).alias("idx"), (F.coalesce("_seen", F.lit(0.0)) - F.col("_all")).alias("attribution")
+    own = per_row.select(key, F.col("_t.cls").alias("cls"), F.lit(None).cast("double").alias("_cm"), F.col("_t._all").alias("_all"))
+    seen = present.select(key, "cls", "_cm", F.lit(None).cast("double").alias("_all")).unionByName(own)
+    sums = seen.groupBy(key, "cls").agg(F.sum("_cm").alias("_seen"), F.max("_all").alias("_all"), F.count("_all").alias("_rows"))
+    # a repeated key has a row each time; a null key meets no cell
+    known = F.when(F.col(key).isNotNull(), F.col("_seen"))
+    rest = sums.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_rows")))).select(
+        key, "cls", F.lit(-1).alias("idx"), (F.coalesce(known, F.lit(0.0)) - F.col("_all")).alias("attribution")
     )
     return present.drop("_cm").unionByName(rest)
 
 
 def name_features(attr: DataFrame, names: DataFrame) -> DataFrame:
-    """Attach (idx, feature) names; the absent row keeps its own name."""
-    return attr.join(names.select("idx", "feature"), "idx", "left").withColumn(
+    """Attach (idx, feature) names, one row per feature of a fitted model; the absent row keeps its own name."""
+    return attr.join(F.broadcast(names.select("idx", "feature")), "idx", "left").withColumn(
         "feature", F.coalesce("feature", F.lit(ABSENT))
     )
 
