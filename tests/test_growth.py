@@ -33,3 +33,19 @@ def test_absent_features_need_no_join_by_row(spark, plain):
     # totals: a 0.5 - 0.5 = 0, b 0.25; seen by id 1: a 0.5 - 0.5 = 0, b 0.25
     assert rest == [(0, "a", 0.0), (0, "b", -0.25), (1, "a", 0.0), (1, "a", 0.0), (1, "b", 0.0), (1, "b", 0.0), (2, "a", 0.0), (2, "b", -0.25)]
     assert not re.search(r"Join.*\[id#\d+L", plain(out))
+
+
+def test_vectors_are_not_shuffled_by_term(spark, plain):
+    texts = spark.createDataFrame([(i, f"common word{i % 3}") for i in range(20)], "id long, text string").repartition(4, "id")
+    counts = corpus.term_counts(texts, "id", "text")
+    vocab = spark.createDataFrame([("common", 1.0, 0), ("word1", 2.0, 1)], "term string, idf double, idx int")
+    out = corpus.tfidf_vectors(texts, counts, vocab, "id", 2)
+    assert "hashpartitioning(term" not in plain(out) and "Window" not in plain(out)
+    assert [r.tfidf.numNonzeros() for r in out.orderBy("id").collect()] == [1, 2, 1] * 6 + [1, 2]
+
+
+def test_classes_are_not_shuffled(spark, plain):
+    df = spark.createDataFrame([(i, "positive" if i else "neutral") for i in range(9)], "id long, label string")
+    out = models.indexed(df, "label")
+    assert "SortMergeJoin" not in plain(out)
+    assert {(r.label, r.label_index, r.weight) for r in out.collect()} == {("positive", 2.0, 9 / 16), ("neutral", 1.0, 4.5)}
