@@ -83,11 +83,13 @@ def token_contributions(df: DataFrame, key: str, text: str, attr: DataFrame, fea
     words = attr.filter(~F.contains(feature, F.lit(" "))).groupBy(key, F.col(feature).alias("word")).agg(
         F.sum(value).alias("value")
     )
-    peak = words.groupBy(key).agg(F.max(F.abs("value")).alias("_peak"))
-    tokens = df.select(
-        key, F.posexplode(F.regexp_extract_all(text, F.lit(f"[{fv.WORD}']+"), F.lit(0))).alias("pos", "token")
-    ).withColumn("word", F.regexp_replace(F.lower("token"), r"^[.,!?\"']+|[.,!?\"']+$", ""))
-    joined = tokens.join(words, [key, "word"], "left").join(peak, key, "left")
-    v = F.coalesce("value", F.lit(0.0))
+    # a text's words meet it as one map, so texts are joined once and tokens never shuffled
+    row = words.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "value"))).alias("_words"), F.max(F.abs("value")).alias("_peak")
+    )
+    tokens = F.posexplode(F.regexp_extract_all(text, F.lit(f"[{fv.WORD}']+"), F.lit(0))).alias("pos", "token")
+    joined = df.select(key, text).join(row, key, "left").select(key, "_words", "_peak", tokens)
+    word = F.regexp_replace(F.lower("token"), r"^[.,!?\"']+|[.,!?\"']+$", "")
+    v = F.coalesce(F.try_element_at("_words", word), F.lit(0.0))
     scaled = F.least(F.abs(v) / (F.coalesce("_peak", F.lit(1.0)) + 1e-9), F.lit(1.0))
     return joined.select(key, "pos", "token", v.alias("contribution"), scaled.alias("intensity"))

@@ -49,3 +49,12 @@ def test_classes_are_not_shuffled(spark, plain):
     out = models.indexed(df, "label")
     assert "SortMergeJoin" not in plain(out)
     assert {(r.label, r.label_index, r.weight) for r in out.collect()} == {("positive", 2.0, 9 / 16), ("neutral", 1.0, 4.5)}
+
+
+def test_tokens_are_not_shuffled(spark, plain):
+    df = spark.createDataFrame([(1, "Good camera, good"), (1, "bad"), (None, "good"), (2, "plain")], "id long, text string")
+    attr = spark.createDataFrame([(1, "good", 0.5), (1, "good", 0.5), (1, "bad", -2.0), (None, "good", 9.0), (1, "good camera", 7.0)], "id long, feature string, attribution double")
+    out = attribution.token_contributions(df, "id", "text", attr)
+    assert plain(out).count("SortMergeJoin") == 1
+    got = sorted((r.id or 0, r.pos, r.token, r.contribution, round(r.intensity, 6)) for r in out.collect())
+    assert got == [(0, 0, "good", 0.0, 0.0), (1, 0, "Good", 1.0, 0.5), (1, 0, "bad", -2.0, 1.0), (1, 1, "camera", 0.0, 0.0), (1, 2, "good", 1.0, 0.5), (2, 0, "plain", 0.0, 0.0)]
