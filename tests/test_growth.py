@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from starsift.operators import attribution, corpus, models
+from starsift.operators import attribution, corpus, models, topics
 
 
 @pytest.fixture
@@ -58,3 +58,13 @@ def test_tokens_are_not_shuffled(spark, plain):
     assert plain(out).count("SortMergeJoin") == 1
     got = sorted((r.id or 0, r.pos, r.token, r.contribution, round(r.intensity, 6)) for r in out.collect())
     assert got == [(0, 0, "good", 0.0, 0.0), (1, 0, "Good", 1.0, 0.5), (1, 0, "bad", -2.0, 1.0), (1, 1, "camera", 0.0, 0.0), (1, 2, "good", 1.0, 0.5), (2, 0, "plain", 0.0, 0.0)]
+
+
+def test_texts_are_split_once_for_a_whole_vocabulary(spark, plain):
+    """Vocabulary and lookup read one exchange of the counts; repeated and null keys count as they do by aggregation."""
+    texts = spark.createDataFrame([(1, "red red car"), (1, "car red"), (2, "blue car"), (None, "blue"), (3, None), (4, "a")], "id long, text string")
+    for out in (corpus.tfidf(texts, "id", "text", 2), topics.embed_hashed(texts.filter("id > 1"), "id", "text", 16)):
+        assert plain(out).count("regexp_extract_all") == 1 and "ReusedExchange" in plain(out)
+    both = [sorted((r.id or 0, r.term, r.tf) for r in f(texts, "id", "text", 2).collect()) for f in (corpus.term_counts, corpus.document_counts)]
+    assert both[0] == both[1] and (1, "car red", 1) in both[1] and (1, "red car", 1) in both[1] and (0, "blue", 1) in both[1]
+    assert corpus.document_counts(texts.limit(0), "id", "text", 2).count() == 0
