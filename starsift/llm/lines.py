@@ -2,16 +2,20 @@
 
 Lines are normalised (lower case, runs of other characters than letters and digits become one space). Equal lines are one
 node. A node's 64-bit SimHash is the majority, bit by bit, of its distinct words' hashes (a few common words would else decide
-most bits). Words are rows while they are counted: each of 22 sums holds three counters of 20 bits and more, so an aggregate
-of plain additions makes the 64 counts, exact to a million distinct words a line.
-
-Hashes that differ in at most ``DISTANCE`` = 3 bits agree in two of five blocks (pigeonhole), so nodes meet under ten block
-pairs of about 26 bits. Where just two nodes meet, they are the pair. Where more meet, all are paired with one of them first;
-what is confirmed joins components, and only then do nodes of different components under one key meet each other. So a
-group of near copies costs a few checks a line, and no link between components is lost. Pairs within the distance are
-confirmed by edit similarity of the whole lines. Each component keeps its first occurrence.
+most bits). Words are rows while they are counted: each of 21 sums holds three counters of 20 bits and a spare one, a last sum
+counts bit 63, so an aggregate of plain additions makes the 64 counts, exact to a million distinct words a line.
+
+Hashes that differ in at most ``DISTANCE`` = 3 bits agree in three of six blocks (pigeonhole), so nodes meet under twenty block
+triples of about 32 bits. That is long enough for chance meetings to stay rarer than lines in a corpus of a hundred million
+of them; pairs of five blocks (26 bits) are not, and their chance meetings grow with the square of the lines. Where just two
+nodes meet, they are the pair. Where more meet, all are paired with one of them first; what is confirmed joins components, and
+only then do nodes of different components under one key meet each other. So a group of near copies costs a few checks a line,
+and no link between components is lost. Pairs within the distance are confirmed by edit similarity of the whole lines. Each
+component keeps its first occurrence.
 """
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +23,15 @@ from starsift.llm.components import components
 from starsift.llm.shared import stored
 
 DISTANCE = 3
-#: First bit and bits of the five blocks.
-BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
-PAIRS = [(i, j) for i in range(5) for j in range(i + 1, 5)]
+#: First bit and bits of the six blocks.
+BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
+TRIPLES = list(combinations(range(6), 3))
 SIMILARITY = 0.8
-#: Bits of a counter.
-LANE = 22
+#: Bits of a counter, and the lowest bit of the three counters of a sum.
+LANE = 21
+LANES = 1 | 1 << LANE | 1 << 2 * LANE
+#: Most characters of a common beginning that is cut off before edits are counted, halved down to 1.
+CUTS = [1 << j for j in range(20, -1, -1)]
 
 
 def normalised(line: Column) -> Column:
@@ -36,27 +43,36 @@ def _key(id_col: str, text_col: str) -> Column:
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """key (of the row), id, pos, node (hash of the normalised line), check (a second one), chars, sim of every line with a word."""
-    rows = docs.select(_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
-    rows = rows.withColumn("line", normalised("line")).filter(F.col("line") != "")
-    rows = rows.select("key", "id", "pos", F.xxhash64("line").alias("node"), F.xxhash64(F.lit(7), "line").alias("check"), F.length("line").alias("chars"), F.explode(F.array_distinct(F.split("line", " "))).alias("word"))
+    """key (of the row), id, pos, hash (of the normalised line), check (a second one), chars, sim of every line with a word."""
+    every = F.transform(F.split(text_col, "\n"), normalised)  # a plain column would be evaluated again in the filter
+    rows = docs.select(_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.posexplode(every).alias("pos", "line")).filter(F.col("line") != "")
+    rows = rows.select("key", "id", "pos", F.xxhash64("line").alias("hash"), F.xxhash64(F.lit(7), "line").alias("check"), F.length("line").alias("chars"), F.explode(F.array_distinct(F.split("line", " "))).alias("word"))
     rows = rows.withColumn("h", F.xxhash64("word")).drop("word")
-    lanes = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(1 | 1 << LANE | 1 << 2 * LANE))).alias(f"s{j}") for j in range(LANE)]
-    counted = rows.groupBy("key", "id", "pos", "node", "check", "chars").agg(F.count("*").alias("n"), *lanes)
-    sim = F.lit(0).cast("long")
-    for bit in range(64):
-        ones = F.shiftrightunsigned(f"s{bit % LANE}", bit // LANE * LANE).bitwiseAND((1 << LANE) - 1)
-        sim = sim.bitwiseOR(F.when(2 * ones > F.col("n"), F.lit((1 << bit) - (1 << 64 if bit == 63 else 0)).cast("long")).otherwise(F.lit(0).cast("long")))
-    return counted.select("key", "id", "pos", "node", "check", "chars", sim.alias("sim"))
+    lanes = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(LANES))).alias(f"s{j}") for j in range(LANE)]
+    counted = rows.groupBy("key", "id", "pos", "hash", "check", "chars").agg(F.count("*").alias("n"), F.sum(F.shiftrightunsigned("h", 63)).alias("top"), *lanes)
+    # added to a sum, this carries into the spare bit of each counter that is over half of n
+    over = ((1 << LANE - 1) - 1 - F.shiftright("n", 1)) * F.lit(LANES)
+    sim = F.when(2 * F.col("top") > F.col("n"), F.lit(-(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long"))
+    for j in range(LANE):
+        sim = sim.bitwiseOR(F.shiftleft(F.shiftrightunsigned(F.col(f"s{j}") + over, LANE - 1).bitwiseAND(F.lit(LANES)), j))
+    return counted.select("key", "id", "pos", "hash", "check", "chars", sim.alias("sim"))
 
 
 def _posted(nodes: DataFrame) -> DataFrame:
-    """node under each of its ten block pairs."""
+    """node under each of its twenty block triples."""
     block = [F.shiftrightunsigned("sim", at).bitwiseAND(F.lit((1 << bits) - 1)) for at, bits in BLOCKS]
-    keys = [F.lit(t << 26).cast("long").bitwiseOR(F.shiftleft(block[i], 13)).bitwiseOR(block[j]) for t, (i, j) in enumerate(PAIRS)]
+    keys = [F.lit(t << 33).cast("long").bitwiseOR(F.shiftleft(block[i], 22)).bitwiseOR(F.shiftleft(block[j], 11)).bitwiseOR(block[k]) for t, (i, j, k) in enumerate(TRIPLES)]
     return nodes.select("node", F.explode(F.array(*keys)).alias("band"))
 
 
+def _differing(x: Column, y: Column) -> Column:
+    """An array of the two lines without what they begin with alike (as far as ``CUTS`` go), which leaves their edits as they are."""
+    most = F.least(F.length(x), F.length(y))
+    alike = lambda at, n: (at + n <= most) & (F.substring(x, at + 1, n) == F.substring(y, at + 1, n))
+    same = F.aggregate(F.array(*map(F.lit, CUTS)), F.lit(0), lambda at, n: F.when(alike(at, n), at + n).otherwise(at))
+    return F.transform(F.array(same), lambda n: F.struct(F.substring(x, n + 1, F.length(x)).alias("x"), F.substring(y, n + 1, F.length(y)).alias("y")))
+
+
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) whose hashes and lengths let them be links."""
     a = nodes.select(F.col("node").alias("a"), F.col("sim").alias("sim_a"), F.col("chars").alias("chars_a"))
@@ -66,6 +82,12 @@ def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.dropDuplicates().join(a, "a").join(b, "b").filter(near & sized).select("a", "b")
 
 
+def _swapped(x: Column, y: Column) -> Column:
+    """Characters of the words of ``x`` and ``y`` that differ from the word in the same place (the longer of the two)."""
+    words = F.arrays_zip(F.split(x, " ").alias("p"), F.split(y, " ").alias("q"))
+    return F.aggregate(words, F.lit(0), lambda n, w: n + F.when(w["p"] == w["q"], 0).otherwise(F.greatest(F.length(w["p"]), F.length(w["q"]))))
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Pairs whose whole normalised lines are at least ``SIMILARITY`` alike: 1 - edits / characters of the longer."""
     pairs = stored(pairs, "line-pairs")
@@ -75,17 +97,24 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, tex
     found = held.join(places, "key").select(F.split(text_col, "\n").alias("lines"), "places").select("lines", F.explode("places").alias("p"))
     texts = stored(found.select("p.node", normalised(F.get("lines", F.col("p.pos"))).alias("line")).dropDuplicates(["node"]), "line-texts")
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
-    most = f"cast(floor((1 - {SIMILARITY}D) * greatest(length(x), length(y)) + 1e-9D) as int)"
+    most = F.expr(f"cast(floor((1 - {SIMILARITY}D) * greatest(length(x), length(y)) + 1e-9D) as int)")
+    # rows of their own, or each use below would cut the lines again
+    both = both.select("a", "b", most.alias("most"), F.explode(_differing(F.col("x"), F.col("y"))).alias("d"))
+    both = both.select("a", "b", "most", F.explode(_differing(F.reverse("d.x"), F.reverse("d.y"))).alias("d")).select("a", "b", "most", "d.x", "d.y")
+    # most pairs differ in a few words: replacing these where they stand is never fewer edits than the least
+    swaps = F.when(F.size(F.split("x", " ")) == F.size(F.split("y", " ")), _swapped(F.col("x"), F.col("y")))
     # the work grows with the edits allowed, and most pairs need few
-    within = " or ".join(f"levenshtein(x, y, {most} div {part}) >= 0" for part in (32, 8, 1))
-    return stored(both.filter(F.expr(within)).select("a", "b"), "line-links")
+    within = " or ".join(f"levenshtein(x, y, most div {part}) >= 0" for part in (8, 1))
+    return stored(both.filter(F.expr("greatest(length(x), length(y)) <= most") | (swaps <= F.col("most")) | F.expr(within)).select("a", "b"), "line-links")
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key, removed (positions of lines to leave out) of the rows that lose lines."""
     lines = stored(occurrences(docs, id_col, text_col), "lines")
     place = F.struct(F.col("id").isNull().alias("nameless"), "id", "key", "pos")
-    nodes = stored(lines.groupBy("node", "check").agg(F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("chars").alias("chars"), F.min(place).alias("one")), "line-nodes")
+    nodes = lines.groupBy("hash", "check").agg(F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("chars").alias("chars"), F.min(place).alias("one"))
+    # numbers pack closer than hashes where a node is posted often
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "line-nodes")
     bands = _posted(nodes).groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).filter((F.col("n") > 1) & (F.col("a") != F.col("b")))
     bands = stored(bands, "bands")
     crowded = stored(_posted(nodes).join(bands.filter("n > 2").select("band", "a"), "band"), "crowded")
@@ -107,8 +136,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = components(links)
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first_of = grouped.groupBy("root").agg(F.min("one").alias("first"), F.sum("n").alias("n")).filter("n > 1")
-    lose = stored(grouped.join(first_of.drop("n"), "root").select("node", "check", F.col("first.key").alias("first_key"), F.col("first.pos").alias("first_pos")), "line-groups")
-    gone = lines.join(lose, ["node", "check"]).filter((F.col("key") != F.col("first_key")) | (F.col("pos") != F.col("first_pos")))
+    lose = stored(grouped.join(first_of.drop("n"), "root").select("hash", "check", F.col("first.key").alias("first_key"), F.col("first.pos").alias("first_pos")), "line-groups")
+    gone = lines.join(lose, ["hash", "check"]).filter((F.col("key") != F.col("first_key")) | (F.col("pos") != F.col("first_pos")))
     return gone.groupBy("key").agg(F.collect_set("pos").alias("removed"))
 
 

@@ -87,3 +87,29 @@ def test_near_lines_hot_lines_and_awkward_rows(spark):
     assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
     assert sum(w[2] for w in want) > 200
     assert lines.dedup_lines(brute.empty(spark)).count() == 0
+
+
+def test_chance_meetings_stay_rare(spark):
+    nodes = spark.range(300_000).select(F.col("id").alias("node"), F.xxhash64("id").alias("sim"))
+    assert lines._posted(nodes).groupBy("band").count().filter("count > 1").count() < 1000
+
+
+def test_links_are_those_of_the_plain_edit_distance(spark):
+    rng = random.Random(5)
+    docs = []
+    for i in range(60):
+        words = [f"w{rng.randrange(10**4)}" for _ in range(rng.randrange(1, 40))]
+        other = list(words)
+        for _ in range(rng.randrange(12)):
+            at = rng.randrange(len(other) + 1)
+            other[at : at + rng.randrange(2)] = [f"v{rng.randrange(10**4)}"] * rng.randrange(2)
+        docs.append((i, " ".join(words), " ".join(other) or "x"))
+    docs.append((60, "same words here", "same words here"))
+    rows = [(2 * i + j, i, 0, (False, i, 0, j)) for i, *_ in docs for j in (0, 1)]
+    frame = spark.createDataFrame([(i, f"{x}\n{y}") for i, x, y in docs], "doc_id long, text string")
+    keyed = {r.doc_id: r.k for r in frame.select("doc_id", F.xxhash64("doc_id", "text").alias("k")).collect()}
+    nodes = spark.createDataFrame([(n, (a, i, keyed[i], j)) for n, i, _, (a, _, _, j) in rows], "node long, one struct<nameless:boolean,id:long,key:long,pos:int>")
+    pairs = spark.createDataFrame([(2 * i, 2 * i + 1) for i, *_ in docs], "a long, b long")
+    got = {r.a // 2 for r in lines._links(pairs, nodes, frame, "doc_id", "text").collect()}
+    want = {i for i, x, y in docs if edits(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9)}
+    assert got == want and 10 < len(want) < 60
