@@ -64,3 +64,12 @@ def test_train_all(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/summaries").count() > 0
     plain = models.score_helpfulness(spark.range(2), None)
     assert [r.predicted_helpfulness for r in plain.collect()] == [0.5, 0.5]
+
+
+def test_topic_fit_stores_vectors_without_the_grams(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(topics.durable, "stored", lambda df, name, store=topics.durable.stored: kept.append(df.columns) or store(df, name))
+    base = spark.createDataFrame([(i, "good sound quality" if i % 2 else "broken screen arrived") for i in range(20)], "id int, text string")
+    _, _, out = topics.lda_fit(base, "text", 2, iterations=2)
+    assert kept == [["id", "text", "_v"]]
+    assert out.columns == ["id", "text", "topic_distribution"] and out.count() == 20
