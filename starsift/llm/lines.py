@@ -6,8 +6,8 @@ most bits). Words are rows while they are counted: each of 21 sums holds three c
 counts bit 63, so an aggregate of plain additions makes the 64 counts, exact to a million distinct words a line.
 
 Hashes that differ in at most ``DISTANCE`` = 3 bits agree in three of six blocks (pigeonhole), so nodes meet under twenty block
-triples of about 32 bits. That is long enough for chance meetings to stay rarer than lines in a corpus of a hundred million
-of them; pairs of five blocks (26 bits) are not, and their chance meetings grow with the square of the lines. Where just two
+triples of about 32 bits. Chance meetings grow with the square of the lines under any keys; at a hundred million lines and
+evenly spread hashes they are a quarter a line under these, seven a line under pairs of five blocks (26 bits). Where just two
 nodes meet, they are the pair. Where more meet, all are paired with one of them first; what is confirmed joins components, and
 only then do nodes of different components under one key meet each other. So a group of near copies costs a few checks a line,
 and no link between components is lost. Pairs within the distance are confirmed by edit similarity of the whole lines. Each
