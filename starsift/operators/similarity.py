@@ -1,7 +1,8 @@
 """Cosine search, centroids and scalable neighbour candidates."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,12 @@ def centroids(df: DataFrame, cls: str, vector: str) -> DataFrame:
     )
 
 
-#: Rows of a cell block, cells each row looks into first, and the most cells a fit makes.
-CELL_ROWS, PROBES, MOST_CELLS = 1024, 12, 4096
+#: Least rows of a cell, cells a row looks into first, and the most cells a fit makes.
+CELL_ROWS, PROBES, MOST_CELLS = 1024, 2, 32
+#: Most rows of a block of a cell, and about as many rows as meet a block at once: what a task holds.
+BLOCK_ROWS, SIDE_ROWS = 32_768, 65_536
+#: Products of a block that are looked at together, and pairs whose distance is worked out together.
+CELLS_AT_ONCE, PAIRS_AT_ONCE = 1 << 23, 1 << 17
 #: Bounds are loosened by this share of the lengths compared, so rounding cannot lose a neighbour.
 SLACK = 1e-6
 
@@ -53,108 +58,184 @@ def _cell_centres(base: DataFrame, cells: int, width: int, seed: int) -> np.ndar
     return np.array(KMeans(k=cells, seed=seed, maxIter=10).fit(rows).clusterCenters())
 
 
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Rows of a list column of single-precision vectors."""
+    if column.null_count or not pc.all(pc.equal(pc.list_value_length(column), width), min_count=0).as_py():
+        raise ValueError(f"vectors must have {width} components")
+    return column.flatten().to_numpy(zero_copy_only=False).astype("<f4").reshape(-1, width)
+
+
+def _closest(ids: pa.Array, a: np.ndarray, bound: np.ndarray, others: pa.Array, b: np.ndarray, k: int):
+    """Places (i, j) and distances of the ``k`` nearest rows of ``b`` to each row of ``a`` within its bound, ties by id.
+
+    Pairs are picked by single-precision products, with room for their rounding; their distances are worked out in double.
+    """
+    order = pc.sort_indices(pa.table({"o": others}), sort_keys=[("o", "ascending")], null_placement="at_start").to_numpy()
+    others, b = others.take(pa.array(order)), b[order]
+    known = pc.unique(others)
+    own = pc.fill_null(pc.index_in(ids, known, skip_nulls=True), -1).to_numpy()
+    code = pc.fill_null(pc.index_in(others, known, skip_nulls=True), -2).to_numpy()
+    wanted = k + int(np.bincount(code[code >= 0], minlength=1).max())  # a row's own id does not count
+    # of copies of one vector, the first ids are enough
+    copies = np.unique(np.ascontiguousarray(b).view(f"V{b.itemsize * b.shape[1]}").ravel(), return_inverse=True)[1].ravel()
+    by_copy = np.argsort(copies, kind="stable")
+    starts = np.searchsorted(copies[by_copy], copies[by_copy])
+    kept = np.sort(by_copy[np.arange(len(b)) - starts < wanted])
+    order, b, code = order[kept], b[kept], code[kept]
+    kind = np.float32 if max(np.abs(a).max(), np.abs(b).max()) < 1e15 else np.float64
+    wide_a, wide_b = a.astype(np.float64), b.astype(np.float64)
+    aa, bb = (wide_a**2).sum(axis=1), (wide_b**2).sum(axis=1)
+    # |a - b|^2 <= t is a.b - |b|^2 / 2 >= (|a|^2 - t) / 2
+    left, right = np.c_[a, np.ones(len(a))].astype(kind), np.c_[b, -bb / 2].astype(kind)
+    room = 4 * (a.shape[1] + 8) * np.finfo(kind).eps * (np.sqrt(aa) + np.sqrt(bb.max())) ** 2
+    least = (aa - (bound * (1 + SLACK)) ** 2) / 2 - room
+    out = []
+    step = max(1, CELLS_AT_ONCE // len(b))
+    for s in range(0, len(a), step):
+        near = left[s : s + step] @ right.T
+        floor = least[s : s + step].copy()
+        if len(b) > wanted and not np.isfinite(floor).all():
+            floor = np.maximum(floor, np.partition(near, -wanted, axis=1)[:, -wanted] - 2 * room[s : s + step])
+        flat = np.flatnonzero(near >= np.nextafter(floor.astype(kind), kind(-np.inf))[:, None])
+        i, j = flat // len(b) + s, flat % len(b)
+        apart = own[i] != code[j]
+        i, j = i[apart], j[apart]
+        far = np.empty(len(i))
+        for p in range(0, len(i), PAIRS_AT_ONCE):
+            q = slice(p, p + PAIRS_AT_ONCE)
+            far[q] = np.sqrt(((wide_a[i[q]] - wide_b[j[q]]) ** 2).sum(axis=1))
+        best = np.lexsort((j, far, i))  # j is in the order of the ids
+        i, j, far = i[best], j[best], far[best]
+        first = np.arange(len(i)) - np.searchsorted(i, i) < k
+        out.append((i[first], order[j[first]], far[first]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def neighbours(
     df: DataFrame, key: str, vector: str, width: int, k: int = 5, group: str | None = None,
     cell_rows: int = CELL_ROWS, probes: int = PROBES, seed: int = 42,
 ) -> DataFrame:
-    """Exact k nearest neighbours (euclidean), optionally within a group.
-
-    Vectors are clustered into cells of about ``cell_rows`` rows. Each row looks into its ``probes`` nearest cells that
-    hold rows of its group, and into further ones until they hold more than ``k``. The k-th distance found there is a
-    bound: the row then looks into every other cell whose centre is not farther than the bound and the cell's radius. A cell with more rows is split by hash into blocks, and so are the rows that look into it: a task compares
-    one block with another as matrices, and no row is dropped. Distances are exact.
+    """Exact k nearest neighbours (euclidean, ties by id), optionally within a group.
+
+    Vectors are clustered into cells of ``cell_rows`` rows or more, at most MOST_CELLS, so that a vector is sent to a
+    bounded number of cells. The rows of a cell look into the ``probes`` nearest cells that hold rows of their group, and into
+    further ones until these hold more than ``k``. The k-th distance found there is a bound: a row then looks into every
+    other cell whose centre is not farther than the bound and the cell's radius. Rows travel as packed matrices; cells are
+    cut into blocks of BLOCK_ROWS by hash, and some SIDE_ROWS rows meet a block in a task, so no task holds more. No row
+    is dropped; one with a component that is not finite has no distances, so it gets no neighbours and is none.
     """
     grp = F.col(group).cast("string") if group else F.lit("")
     base = df.select(F.col(key).alias("id"), grp.alias("grp"), F.col(vector).cast("array<float>").alias("v"))
-    id_type = dict(df.dtypes)[key]
+    spark, kind = df.sparkSession, dict(df.dtypes)[key]
     centres = _cell_centres(base, int(min(MOST_CELLS, max(1, base.count() // cell_rows))), width, seed)
 
-    def nearest(pdf: pd.DataFrame) -> np.ndarray:
-        x = np.stack(pdf["v"].to_numpy()).astype(float)
+    def distances(x: np.ndarray) -> np.ndarray:
+        x = x.astype(float)
         return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (centres * centres).sum(axis=1) - 2 * x @ centres.T, 0))
 
     def place(batches):
-        for pdf in batches:
-            if len(pdf):
-                d = nearest(pdf)
-                cell = d.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype("int32"), far=d[np.arange(len(d)), cell])
-
-    placed = base.mapInPandas(place, f"id {id_type}, grp string, v array<float>, cell int, far double")
+        for batch in batches:
+            m = _matrix(batch.column("v"), width)
+            batch = batch.filter(pa.array(np.isfinite(m).all(axis=1)))
+            d = distances(m[np.isfinite(m).all(axis=1)])
+            near = d.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near])], ["id", "grp", "v", "cell", "far"])
+
+    placed = durable.stored(base.mapInArrow(place, f"id {kind}, grp string, v array<float>, cell int, far double"), "placed")
     # one row per group and cell: the groups are classes, the cells bounded by MOST_CELLS
-    held: dict[str, dict[int, int]] = {}
-    radius: dict[str, np.ndarray] = {}
+    held: dict[str | None, dict[int, int]] = {}
+    radius: dict[str | None, np.ndarray] = {}
     for r in placed.groupBy("grp", "cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():
         held.setdefault(r.grp, {})[r.cell] = r.n
         radius.setdefault(r.grp, np.full(len(centres), -np.inf))[r.cell] = r.far
+    blocks = {(g, c): -(-n // BLOCK_ROWS) for g, cells in held.items() for c, n in cells.items()}
+    sides = {g: -(-sum(cells.values()) // SIDE_ROWS) for g, cells in held.items()}
     longest = float(np.sqrt((centres * centres).sum(axis=1).max()))
+    between = distances(centres)
+
+    def first(g, cell: int) -> set[int]:
+        seen = have = 0
+        out = set()
+        for c in np.argsort(between[cell], kind="stable").tolist():
+            if seen >= probes and have > k:
+                break
+            if n := held[g].get(c, 0):
+                out.add(c)
+                seen, have = seen + 1, have + n
+        return out
+
+    cuts = spark.createDataFrame([(g, c, b, sides[g]) for (g, c), b in blocks.items()], "g string, c int, blocks int, sides int")
+    cut = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        cells = [pa.array([table[c][0].as_py()], t) for c, t in (("grp", pa.string()), ("cell", pa.int32()), ("block", pa.int32()), ("sides", pa.int32()))]
+        ids = table["id"].combine_chunks()
+        m = _matrix(table["v"].combine_chunks(), width)
+        bound = table["bound"].to_numpy().astype("<f8")
+        lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+        return pa.table([*cells, lists, pa.array([bound.tobytes()]), pa.array([m.tobytes()])], ["grp", "cell", "block", "sides", "ids", "bound", "m"])
+
+    def packed(rows: DataFrame) -> DataFrame:
+        of = rows.join(F.broadcast(cuts), rows.grp.eqNullSafe(F.col("g")) & (rows.cell == F.col("c")))
+        of = of.select("id", "grp", "v", "cell", cut, "sides", "bound")
+        return of.groupBy("grp", "cell", "block").applyInArrow(pack, f"grp string, cell int, block int, sides int, ids array<{kind}>, bound binary, m binary")
+
+    def unpacked(row) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        ids, bound, m = row
+        return ids.values, np.frombuffer(bound.as_buffer(), "<f8"), np.frombuffer(m.as_buffer(), "<f4").reshape(-1, width)
 
     def look(further: bool):
-        """Each row's first cells, or all others that can hold a neighbour nearer than its ``bound``."""
+        """The rows of each block for each cell they look into: their first ones, or all others that can hold a neighbour
+        nearer than their bound."""
 
         def work(batches):
-            for pdf in (whole[s : s + 512] for whole in batches for s in range(0, len(whole), 512)):
-                rows, cells, blocks = [], [], []
-                for i, (g, d) in enumerate(zip(pdf["grp"], nearest(pdf))):
-                    seen = have = 0
-                    first = set()
-                    for c in np.argsort(d, kind="stable").tolist():
-                        n = held[g].get(c, 0)
-                        if n and (seen < probes or have <= k):
-                            first.add(c)
-                            seen, have = seen + 1, have + n
-                        elif seen >= probes and have > k:
-                            break
-                    if further:
-                        bound = pdf["bound"].iat[i]
-                        reach = bound + SLACK * (1 + bound + longest + d.max())
-                        first = {c for c in np.flatnonzero(d - radius[g] <= reach).tolist() if c in held[g]} - first
-                    for c in sorted(first):
-                        rows.append(i), cells.append(c), blocks.append(-(-held[g][c] // cell_rows))
-                yield pdf[["id", "grp", "v"]].iloc[rows].assign(cell=np.array(cells, "int32"), blocks=np.array(blocks, "int32"))
+            for batch in batches:
+                for g, cell, block, n, *row in zip(*(batch.column(c) for c in ("grp", "cell", "block", "sides", "ids", "bound", "m"))):
+                    g, cell, side = g.as_py(), cell.as_py(), (cell.as_py() + block.as_py()) % n.as_py()
+                    ids, bound, m = unpacked(row)
+                    d = distances(m)
+                    reach = bound + SLACK * (1 + bound + longest + d.max(axis=1))
+                    firsts = first(g, cell)
+                    for c in sorted(held[g].keys() - firsts if further else firsts):
+                        asked = np.flatnonzero(d[:, c] - radius[g][c] <= reach) if further else np.arange(len(m))
+                        for b in range(blocks[g, c] if len(asked) else 0):
+                            own = ids.take(pa.array(asked))
+                            lists = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)
+                            cols = [pa.array([g], pa.string()), pa.array([c], pa.int32()), pa.array([b], pa.int32()), pa.array([side], pa.int32())]
+                            yield pa.RecordBatch.from_arrays(
+                                [*cols, lists, pa.array([bound[asked].tobytes()]), pa.array([m[asked].tobytes()])],
+                                ["grp", "cell", "block", "side", "ids", "bound", "m"],
+                            )
 
         return work
 
-    sizes = {(g, c): -(-n // cell_rows) for g, cs in held.items() for c, n in cs.items()}
-
-    def block(batches):
-        for pdf in batches:
-            yield pdf.assign(blocks=np.array([sizes[g, c] for g, c in zip(pdf["grp"], pdf["cell"])], "int32"))
-
-    data = placed.drop("far").mapInPandas(block, f"id {id_type}, grp string, v array<float>, cell int, blocks int")
-    part = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    data = data.withColumn("block", part.cast("int")).withColumn("side", every)
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"id": left["id"][:0], "other": right["id"][:0], "distance": np.zeros(0)})
-        a, b = (np.stack(x["v"].to_numpy()).astype(float) for x in (left, right))
-        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
-        out = []
-        for s in range(0, len(a), 512):
-            far = (a[s : s + 512] ** 2).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * a[s : s + 512] @ b.T
-            far[ids[s : s + 512, None] == others] = np.inf
-            best = np.argpartition(far, min(k, len(b) - 1), axis=1)[:, : k + 1]
-            i, j = np.repeat(np.arange(len(best)), best.shape[1]), best.ravel()
-            fine = np.isfinite(far[i, j])
-            i, j = i[fine] + s, j[fine]
-            out.append(pd.DataFrame({"id": ids[i], "other": others[j], "distance": np.sqrt(((a[i] - b[j]) ** 2).sum(axis=1))}))
-        return pd.concat(out, ignore_index=True)
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        for row in zip(*(left[c] for c in ("ids", "bound", "m"))):
+            ids, bound, a = unpacked(row)
+            for other in zip(*(right[c] for c in ("ids", "bound", "m"))):
+                others, _, b = unpacked(other)
+                i, j, far = _closest(ids, a, bound, others, b, k)
+                found.append(pa.table({"id": ids.take(pa.array(i)), "other": others.take(pa.array(j)), "distance": far}))
+        none = pa.array([], left.schema.field("ids").type.value_type)
+        return pa.concat_tables(found) if found else pa.table({"id": none, "other": none, "distance": pa.array([], pa.float64())})
 
     keys = ["grp", "cell", "block", "side"]
+    unbounded = placed.withColumn("bound", F.lit(float("inf")))
+    blocked = durable.stored(packed(unbounded), "blocks")
+    data = blocked.withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).drop("sides")
 
     def best(rows: DataFrame, further: bool, found: DataFrame | None = None) -> DataFrame:
-        asked = rows.mapInPandas(look(further), f"id {id_type}, grp string, v array<float>, cell int, blocks int")
-        asked = asked.withColumn("side", part.cast("int")).withColumn("block", every)
-        pairs = asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(compare, f"id {id_type}, other {id_type}, distance double")
+        asked = rows.mapInArrow(look(further), f"grp string, cell int, block int, side int, ids array<{kind}>, bound binary, m binary")
+        pairs = asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInArrow(compare, f"id {kind}, other {kind}, distance double")
         pairs = pairs if found is None else pairs.unionByName(found.select("id", "other", "distance"))
         return top_n_by(pairs, ["id"], [F.asc("distance"), F.asc("other")], k).select("id", "other", "distance", "rank")
 
-    found = best(base, False)
-    if all(len(cells) <= probes for cells in held.values()):
+    found = best(blocked, False)
+    if all(len(first(g, c)) == len(cells) for g, cells in held.items() for c in cells):
         return found  # no cell is left to look into
-    found = durable.materialise(found)
+    found = durable.stored(found, "found")
     bound = found.filter(F.col("rank") == k).select("id", F.col("distance").alias("bound"))
-    reached = base.join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    return best(reached, True, found)
+    reached = placed.join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    return best(packed(reached), True, found)

@@ -143,6 +143,31 @@ def test_neighbours_of_a_hot_vector(spark):
     assert got.filter("id % 3 = 0 and distance = 0").count() == 900
 
 
+def test_neighbours_of_copies_are_the_smallest_ids(spark):
+    """Equal distances go by id, also among more copies than a block's first picks."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [1.0, 2.0, 3.0, 4.0] if i % 2 else rng.normal(size=4).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, v array<float>").orderBy(F.rand(3))
+    got = {}
+    for r in similarity.neighbours(df, "id", "v", 4, 3, cell_rows=200).collect():
+        got.setdefault(r.id, {})[r["rank"]] = r.other
+    assert len(got) == 2000
+    for i in range(1, 2000, 2):
+        assert got[i] == dict(enumerate([j for j in (1, 3, 5, 7) if j != i][:3], 1))
+
+
+def test_neighbours_in_blocks_and_sides(spark, monkeypatch):
+    """Cells cut into many blocks that meet in many tasks give what brute force gives, far from the origin too."""
+    for name, value in (("CELL_ROWS", 100), ("BLOCK_ROWS", 60), ("SIDE_ROWS", 150), ("CELLS_AT_ONCE", 1000), ("PAIRS_AT_ONCE", 50)):
+        monkeypatch.setattr(similarity, name, value)
+    x = (np.random.default_rng(5).normal(size=(900, 8)) + 40).astype(np.float32).astype(float)
+    far = np.sqrt(((x[:, None] - x) ** 2).sum(axis=2))
+    np.fill_diagonal(far, np.inf)
+    df = spark.createDataFrame([(f"r{i:03d}", v.tolist()) for i, v in enumerate(x)], "id string, v array<double>")
+    got = similarity.neighbours(df, "id", "v", 8, 4, cell_rows=100).collect()
+    assert {(r.id, r["rank"]): r.other for r in got} == {(f"r{i:03d}", n + 1): f"r{j:03d}" for i in range(900) for n, j in enumerate(np.argsort(far[i])[:4].tolist())}
+
+
 def test_smote_balances_and_interpolates(spark, sf_dir):
     e = ad.table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("label") == 0, "rare").otherwise("common").alias("cls"), "embedding")
     counts = {r.cls: r["count"] for r in e.groupBy("cls").count().collect()}
