@@ -7,14 +7,14 @@ but the work done again.
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable
 
-import numpy as np
-
 #: Entries after which a worker empties its table (about 220 bytes each).
 TABLE_ENTRIES = 1_000_000
 #: White space to Python, ordinary characters to the tokenizers' patterns: such texts are encoded whole.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
 #: Byte-level pieces keep one space before a word; longer white space is split before its last space.
 SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
@@ -57,12 +57,16 @@ class Ids:
         self.table = ChunkTable(self._encode)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in out]
+        out = [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for ids in out:
+                ids.byteswap()
+        return [ids.tobytes() for ids in out]
 
     def _chunks(self, text: str) -> list[str] | None:
         """The chunks of a text; None if it must be encoded whole."""
-        if self.whole or ODD_SPACE.search(text):
+        # plain searches for each are ten times faster than one for a pattern
+        if self.whole or any(c in text for c in ODD_SPACE):
             return None
         if self.special is None or not self.special.search(text):
             return self.split(text)
