@@ -5,6 +5,7 @@ Each Python worker keeps one table for all its tasks; it is emptied when it has
 but the work done again.
 """
 
+import gc
 import os
 import re
 import sys
@@ -73,9 +74,16 @@ class Ids:
         return [c for i, part in enumerate(self.special.split(text)) for c in ([part] if i % 2 else self.split(part))]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [self._chunks(t) for t in texts]
-        get = self.table.fill([s for s in split if s is not None])
-        return [self._encode([t])[0] if s is None else b"".join(map(get, s)) for s, t in zip(split, texts)]
+        # many lists and no cycles: the collector would only walk through them again and again
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            split = [self._chunks(t) for t in texts]
+            get = self.table.fill([s for s in split if s is not None])
+            return [self._encode([t])[0] if s is None else b"".join(map(get, s)) for s, t in zip(split, texts)]
+        finally:
+            if collecting:
+                gc.enable()
 
 
 _KEPT: dict[tuple, object] = {}
