@@ -1,10 +1,11 @@
 """Fits on small data: schema, probabilities, repeatability, better than guessing."""
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from starsift import fixed_values as fv
-from starsift.operators import models, topics
+from starsift.operators import corpus, models, topics
 from starsift.plans import training
 from starsift.sources import adapters as ad
 
@@ -73,3 +74,23 @@ def test_topic_fit_stores_vectors_without_the_grams(spark, monkeypatch):
     _, _, out = topics.lda_fit(base, "text", 2, iterations=2)
     assert kept == [["id", "text", "_v"]]
     assert out.columns == ["id", "text", "topic_distribution"] and out.count() == 20
+
+
+def test_text_feature_block_widths(spark):
+    """Words, nothing and no text at all: every row gets the block, and each signal is standardised over the rows."""
+    texts = ["Great screen, but the battery is poor!", "The battery is great. 12 hours", "Is the screen better?", "", None]
+    df = spark.createDataFrame([(i, texts[i % 5]) for i in range(20)], "id int, text string")
+    out = models.text_feature_block(df, "id", "text", 16, 3)
+    assert out.columns == ["id", "text", "text_features"]
+    found = out.select("id", vector_to_array("text_features").alias("f")).collect()
+    assert sorted(r.id for r in found) == list(range(20)) and {len(r.f) for r in found} == {14}
+    assert all(abs(sum(r.f[i] for r in found)) < 1e-6 for i in range(14))
+
+
+@pytest.mark.parametrize("name", ["_v", "_i", "tfidf"])
+def test_vector_column_may_have_any_name(spark, name):
+    df = spark.createDataFrame([(1, "a b"), (2, None)], "id int, text string")
+    counts = corpus.term_counts(df, "id", "text", tokens=F.split("text", " "))
+    vocab = corpus.indexed_vocabulary(corpus.vocabulary(counts, F.lit(2)))
+    out = corpus.tfidf_vectors(df, counts, vocab, "id", 2, name=name)
+    assert out.columns == ["id", "text", name] and {r.id: r[name].numNonzeros() for r in out.collect()} == {1: 2, 2: 0}
