@@ -40,3 +40,11 @@ def test_model_comparison_fits_whole_models(fits):
     assert [x.folds for x in seen] == [3, 3, 3] and {_width(x.df) for x in seen} == {5000}
     assert by["LogisticRegression"].getMaxIter() == 1000
     assert (by["RandomForestClassifier"].getNumTrees(), by["RandomForestClassifier"].getMaxDepth()) == (200, 20)
+
+
+def test_grid_search_is_whole(fits):
+    out, (x,) = fits(modelling.grid_search_results)
+    assert (x.folds, _width(x.df), x.estimator.getMaxIter()) == (3, 5000, 1000)
+    # C of 0.1, 0.5, 1 and 5: the penalty is 1 / (C * rows)
+    assert sorted(round(1 / (v * x.df.count()), 6) for m in x.grid for v in m.values()) == [0.1, 0.5, 1.0, 5.0]
+    assert len(out) == 4
