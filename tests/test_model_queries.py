@@ -48,3 +48,8 @@ def test_grid_search_is_whole(fits):
     # C of 0.1, 0.5, 1 and 5: the penalty is 1 / (C * rows)
     assert sorted(round(1 / (v * x.df.count()), 6) for m in x.grid for v in m.values()) == [0.1, 0.5, 1.0, 5.0]
     assert len(out) == 4
+
+
+def test_random_search_is_whole(fits):
+    out, (x,) = fits(modelling.random_search_results)
+    assert (x.folds, _width(x.df), len(x.grid), len(out)) == (5, 5000, 20, 20)
