@@ -14,7 +14,7 @@ def fits(spark, tmp_path, monkeypatch):
     """Runs a query on forty orders and tells with what its models would have been fitted."""
     rows = [(i, i % 7, "F", dt.datetime(2024, 1, 1 + i % 28)) for i in range(40)]
     orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz")
-    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    orders.write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
     seen = []
 
     def fit(df, estimator, grid=None, folds=3, key="review_id", parallelism=4):
@@ -53,3 +53,15 @@ def test_grid_search_is_whole(fits):
 def test_random_search_is_whole(fits):
     out, (x,) = fits(modelling.random_search_results)
     assert (x.folds, _width(x.df), len(x.grid), len(out)) == (5, 5000, 20, 20)
+
+
+def test_helpfulness_features_are_made_for_the_rows_that_need_them(fits, spark, monkeypatch):
+    """Importances need the exposed rows only, scores all rows; neither stores a text."""
+    kept = []
+    monkeypatch.setattr(modelling.durable, "materialise", lambda df: kept.append((df.columns, df.count())) or df)
+    monkeypatch.setattr(models, "fit_helpfulness", lambda df: kept.append((df.columns, df.count())))
+    monkeypatch.setattr(models, "importances", lambda s, model: s.range(1))
+    fits(modelling.helpfulness_importances)
+    assert len(fits(modelling.scored_helpfulness)[0]) == 40
+    columns = ["review_id", *models.fv.HELPFULNESS_COLUMNS, "helpfulness_denominator", "target"]
+    assert kept == [(columns, 16), (columns, 16), (columns, 40), (columns, 16)]
